@@ -86,5 +86,8 @@ def ctr_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_ctr(sql: str) -> str:
-    """Prefix an oracle query with the fixture view as a CTE."""
-    return f"WITH ctr AS ({CTR_VIEW_SQL})\n{sql}"
+    """Prefix an oracle query with the fixture view as a CTE; a query that
+    starts with more CTEs (``name AS (...)``) continues the WITH list."""
+    body = sql.lstrip()
+    sep = "\n" if body[:6].upper() == "SELECT" else ",\n"
+    return f"WITH ctr AS ({CTR_VIEW_SQL}){sep}{body}"

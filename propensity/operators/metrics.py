@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import BROADCAST_MAX_ROWS, broadcast_if_bounded
 
@@ -73,9 +74,8 @@ def ranked_points(scored: DataFrame, label: str, score: str, groups) -> tuple[Da
     total_pts = sum(r["_npts"] for r in ginfo)
     spark = scored.sparkSession
     n_buckets = int(min(MAX_BUCKETS, max(1, total_pts // POINTS_PER_BUCKET)))
-    gschema = gs.schema
-    gtab = spark.createDataFrame([tuple(r) + (i,) for i, r in enumerate(ginfo)],
-                                 gschema.add("_gi", "int"))
+    gschema = T.StructType(list(gs.schema.fields) + [T.StructField("_gi", T.IntegerType())])
+    gtab = spark.createDataFrame([tuple(r) + (i,) for i, r in enumerate(ginfo)], gschema)
     gtab = broadcast_if_bounded(gtab, BROADCAST_MAX_ROWS, bound=len(ginfo))
     keyed = pts.join(gtab, groups, "inner")
     if n_buckets > 1:
@@ -185,7 +185,7 @@ def confusion_matrix(scored: DataFrame, label: str, prediction: str = "predictio
     """A10: ``(groups..., label, prediction, n)`` with every cell of the
     classes x classes grid present (0 when unseen); cells with other labels
     or predictions are kept too."""
-    groups = list(groups)
+    scored, groups, dummy = _grouped(scored, groups)
     counts = scored.groupBy(*groups, label, F.col(prediction).cast("double").alias("prediction")) \
                    .agg(F.count(F.lit(1)).alias("n"))
     cells = F.array(*[F.struct(F.lit(t).cast(scored.schema[label].dataType).alias(label),
