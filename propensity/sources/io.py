@@ -70,7 +70,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwr
                 partition_by=()) -> str:
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # overwrite only the partitions being written (one model at a time)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.format(fmt).save(path)
     return path
 
