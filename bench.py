@@ -5,7 +5,8 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``{"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}``.
 
 Stages (same grids as the reference's tuned search):
-  profile      null profile + class balance + exact numeric profile + rate by missingness
+  profile      one fused aggregate (rows, nulls, rates by missingness, moments) + class balance
+  numeric_profile_exact  moments + exact median and p75 per numeric column
   split        exact stratified 80/20 split, tagged and checkpointed
   lr_search    regParam {0, 0.1} x elasticNet {0, 1}, 2 folds, maxIter 200, refit
   rf_search    maxDepth {5, 10} x numTrees {30}, 2 folds, refit
@@ -57,11 +58,13 @@ def main() -> None:
     feats = list(spec.features)
 
     def profile():
-        PR.null_profile(raw, feats).collect()
+        # the reference's EDA: rows, class balance, nulls per column (+ rates by
+        # missingness and moments), as one fused aggregate plus the class table
+        for t in PR.profile_summary(raw, spec.target, feats, list(spec.int_cols)).values():
+            t.collect()
         PR.class_balance(raw, spec.target).collect()
-        PR.numeric_profile(raw, list(spec.int_cols)).collect()
-        PR.rate_by_missing(raw, feats, spec.target).collect()
     timed("profile", profile)
+    timed("numeric_profile_exact", lambda: PR.numeric_profile(raw, list(spec.int_cols)).collect())
 
     def split():
         t = cut_lineage(tag_exact_stratified_split(clean(raw, spec), spec.target, 0.8, 42, "row_id"))
@@ -77,7 +80,7 @@ def main() -> None:
     for kind, grid, base in (("lr", LR_GRID, LR_DEFAULTS), ("rf", RF_GRID, RF_DEFAULTS),
                              ("gbt", GBT_GRID, GBT_DEFAULTS)):
         res = timed(f"{kind}_search", lambda kind=kind, grid=grid, base=base: TU.cross_validate(
-            train, spec, kind, grid, FoldSpec(2, 42), base, parallelism=2, key="row_id"))
+            train, spec, kind, grid, FoldSpec(2, 42), base, parallelism=4, key="row_id"))
         searches[kind] = res
         info[f"{kind}_cv_auc"] = [round(a, 5) for a in res.avg_metrics]
         info[f"{kind}_fits"] = res.n_fits
@@ -88,10 +91,10 @@ def main() -> None:
         out = {}
         for kind, res in searches.items():
             scored = score_splits(res.best_model, tagged, spec, "row_id").persist()
-            rep = M.classification_report(scored, spec.target, "prob", "prediction", ["split"]).collect()
-            test = scored.where(F.col("split") == "test")
-            M.confusion_matrix(test, spec.target, "prediction").collect()
-            M.threshold_sweep(test, spec.target, "prob").collect()
+            ev = M.evaluate(scored, spec.target, "prob", "prediction", ["split"])
+            rep = ev["report"].collect()
+            ev["confusion"].collect()
+            ev["sweep"].collect()
             out[kind] = {r["metric"]: round(r["value"], 5) for r in rep if r["split"] == "test"}
             scored.unpersist()
         return out

@@ -92,17 +92,18 @@ def numeric_profile(df: DataFrame, cols: list[str], exact: bool = True,
             acc = int(round(1.0 / relative_error))
             q = F.percentile_approx(x, [0.5, 0.75], acc)
             aggs += [q[0].alias(f"median__{i}"), q[1].alias(f"p75__{i}")]
-    agg = df.agg(*aggs)
     fields = ["n", "mean", "stddev", "min", "max"]
-    if exact:
-        q = exact_quantiles(df, cols, [0.5, 0.75])
-        qdf = spark.createDataFrame(
-            [(c, q[(c, 0.5)], q[(c, 0.75)]) for c in cols],
-            "feature string, median double, p75 double")
-        long = _unpivot_row(agg, cols, fields).join(F.broadcast(qdf), "feature")
-    else:
-        long = _unpivot_row(agg, cols, fields + ["median", "p75"])
-    return long.select("feature", "n", "mean", "stddev", "min", "median", "p75", "max")
+    if not exact:
+        long = _unpivot_row(df.agg(*aggs), cols, fields + ["median", "p75"])
+        return long.select("feature", "n", "mean", "stddev", "min", "median", "p75", "max")
+    # the moments aggregate doubles as the first pass of the exact quantiles
+    row = df.agg(*aggs).first()
+    stats = {c: (row[f"n__{i}"], row[f"min__{i}"], row[f"max__{i}"]) for i, c in enumerate(cols)}
+    q = exact_quantiles(df, cols, [0.5, 0.75], stats=stats)
+    rows = [(c, row[f"n__{i}"], row[f"mean__{i}"], row[f"stddev__{i}"], row[f"min__{i}"],
+             q[(c, 0.5)], q[(c, 0.75)], row[f"max__{i}"]) for i, c in enumerate(cols)]
+    return spark.createDataFrame(rows, "feature string, n bigint, mean double, stddev double, min double, "
+                                       "median double, p75 double, max double")
 
 
 def rate_by_missing(df: DataFrame, cols: list[str], target: str) -> DataFrame:
@@ -130,3 +131,43 @@ def rate_by_value(df: DataFrame, col: str, target: str) -> DataFrame:
                             F.avg(F.col(target).cast("double")).alias("rate"))
     share = F.col("n") / F.lit(total) if total else F.lit(None).cast("double")
     return g.select(F.col(col).alias("value"), "n", share.alias("share"), "rate")
+
+
+def profile_summary(df: DataFrame, target: str, cols: list[str], numeric=()) -> dict[str, DataFrame]:
+    """The whole profile of the reference job (A1, A3-A6, A8 and moments of
+    A7) from ONE aggregate over the table; the class table (A2) is the only
+    other job. Returns small local frames: ``shape``, ``positive_rate``,
+    ``null_profile``, ``rate_by_missing``, ``moments``."""
+    spark = df.sparkSession
+    t = F.col(target)
+    td = t.cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(t == 1).alias("n1"), F.count_if(t == 0).alias("n0"),
+            F.count_if(t.isNull()).alias("nnull"), F.count_if(t.isNotNull() & ~t.isin(0, 1)).alias("nother")]
+    for i, c in enumerate(cols):
+        miss = F.col(c).isNull()
+        aggs += [F.count_if(miss).alias(f"m{i}"), F.avg(F.when(miss, td)).alias(f"rm{i}"),
+                 F.avg(F.when(~miss, td)).alias(f"rp{i}")]
+    for i, c in enumerate(numeric):
+        x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
+        aggs += [F.count(x).alias(f"xn{i}"), F.avg(x).alias(f"xa{i}"), F.stddev_samp(x).alias(f"xs{i}"),
+                 F.min(x).alias(f"xl{i}"), F.max(x).alias(f"xh{i}")]
+    r = df.agg(*aggs).first()
+    n = r["n"]
+    classes = sum(1 for k in ("n0", "n1", "nnull", "nother") if r[k])
+    pct = (lambda v: round(100.0 * v / n, 2)) if n else (lambda v: None)
+    return {
+        "shape": spark.createDataFrame([(n, len(df.columns))], "n_rows bigint, n_columns int"),
+        "positive_rate": spark.createDataFrame(
+            [(n, r["n1"], (r["n1"] / n) if classes > 1 else -1.0)],
+            "n_rows bigint, n_pos bigint, positive_rate double"),
+        "null_profile": spark.createDataFrame(
+            [(c, r[f"m{i}"], pct(r[f"m{i}"])) for i, c in enumerate(cols)],
+            "feature string, n_null bigint, pct_null double"),
+        "rate_by_missing": spark.createDataFrame(
+            [(c, r[f"m{i}"], r[f"rm{i}"], n - r[f"m{i}"], r[f"rp{i}"]) for i, c in enumerate(cols)],
+            "feature string, n_missing bigint, rate_missing double, n_present bigint, rate_present double"),
+        "moments": spark.createDataFrame(
+            [(c, r[f"xn{i}"], r[f"xa{i}"], r[f"xs{i}"], r[f"xl{i}"], r[f"xh{i}"]) for i, c in enumerate(numeric)],
+            "feature string, n bigint, mean double, stddev double, min double, max double"),
+    }

@@ -45,6 +45,12 @@ def column_counts(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float,
     return {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
 
 
+def _interval_table(spark, intervals):
+    return spark.createDataFrame(
+        [(j, ci, float(lo), float(hi)) for j, (ci, lo, hi) in enumerate(intervals)],
+        "iv int, ci int, lo double, hi double")
+
+
 def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
                      stats: dict[str, tuple[int, float, float]],
                      bins: int = 4096, collect_limit: int = 20000,
@@ -52,7 +58,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
     """Values at 0-based ranks ``wanted[col]`` among non-missing values."""
     cols = list(wanted)
     col_index = {c: i for i, c in enumerate(cols)}
-    # open targets: key -> [lo, hi, below]
+    # open targets: key -> [lo, hi, values below lo, values inside [lo, hi]]
     open_t: dict[tuple[str, int], list] = {}
     done: dict[tuple[str, int], float] = {}
     for c, ranks in wanted.items():
@@ -63,23 +69,38 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
             if lo == hi:
                 done[(c, k)] = lo
             else:
-                open_t[(c, k)] = [lo, hi, 0]
-    if not open_t:
-        return done
+                open_t[(c, k)] = [lo, hi, 0, n]
     spark = df.sparkSession
     long = _long_values(df, cols)
+
+    def key_iv(key):
+        lo, hi = open_t[key][0], open_t[key][1]
+        return (col_index[key[0]], lo, hi)
+
     for _ in range(max_passes):
         if not open_t:
             break
-        keys = sorted(open_t)
-        # de-duplicate intervals: several ranks often share one
-        intervals = sorted({(col_index[c], v[0], v[1]) for (c, _k), v in open_t.items()})
-        tbl = spark.createDataFrame(
-            [(j, ci, float(lo), float(hi)) for j, (ci, lo, hi) in enumerate(intervals)],
-            "iv int, ci int, lo double, hi double")
+        # small intervals: fetch their values (bounded by collect_limit each)
+        fetch = [k for k, v in open_t.items() if v[3] <= collect_limit]
+        if fetch:
+            ivs = sorted({key_iv(k) for k in fetch})
+            vals = (long.join(F.broadcast(_interval_table(spark, ivs)), "ci")
+                        .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
+                        .select("iv", "x").collect())
+            got = defaultdict(list)
+            for r in vals:
+                got[r["iv"]].append(r["x"])
+            ivj = {iv: j for j, iv in enumerate(ivs)}
+            for key in fetch:
+                xs = sorted(got[ivj[key_iv(key)]])
+                done[key] = xs[key[1] - open_t.pop(key)[2]]
+        if not open_t:
+            break
+        # large intervals: one histogram pass splits each into `bins` bins
+        intervals = sorted({key_iv(k) for k in open_t})
         width = F.col("hi") - F.col("lo")
         b = F.least(F.floor((F.col("x") - F.col("lo")) / width * bins), F.lit(bins - 1)).cast("int")
-        hist = (long.join(F.broadcast(tbl), "ci")
+        hist = (long.join(F.broadcast(_interval_table(spark, intervals)), "ci")
                     .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
                     .groupBy("iv", b.alias("b"))
                     .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
@@ -88,56 +109,38 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
         for r in hist:
             by_iv[r["iv"]].append((r["b"], r["n"], r["mn"], r["mx"]))
         iv_id = {iv: j for j, iv in enumerate(intervals)}
-        fetch: list[tuple[str, int]] = []
-        for key in keys:
-            c, k = key
-            lo, hi, below = open_t[key]
-            rows = sorted(by_iv[iv_id[(col_index[c], lo, hi)]])
+        for key in sorted(open_t):
+            _, k = key
+            below = open_t[key][2]
             acc = below
-            for _b, n, mn, mx in rows:
+            for _b, n, mn, mx in sorted(by_iv[iv_id[key_iv(key)]]):
                 if k < acc + n:
                     if mn == mx:
                         done[key] = mn
                         del open_t[key]
                     else:
-                        open_t[key] = [mn, mx, acc]
-                        if n <= collect_limit:
-                            fetch.append(key)
+                        open_t[key] = [mn, mx, acc, n]
                     break
                 acc += n
             else:  # pragma: no cover - counts are consistent by construction
-                raise RuntimeError(f"rank {k} of {c} not located")
-        if fetch:
-            ivs = sorted({(col_index[c], open_t[(c, k)][0], open_t[(c, k)][1]) for c, k in fetch})
-            tbl = spark.createDataFrame(
-                [(j, ci, float(lo), float(hi)) for j, (ci, lo, hi) in enumerate(ivs)],
-                "iv int, ci int, lo double, hi double")
-            vals = (long.join(F.broadcast(tbl), "ci")
-                        .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
-                        .select("iv", "x").collect())
-            got = defaultdict(list)
-            for r in vals:
-                got[r["iv"]].append(r["x"])
-            ivj = {iv: j for j, iv in enumerate(ivs)}
-            for key in fetch:
-                c, k = key
-                lo, hi, below = open_t.pop(key)
-                xs = sorted(got[ivj[(col_index[c], lo, hi)]])
-                done[key] = xs[k - below]
+                raise RuntimeError(f"rank {k} of {key[0]} not located")
     if open_t:
         raise RuntimeError("exact quantile search did not converge")
     return done
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    interpolation: str = "linear", **kw) -> dict[tuple[str, float], float | None]:
+                    interpolation: str = "linear", stats: dict | None = None,
+                    **kw) -> dict[tuple[str, float], float | None]:
     """Exact quantiles per column.
 
     interpolation ``"linear"``: position p*(n-1), linear between neighbours
     (SQL ``percentile``/``quantile_cont``, midpoint median).
     ``"lower"``: the smallest value whose cumulative share reaches p
-    (SQL ``quantile_disc``; the lower median)."""
-    stats = column_counts(df, cols)
+    (SQL ``quantile_disc``; the lower median). ``stats`` ((count, min,
+    max) per column, e.g. from a profile aggregate already run) saves the
+    first pass."""
+    stats = stats or column_counts(df, cols)
     wanted: dict[str, list[int]] = {}
     plan: dict[tuple[str, float], tuple] = {}
     for c in cols:

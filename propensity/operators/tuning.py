@@ -113,60 +113,68 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
                    relative_error: float = 0.001, indicators: bool = False,
                    parallelism: int = 2, dedupe: bool = True, key: str | None = None) -> SearchResult:
     """M5 + M6 + M10: mean validation AUC per grid point, best point refitted
-    on all of ``train``; ``fit_time_sec`` covers the search and the refit."""
+    on all of ``train``; ``fit_time_sec`` covers the search and the refit.
+
+    ``parallelism`` fits run at once (fold preprocessing, then every
+    (fold, grid point) fit), like ``CrossValidator(parallelism=...)``; all
+    validation scores are ranked in one job."""
     base = dict(base_params or {})
     label = spec.target
     combos = grid.combos() or [{}]
     t0 = time.monotonic()
-    train = prepare_training(train, label)
     key = key or spec.id_col or "_row_id"
+    train = prepare_training(train, label)
     if key not in train.columns:
         train = train.withColumn(key, F.monotonically_increasing_id())
-    tagged = assign_folds(train, folds.num_folds, folds.seed, key, folds.method,
+    needed = [c for c in dict.fromkeys([key, label, *spec.int_cols, *spec.cat_cols,
+                                        *(spec.indicator_cols if indicators else ())]) if c in train.columns]
+    tagged = assign_folds(train.select(*needed), folds.num_folds, folds.seed, key, folds.method,
                           target=label, stratified=folds.stratified, col="_fold").persist()
-    fit_of = {}
     if dedupe:
         seen: dict = {}
-        for i, c in enumerate(combos):
-            fit_of[i] = seen.setdefault(_equivalence_key(kind, c), i)
+        fit_of = {i: seen.setdefault(_equivalence_key(kind, c), i) for i, c in enumerate(combos)}
+        prefix = _gbt_prefix_groups(kind, combos, base)
     else:
         fit_of = {i: i for i in range(len(combos))}
-    prefix = _gbt_prefix_groups(kind, combos, base) if dedupe else {i: (i, None) for i in range(len(combos))}
-    fold_metrics = [[0.0] * folds.num_folds for _ in combos]
-    n_fits = 0
-    notes = []
-    for f in range(folds.num_folds):
-        trn = tagged.where(F.col("_fold") != f)
-        val = tagged.where(F.col("_fold") == f)
-        prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators)).fit(trn)
-        n_fits += 1
-        trn_x = prep.transform(trn).select(label, "features").persist()
-        val_x = prep.transform(val).select(label, "features").persist()
-        to_fit = sorted({prefix[fit_of[i]][0] for i in range(len(combos))})
-
-        def fit_one(i, trn_x=trn_x):
+        prefix = {i: (i, None) for i in range(len(combos))}
+    to_fit = sorted({prefix[fit_of[i]][0] for i in range(len(combos))})
+    pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
+    try:
+        def prepare(f):
+            trn = tagged.where(F.col("_fold") != f)
+            val = tagged.where(F.col("_fold") == f)
+            prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators)).fit(trn)
+            return (prep.transform(trn).select(label, "features").persist(),
+                    prep.transform(val).select(label, "features").persist())
+        data = list(pool.map(prepare, range(folds.num_folds)))
+
+        def fit_one(task):
+            f, i = task
             clf = make_classifier(kind, label, **{**base, **combos[i]})
-            return i, clf.fit(trn_x)
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = dict(pool.map(lambda i: fit_one(i), to_fit))
-        n_fits += len(fitted)
-        scored_parts = []
+            return task, clf.fit(data[f][0])
+        fitted = dict(pool.map(fit_one, [(f, i) for f in range(folds.num_folds) for i in to_fit]))
+    finally:
+        pool.shutdown()
+    n_fits = folds.num_folds + len(fitted)
+    parts = []
+    for f in range(folds.num_folds):
+        val_x = data[f][1]
         for i in range(len(combos)):
             src, n_trees = prefix[fit_of[i]]
-            model = fitted[src]
-            full = n_trees is None or n_trees >= len(getattr(model, "trees", []) or [0])
-            if kind == "gbt" and not full:
+            model = fitted[(f, src)]
+            trees = getattr(model, "trees", None)
+            if kind == "gbt" and n_trees is not None and trees is not None and n_trees < len(trees):
                 s = _gbt_prefix_prob(model, val_x, n_trees).select(label, "prob")
             else:
                 s = model.transform(val_x).select(label, vector_to_array("probability")[1].alias("prob"))
-            scored_parts.append(s.withColumn("_combo", F.lit(i)))
-        scored = scored_parts[0]
-        for s in scored_parts[1:]:
-            scored = scored.unionByName(s)
-        aucs = M.ranking_metrics(scored, label, "prob", ["_combo"]).select("_combo", "auc_roc").collect()
-        for r in aucs:
-            fold_metrics[r["_combo"]][f] = float(r["auc_roc"])
+            parts.append(s.withColumns({"_f": F.lit(f), "_combo": F.lit(i)}))
+    scored = parts[0]
+    for s in parts[1:]:
+        scored = scored.unionByName(s)
+    fold_metrics = [[0.0] * folds.num_folds for _ in combos]
+    for r in M.ranking_metrics(scored, label, "prob", ["_f", "_combo"]).collect():
+        fold_metrics[r["_combo"]][r["_f"]] = float(r["auc_roc"])
+    for trn_x, val_x in data:
         trn_x.unpersist()
         val_x.unpersist()
     avg = [sum(m) / len(m) for m in fold_metrics]
@@ -176,7 +184,8 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
                      + [make_classifier(kind, label, **best_params)]).fit(train)
     n_fits += 1
     tagged.unpersist()
-    if dedupe and len(set(fit_of.values())) < len(combos):
-        notes.append("equivalent grid points fitted once")
+    notes = []
+    if dedupe and len(to_fit) < len(combos):
+        notes.append("equivalent or nested grid points fitted once")
     return SearchResult(kind, model, best_params, combos, avg, fold_metrics,
                         round(time.monotonic() - t0, 2), n_fits, notes)

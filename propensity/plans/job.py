@@ -62,11 +62,12 @@ def parse_models(text: str) -> list[str]:
 
 
 def profile_tables(df: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:
+    """The EDA summary: one fused aggregate plus the class table."""
     feats = [c for c in spec.features if c in df.columns]
-    return {"shape": PR.dataset_shape(df),
-            "class_balance": PR.class_balance(df, spec.target),
-            "positive_rate": PR.positive_rate(df, spec.target),
-            "null_profile": PR.null_profile(df, feats)}
+    nums = [c for c in spec.int_cols if c in df.columns]
+    out = PR.profile_summary(df, spec.target, feats, nums)
+    out["class_balance"] = PR.class_balance(df, spec.target)
+    return out
 
 
 def tag_split(df: DataFrame, spec: FeatureSpec, s: SplitSpec, key: str) -> DataFrame:
@@ -83,14 +84,14 @@ def score_splits(model, tagged: DataFrame, spec: FeatureSpec, key: str) -> DataF
 
 
 def evaluate_model(kind: str, scored: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:
-    """All report tables of one model from its persisted scored table."""
-    t = spec.target
-    test = scored.where(F.col("split") == "test")
-    report = M.classification_report(scored, t, "prob", "prediction", ["split"])
+    """All report tables of one model from its persisted scored table, in
+    two jobs (ranking aggregate + outcome counts) for both splits."""
+    ev = M.evaluate(scored, spec.target, "prob", "prediction", ["split"])
+    test = F.col("split") == "test"
     return {
-        "report": report.select(F.lit(kind).alias("model"), "*"),
-        "confusion": M.confusion_matrix(test, t, "prediction").select(F.lit(kind).alias("model"), "*"),
-        "roc_points": M.threshold_sweep(test, t, "prob").select(F.lit(kind).alias("model"), "*"),
+        "report": ev["report"].select(F.lit(kind).alias("model"), "*"),
+        "confusion": ev["confusion"].where(test).drop("split").select(F.lit(kind).alias("model"), "*"),
+        "roc_points": ev["sweep"].where(test).drop("split").select(F.lit(kind).alias("model"), "*"),
     }
 
 

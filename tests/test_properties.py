@@ -121,3 +121,23 @@ def test_save_load_same_scores(spark, ctr01, tmp_path):
     a = M.ranking_metrics(MO.score(model, ctr01, "target"), "target", "prob").first().auc_roc
     b = M.ranking_metrics(MO.score(io.load_model(path), ctr01, "target"), "target", "prob").first().auc_roc
     assert a == b
+
+
+def test_fused_evaluate_matches_separate_operators(ctr01):
+    scored = ctr01.select("target", "score", (F.col("score") >= 0.45).cast("double").alias("prediction"),
+                          F.when(F.col("row_id") % 3 == 0, "a").otherwise("b").alias("g"))
+    ev = M.evaluate(scored, "target", "score", "prediction", ["g"])
+    conf = M.confusion_matrix(scored, "target", "prediction", ["g"])
+    a = sorted(map(tuple, ev["confusion"].collect()))
+    b = sorted(map(tuple, conf.select("g", "target", "prediction", "n").collect()))
+    assert a == b
+    wa = {r.g: r for r in ev["weighted"].collect()}
+    for r in M.weighted_metrics(conf, "target", ["g"]).collect():
+        for k in ("accuracy", "weighted_precision", "weighted_recall", "f1"):
+            assert wa[r.g][k] == pytest.approx(r[k], abs=1e-12)
+    sa = sorted(map(tuple, ev["sweep"].collect()))
+    sb = sorted(map(tuple, M.threshold_sweep(scored, "target", "score", groups=["g"]).collect()))
+    assert sa == sb
+    ra = {r.g: r for r in ev["ranking"].collect()}
+    for r in M.ranking_metrics(scored, "target", "score", ["g"]).collect():
+        assert ra[r.g].auc_roc == r.auc_roc and ra[r.g].auc_pr == pytest.approx(r.auc_pr, abs=1e-12)
