@@ -78,6 +78,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """L2: at least ``defaultParallelism`` partitions before a table is
+    cached or checkpointed for iterative work (a small input file is one
+    partition, which would run every fit on one core). Round-robin, so no
+    key skew; a large scan already has more partitions and is left alone."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int, bound: int | None = None) -> DataFrame:
     """Broadcast a join side only when its row count is proven small.
 
