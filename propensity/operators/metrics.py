@@ -32,7 +32,7 @@ from ..session import BROADCAST_MAX_ROWS, broadcast_if_bounded
 METRIC_NAMES = ("AUC_ROC", "AUC_PR", "Accuracy", "F1", "Weighted_Precision", "Weighted_Recall")
 DEFAULT_THRESHOLDS = tuple(i / 10.0 for i in range(11))
 POINTS_PER_BUCKET = 200_000
-MAX_BUCKETS = 8192
+MAX_BUCKETS = 65536  # 1e12 distinct scores -> ~1.5e7 per window partition (spillable)
 MAX_GROUPS = 100_000
 
 

@@ -33,7 +33,7 @@ def confusion_wide(confusion: DataFrame, label: str, groups=(), classes=(0.0, 1.
     groups = list(groups)
     wide = (confusion.groupBy(*groups, label)
                      .pivot("prediction", [float(c) for c in classes]).agg(F.first("n")))
-    return wide.select(*groups, label, *[F.coalesce(F.col(str(float(c))), F.lit(0)).alias(f"pred_{int(c)}")
+    return wide.select(*groups, label, *[F.coalesce(F.col(f"`{float(c)}`"), F.lit(0)).alias(f"pred_{int(c)}")
                                          for c in classes])
 
 

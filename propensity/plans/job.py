@@ -118,6 +118,17 @@ def metrics_document(kind: str, tables: dict, fit_time: float, search=None, impo
     return doc
 
 
+def eda_document(prof: dict, spec: FeatureSpec) -> dict:
+    """The reference's ``eda_summary.json`` layout from the profile tables."""
+    n = prof["shape"].first()["n_rows"]
+    nulls = {r["feature"]: r["n_null"] for r in prof["null_profile"].collect()}
+    return {"n_rows": n, "n_features": len(spec.features),
+            "class_balance": [{spec.target: r[spec.target], "count": r["n"]}
+                              for r in prof["class_balance"].collect()],
+            "null_counts": nulls,
+            "null_pct": {k: (round(100 * v / n, 2) if n else None) for k, v in nulls.items()}}
+
+
 def write_json_doc(spark: SparkSession, doc: dict, path: str) -> str:
     """A small JSON document written through Spark (shared storage on a
     cluster), as one text file."""
@@ -139,6 +150,7 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
     prof = profile_tables(df, spec)
     for name, t in prof.items():
         io.write_profile(t, os.path.join(cfg.output, "eda", name))
+    write_json_doc(spark, eda_document(prof, spec), os.path.join(cfg.output, "eda_summary"))
     cleaned = clean(df, spec, indicators=cfg.indicators)
     if not spec.id_col:
         cleaned = attach_row_id(cleaned, None, key)

@@ -231,3 +231,27 @@ def model_comparison(spark, sf_dir):
     rep = M.classification_report(fixture_scored(spark, sf_dir), "target", "score",
                                   "prediction", ["model", "split"])
     return rounded(RP.model_comparison(rep))
+
+
+@query("confusion_wide", sql="""
+SELECT target, count(*) FILTER (WHERE score < 0.5) AS pred_0, count(*) FILTER (WHERE score >= 0.5) AS pred_1
+FROM ctr GROUP BY target""")
+def confusion_wide(spark, sf_dir):
+    """A10 in the reference's pivoted shape (one row per true class)."""
+    conf = M.confusion_matrix(planted(spark, sf_dir), "target", "prediction")
+    return RP.confusion_wide(conf, "target")
+
+
+@query("metrics_sink_roundtrip", sql=REPORT_SQL + "\nUNION ALL\n".join(
+    f"SELECT model, split, '{k}' AS metric, round({v}, 6) AS value FROM rep" for k, v in REPORT_METRICS.items()))
+def metrics_sink_roundtrip(spark, sf_dir):
+    """S4 + S6: the report written as JSON partitioned by model into the
+    shared folder, read back for the listed models (a missing one is
+    skipped)."""
+    from ..session import scratch_path
+    from ..sources import io
+    rep = M.classification_report(fixture_scored(spark, sf_dir), "target", "score", "prediction",
+                                  ["model", "split"])
+    path = io.write_metrics(rep, scratch_path(spark, "report"))
+    back = io.read_metrics(spark, path, ["planted", "segment_rate", "not_trained"])
+    return rounded(back.select("model", "split", "metric", "value"))

@@ -279,3 +279,19 @@ def feature_importance_topk(spark, sf_dir):
     names = MO.feature_names(model, df)
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return RP.top_importances(spark, imp, names, 20, "gbt")
+
+
+@query("end_to_end_job")
+def end_to_end_job(spark, sf_dir):
+    """The whole job (profile, clean, split, 2-fold search for the three
+    model kinds on small grids, save, score, report) over the fixture view;
+    returns the written report read back (rows-only check)."""
+    from ..spec import GridSpec as G
+    from .job import JobConfig, run_job
+    out = scratch_path(spark, "job")
+    cfg = JobConfig(output=out, spec=S,
+                    grids={"lr": G({"regParam": [0.0, 0.1]}), "rf": G({"maxDepth": [3]}),
+                           "gbt": G({"maxIter": [3, 5]})},
+                    params={"lr": {"maxIter": 20}, "rf": {"numTrees": 5}, "gbt": {"maxDepth": 3}})
+    run_job(spark, cfg, df=ctr_frame(spark, sf_dir).drop("score"))
+    return io.read_metrics(spark, f"{out}/report")

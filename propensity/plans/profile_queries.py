@@ -175,3 +175,32 @@ def clean_engineer(spark, sf_dir):
 def row_tokens(spark, sf_dir):
     df = C.fill_missing(ctr_frame(spark, sf_dir), CATS)
     return C.row_tokens(df, CATS, keep=["row_id"])
+
+
+@query("profile_fused_nulls", sql=union_sql(
+    "SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+    "round(100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*), 2) AS pct_null FROM ctr",
+    FEATURES))
+def profile_fused_nulls(spark, sf_dir):
+    """A3 + A4 from the job's fused profile aggregate."""
+    return PR.profile_summary(ctr_frame(spark, sf_dir), "target", FEATURES, INTS)["null_profile"]
+
+
+@query("profile_fused_rates", sql=union_sql(
+    "SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+    "round(avg(target) FILTER (WHERE {c} IS NULL), 6) AS rate_missing, "
+    "count(*) FILTER (WHERE {c} IS NOT NULL) AS n_present, "
+    "round(avg(target) FILTER (WHERE {c} IS NOT NULL), 6) AS rate_present FROM ctr", FEATURES))
+def profile_fused_rates(spark, sf_dir):
+    """A8 from the job's fused profile aggregate."""
+    return rounded(PR.profile_summary(ctr_frame(spark, sf_dir), "target", FEATURES, INTS)["rate_by_missing"])
+
+
+@query("profile_sink_roundtrip", sql=union_sql(
+    "SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+    "round(100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*), 2) AS pct_null FROM ctr",
+    FEATURES))
+def profile_sink_roundtrip(spark, sf_dir):
+    """S3: the null profile written as JSON into the shared folder and read back."""
+    path = io.write_profile(PR.null_profile(ctr_frame(spark, sf_dir), FEATURES), scratch_path(spark, "eda"))
+    return spark.read.schema("feature string, n_null bigint, pct_null double").json(path)

@@ -93,3 +93,12 @@ def folds_stratified(spark, sf_dir):
     """Stratified 2 folds, rank inside the class mod k."""
     df = SP.assign_folds(ctr_frame(spark, sf_dir), 2, 42, "row_id", target="target", stratified=True)
     return df.select("row_id", "target", "fold")
+
+
+@query("split_random_seeded")
+def split_random_seeded(spark, sf_dir):
+    """X2, the older script's form: ``randomSplit([0.8, 0.2], 42)`` (rows-only
+    check)."""
+    train, test = SP.random_split(ctr_frame(spark, sf_dir), 0.8, 42, "seeded")
+    return (train.select("row_id", F.lit("train").alias("split"))
+                 .unionByName(test.select("row_id", F.lit("test").alias("split"))))

@@ -26,6 +26,8 @@ def test_job_writes_reports(spark, tmp_path):
         text = spark.read.text(os.path.join(out, f"metrics_{kind}")).collect()
         assert json.loads("\n".join(r.value for r in text))["fit_time_sec"] >= 0
     assert "top_20_feature_importance_indices" in res["models"]["gbt"]["doc"]
+    eda = json.loads("\n".join(r.value for r in spark.read.text(os.path.join(out, "eda_summary")).collect()))
+    assert eda["n_rows"] == 1000 and eda["n_features"] == 8 and eda["null_counts"]["int_0"] == 429
     rep = spark.read.json(os.path.join(out, "report"))
     assert rep.select("model").distinct().count() == 2
     from propensity.sources.io import read_metrics
