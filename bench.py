@@ -33,7 +33,7 @@ from propensity.operators import tuning as TU  # noqa: E402
 from propensity.operators.clean import clean  # noqa: E402
 from propensity.operators.split import split_parts, tag_exact_stratified_split  # noqa: E402
 from propensity.plans.job import score_splits  # noqa: E402
-from propensity.session import build_session, cut_lineage, spread  # noqa: E402
+from propensity.session import build_session, checkpoint_spread  # noqa: E402
 from propensity.spec import GBT_DEFAULTS, GBT_GRID, LR_DEFAULTS, LR_GRID, RF_DEFAULTS, RF_GRID, FoldSpec  # noqa: E402
 
 
@@ -67,7 +67,7 @@ def main() -> None:
     timed("numeric_profile_exact", lambda: PR.numeric_profile(raw, list(spec.int_cols)).collect())
 
     def split():
-        t = cut_lineage(spread(tag_exact_stratified_split(clean(raw, spec), spec.target, 0.8, 42, "row_id")))
+        t = checkpoint_spread(tag_exact_stratified_split(clean(raw, spec), spec.target, 0.8, 42, "row_id"))
         info["split_counts"] = {f"{r['split']}_{r['target']}": r["n"] for r in
                                 t.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n")).collect()}
         return t

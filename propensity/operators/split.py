@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_u32
-from ..session import BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 HASH_BITS = 32
 RANK_BUCKET_BITS = 20
@@ -138,32 +137,44 @@ def tag_exact_stratified_split(df: DataFrame, target: str, train_frac: float = 0
     """Inside each class, the first ``floor(frac*n + 0.5)`` rows in
     (md5, key) order go to train, the rest to test; null targets go to test.
 
-    Only the one boundary bucket per class is ranked; every other row is
-    decided by comparing its bucket with the boundary bucket."""
+    One aggregate over (class, hash bucket) finds, per class, the boundary
+    bucket and how many of its rows are train (one row per class, taken to
+    the driver as literals). Then every row outside a boundary bucket is
+    decided by comparing buckets in a projection, and only the boundary
+    buckets' rows are ranked."""
     d = _with_bucket(df, key, seed, bits)
     offs = _bucket_offsets(d.where(F.col(target).isNotNull()), target, bits)
     n_train = F.floor(F.col("_class_n") * F.lit(train_frac) + F.lit(0.5))
-    boundary = (offs.where((F.col("_before") < n_train) & (F.col("_before") + F.col("_nb") >= n_train))
-                    .select(target, F.col("_b").alias("_bb"), (n_train - F.col("_before")).alias("_need")))
-    # one row per class: the boundary bucket and how many of its rows are train
-    boundary = broadcast_if_bounded(boundary, BROADCAST_MAX_ROWS)
-    j = d.join(boundary, target, "left")
-    inside = j.where(F.col("_b") == F.col("_bb"))
-    rest = j.where(~(F.col("_b") == F.col("_bb")) | F.col("_bb").isNull())
+    bounds = (offs.where((F.col("_before") < n_train) & (F.col("_before") + F.col("_nb") >= n_train))
+                  .select(target, "_b", (n_train - F.col("_before")).alias("_need")).collect())
+    t = F.col(target)
+    bb = need = None
+    for r in bounds:  # one row per class
+        cond = t == F.lit(r[target])
+        bb = F.when(cond, F.lit(r["_b"])) if bb is None else bb.when(cond, F.lit(r["_b"]))
+        need = F.when(cond, F.lit(r["_need"])) if need is None else need.when(cond, F.lit(r["_need"]))
+    if bb is None:  # no class has a train row
+        return d.withColumn(col, F.lit("test")).drop("_h", "_b")
+    j = d.withColumns({"_bb": bb, "_need": need})
+    in_boundary = F.col("_b") == F.col("_bb")
+    inside = j.where(in_boundary)
+    rest = j.where(~in_boundary | F.col("_bb").isNull())
     rn = F.row_number().over(Window.partitionBy(target).orderBy("_h", key))
     inside = inside.withColumn(col, F.when(rn <= F.col("_need"), "train").otherwise("test"))
     rest = rest.withColumn(col, F.when(F.col("_b") < F.col("_bb"), "train").otherwise("test"))
-    drop = ["_h", "_b", "_bb", "_need"]
-    return inside.unionByName(rest).drop(*drop)
+    return inside.unionByName(rest).drop("_h", "_b", "_bb", "_need")
 
 
 def class_rank(df: DataFrame, target: str, seed: int = 42, key: str = "_row_id",
                name: str = "_rank", bits: int = RANK_BUCKET_BITS) -> DataFrame:
     """0-based rank of each row inside its class in (md5, key) order,
-    computed per (class, bucket) plus the bucket's offset."""
+    computed per (class, bucket) plus the bucket's offset.
+
+    The offsets table has at most classes x 2^bits rows; its join and the
+    rank window are both keyed by (class, bucket), so the big side is
+    shuffled once for both (AQE broadcasts the offsets when they are small)."""
     d = _with_bucket(df, key, seed, bits)
-    offs = _bucket_offsets(d, target, bits).select(target, "_b", "_before").persist()
-    offs = broadcast_if_bounded(offs, BROADCAST_MAX_ROWS)
+    offs = _bucket_offsets(d, target, bits).select(target, "_b", "_before")
     w = Window.partitionBy(target, "_b").orderBy("_h", key)
     return (d.join(offs, [target, "_b"], "left")
              .withColumn(name, F.col("_before") + F.row_number().over(w) - 1)

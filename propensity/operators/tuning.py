@@ -33,7 +33,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import persist_spread
 from ..spec import FeatureSpec, FoldSpec, GridSpec
 from . import metrics as M
 from .features import preprocessing_stages
@@ -129,8 +129,8 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
         train = train.withColumn(key, F.monotonically_increasing_id())
     needed = [c for c in dict.fromkeys([key, label, *spec.int_cols, *spec.cat_cols,
                                         *(spec.indicator_cols if indicators else ())]) if c in train.columns]
-    tagged = spread(assign_folds(train.select(*needed), folds.num_folds, folds.seed, key, folds.method,
-                                 target=label, stratified=folds.stratified, col="_fold")).persist()
+    tagged = persist_spread(assign_folds(train.select(*needed), folds.num_folds, folds.seed, key,
+                                         folds.method, target=label, stratified=folds.stratified, col="_fold"))
     if dedupe:
         seen: dict = {}
         fit_of = {i: seen.setdefault(_equivalence_key(kind, c), i) for i, c in enumerate(combos)}

@@ -27,7 +27,7 @@ from ..operators import tuning as TU
 from ..operators.clean import clean
 from ..operators.split import (attach_row_id, sample, split_parts, tag_exact_stratified_split,
                                tag_random_split, tag_stratified_split)
-from ..session import cut_lineage, spread
+from ..session import checkpoint_spread
 from ..sources import io
 from ..spec import (CRITEO, GBT_GRID, LR_GRID, RF_GRID, FeatureSpec, FoldSpec, GridSpec,
                     SplitSpec)
@@ -155,7 +155,7 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
     if not spec.id_col:
         cleaned = attach_row_id(cleaned, None, key)
     # one tagging pass; checkpointed so every later job starts from here
-    tagged = cut_lineage(spread(tag_split(cleaned, spec, cfg.split, key), cfg.partitions))
+    tagged = checkpoint_spread(tag_split(cleaned, spec, cfg.split, key), cfg.partitions)
     train, _ = split_parts(tagged)
     out = {"profile": prof, "models": {}}
     for kind in cfg.models:

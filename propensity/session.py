@@ -78,13 +78,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """L2: at least ``defaultParallelism`` partitions before a table is
-    cached or checkpointed for iterative work (a small input file is one
-    partition, which would run every fit on one core). Round-robin, so no
-    key skew; a large scan already has more partitions and is left alone."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+def _min_partitions(spark: SparkSession, n: int | None) -> int:
+    return n or spark.sparkContext.defaultParallelism
+
+
+def checkpoint_spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """L1 + L2 for a table that iterative work starts from: a reliable
+    checkpoint, and, only when the result has fewer than
+    ``defaultParallelism`` partitions (a small input: one file is one
+    partition and would run every fit on one core), a round-robin
+    repartition checkpointed again. The partition count is read from the
+    checkpointed table, which costs nothing; asking an adaptive plan for it
+    would run its shuffles. Large inputs already have enough partitions and
+    are written once."""
+    n = _min_partitions(df.sparkSession, min_partitions)
+    c = cut_lineage(df)
+    if c.rdd.getNumPartitions() < n:
+        c = cut_lineage(c.repartition(n))
+    return c
+
+
+def persist_spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """The cached counterpart of ``checkpoint_spread`` (materialised here)."""
+    n = _min_partitions(df.sparkSession, min_partitions)
+    p = df.persist()
+    p.count()
+    if p.rdd.getNumPartitions() < n:
+        q = p.repartition(n).persist()
+        q.count()
+        p.unpersist()
+        return q
+    return p
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int, bound: int | None = None) -> DataFrame:
