@@ -53,6 +53,36 @@ class JobConfig:
     partitions: int | None = None  # minimum partitions of the split table (default: defaultParallelism)
 
 
+def preset(name: str, output: str, input: str | None = None, **overrides) -> JobConfig:
+    """The reference's three entry points as configurations.
+
+    ``canonical``  the main job: 128 buckets, md5 stratified 80/20 split,
+                   LR/RF/GBT with the tuned grids;
+    ``legacy``     the older job: 16,384 buckets, plain random 80/20 split,
+                   LR (maxIter 50) and RF (50-tree grid) only;
+    ``twin``       the single-machine twin's choices on Spark: indicator flags
+                   in the vector, intCol_1 not log-scaled, exact stratified
+                   split, stratified folds, 50-tree RF grid."""
+    from ..spec import (CRITEO_LEGACY, CRITEO_TWIN, LEGACY_LR_DEFAULTS, LEGACY_RF_DEFAULTS,
+                        LEGACY_RF_GRID, TWIN_GBT_GRID, TWIN_RF_GRID)
+    if name == "canonical":
+        cfg = JobConfig(output=output, input=input)
+    elif name == "legacy":
+        cfg = JobConfig(output=output, input=input, spec=CRITEO_LEGACY, models=("lr", "rf"),
+                        split=SplitSpec(stratified=False),
+                        grids={"lr": LR_GRID, "rf": LEGACY_RF_GRID},
+                        params={"lr": LEGACY_LR_DEFAULTS, "rf": LEGACY_RF_DEFAULTS})
+    elif name == "twin":
+        cfg = JobConfig(output=output, input=input, spec=CRITEO_TWIN, indicators=True,
+                        split=SplitSpec(exact=True), folds=FoldSpec(stratified=True),
+                        grids={"lr": LR_GRID, "rf": TWIN_RF_GRID, "gbt": TWIN_GBT_GRID})
+    else:
+        raise ValueError(f"unknown preset {name!r}")
+    for k, v in overrides.items():
+        setattr(cfg, k, v)
+    return cfg
+
+
 def parse_models(text: str) -> list[str]:
     """Comma list, blanks dropped, unknown names rejected."""
     models = [m.strip() for m in text.split(",") if m.strip()]
@@ -204,12 +234,15 @@ def main(argv=None):
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", default="./results")
     ap.add_argument("--sample_frac", type=float, default=1.0)
-    ap.add_argument("--models", default="lr,rf,gbt")
+    ap.add_argument("--models", default=None, help="comma list (default: the preset's models)")
     ap.add_argument("--no-tune", action="store_true")
+    ap.add_argument("--preset", default="canonical", choices=["canonical", "legacy", "twin"])
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("propensity-job").getOrCreate()
-    cfg = JobConfig(output=a.output, input=a.input, sample_frac=a.sample_frac,
-                    models=tuple(parse_models(a.models)), tune=not a.no_tune)
+    models = tuple(parse_models(a.models)) if a.models else None
+    cfg = preset(a.preset, a.output, a.input, sample_frac=a.sample_frac, tune=not a.no_tune)
+    if models:
+        cfg.models = models
     run_job(spark, cfg)
     spark.stop()
 

@@ -135,6 +135,9 @@ CRITEO = FeatureSpec(
     num_hash_features=CRITEO_BUCKETS,
 )
 
+CRITEO_LEGACY = CRITEO.with_(num_hash_features=CRITEO_BUCKETS_OLD)
+CRITEO_TWIN = CRITEO.with_(skewed=CRITEO_SKEWED_TWIN)
+
 # Parameter grids of the reference's tuned search (enumeration order kept).
 LR_GRID = GridSpec({"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]})
 RF_GRID = GridSpec({"maxDepth": [5, 10], "numTrees": [30]})
@@ -143,3 +146,19 @@ GBT_GRID = GridSpec({"maxDepth": [5], "maxIter": [20, 50]})
 LR_DEFAULTS = {"maxIter": 200}
 RF_DEFAULTS = {"seed": 42, "numTrees": 20}
 GBT_DEFAULTS = {"seed": 42, "maxIter": 50}
+
+# The older script: LR maxIter 50, RF 100 trees by default, RF grid with 50 trees,
+# plain random 80/20 split, LR and RF only.
+LEGACY_LR_DEFAULTS = {"maxIter": 50}
+LEGACY_RF_DEFAULTS = {"seed": 42, "numTrees": 100}
+LEGACY_RF_GRID = GridSpec({"maxDepth": [5, 10], "numTrees": [50]})
+# The single-machine twin's grids for the tree models (50 trees; depth 5 x 20/50 rounds).
+TWIN_RF_GRID = GridSpec({"maxDepth": [5, 10], "numTrees": [50]})
+TWIN_GBT_GRID = GridSpec({"maxDepth": [5], "maxIter": [20, 50]})
+TWIN_C_GRID = (1e6, 10.0)
+
+
+def c_to_reg_param(c: float, n_train: int) -> float:
+    """An inverse penalty ``C`` on the summed loss (the single-machine twin's
+    parameter) as Spark's ``regParam`` on the mean loss: ``1 / (C * n)``."""
+    return 1.0 / (float(c) * float(n_train))

@@ -32,3 +32,24 @@ def test_job_writes_reports(spark, tmp_path):
     assert rep.select("model").distinct().count() == 2
     from propensity.sources.io import read_metrics
     assert read_metrics(spark, os.path.join(out, "report"), ["lr", "rf"]).select("model").distinct().count() == 1
+
+
+def test_presets_and_c_conversion(spark, tmp_path):
+    from propensity.plans.job import preset
+    from propensity.spec import c_to_reg_param
+    assert c_to_reg_param(10, 800_000) == 1.0 / 8_000_000
+    legacy = preset("legacy", str(tmp_path))
+    assert legacy.spec.num_hash_features == 16384 and legacy.models == ("lr", "rf")
+    assert not legacy.split.stratified and legacy.params["lr"]["maxIter"] == 50
+    twin = preset("twin", str(tmp_path))
+    assert twin.indicators and twin.split.exact and twin.folds.stratified
+    assert "intCol_1" not in twin.spec.skewed
+
+
+def test_twin_preset_runs_on_fixture(spark, tmp_path):
+    from propensity.plans.job import preset, run_job
+    from propensity.spec import GridSpec
+    cfg = preset("twin", str(tmp_path / "out"), spec=CTR_SPEC, models=("lr",),
+                 grids={"lr": GridSpec({"regParam": [0.0]})}, params={"lr": {"maxIter": 5}})
+    res = run_job(spark, cfg, df=ctr_frame(spark, SF001).drop("score"))
+    assert 0.0 <= res["models"]["lr"]["doc"]["test_metrics"]["AUC_ROC"] <= 1.0
