@@ -33,7 +33,7 @@ from propensity.operators import tuning as TU  # noqa: E402
 from propensity.operators.clean import clean  # noqa: E402
 from propensity.operators.split import split_parts, tag_exact_stratified_split  # noqa: E402
 from propensity.plans.job import score_splits  # noqa: E402
-from propensity.session import build_session, checkpoint_spread  # noqa: E402
+from propensity.session import build_session, checkpoint_spread, sizing  # noqa: E402
 from propensity.spec import GBT_DEFAULTS, GBT_GRID, LR_DEFAULTS, LR_GRID, RF_DEFAULTS, RF_GRID, FoldSpec  # noqa: E402
 
 
@@ -42,8 +42,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = build_session(f"local[{cpus}]", "propensity-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f"{t}.parquet")) for t in ("events", "customer", "nation"))
+    conf = sizing(input_bytes, cpus)
+    conf["spark.driver.memory"] = os.environ.get("BENCH_DRIVER_MEMORY", "16g")
+    spark = build_session(f"local[{cpus}]", "propensity-bench", extra=conf)
     spec = CTR_SPEC
     q: dict[str, float] = {}
     info: dict = {}

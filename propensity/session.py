@@ -40,6 +40,28 @@ def build_session(master: str | None = None, app: str = "propensity",
     return spark
 
 
+MB = 1 << 20
+
+
+def sizing(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Partition settings for a run over ``input_bytes`` of Parquet on
+    ``total_cores`` executor cores: scan splits and shuffle partitions near
+    ``target_partition_mb`` (spill-free for a few GB of executor memory per
+    core), never fewer than 2 tasks per core; AQE coalesces and splits skewed
+    partitions at run time from there. E.g. 100 TB on 8,000 cores gives
+    256 MB splits and ~400k shuffle partitions."""
+    per_part = max(32, target_partition_mb) * MB
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // per_part))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(per_part),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_part),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 

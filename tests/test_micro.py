@@ -165,3 +165,11 @@ def test_unseen_category_at_scoring(spark):
     model = Pipeline(stages=FE.index_one_hot("c", "features") + [make_classifier("lr", "target", maxIter=5)]).fit(train)
     out = model.transform(spark.createDataFrame([("zzz", 0)], "c string, target int")).collect()
     assert len(out) == 1
+
+
+def test_sizing():
+    from propensity.session import sizing
+    big = sizing(100 * 2 ** 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = sizing(1000, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
