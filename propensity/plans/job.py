@@ -175,7 +175,9 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
         df = io.conform(df, spec)
     key = spec.id_col or "_row_id"
     if cfg.sample_frac < 1.0:
-        df = sample(df, cfg.sample_frac, cfg.split.seed, cfg.split.method, key if spec.id_col else None)
+        # md5 sampling needs a row key; without one, Spark's seeded sampler (the reference's form)
+        method = cfg.split.method if spec.id_col else "seeded"
+        df = sample(df, cfg.sample_frac, cfg.split.seed, method, spec.id_col)
     # [EDA] one aggregate per profile table
     prof = profile_tables(df, spec)
     for name, t in prof.items():

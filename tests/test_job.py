@@ -53,3 +53,15 @@ def test_twin_preset_runs_on_fixture(spark, tmp_path):
                  grids={"lr": GridSpec({"regParam": [0.0]})}, params={"lr": {"maxIter": 5}})
     res = run_job(spark, cfg, df=ctr_frame(spark, SF001).drop("score"))
     assert 0.0 <= res["models"]["lr"]["doc"]["test_metrics"]["AUC_ROC"] <= 1.0
+
+
+def test_job_without_row_key_and_sampled(spark, tmp_path):
+    from propensity.plans.job import run_job
+    spec = CTR_SPEC.with_(id_col=None)
+    df = ctr_frame(spark, SF001).drop("score", "row_id")
+    cfg = JobConfig(output=str(tmp_path / "o"), spec=spec, models=("lr",), sample_frac=0.5,
+                    grids={"lr": GridSpec({"regParam": [0.0]})}, params={"lr": {"maxIter": 5}})
+    res = run_job(spark, cfg, df=df)
+    n = res["profile"]["shape"].first().n_rows
+    assert 350 < n < 650
+    assert res["models"]["lr"]["doc"]["test_metrics"]["Accuracy"] > 0

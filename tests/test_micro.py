@@ -173,3 +173,14 @@ def test_sizing():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = sizing(1000, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_anti_join_keeps_duplicate_rows(spark):
+    from propensity.operators.split import anti_join_split, attach_row_id
+    df = spark.createDataFrame([(1, "a")] * 4 + [(0, "b")] * 2, "target int, c string")
+    with_id = attach_row_id(df, None, "_row_id").persist()
+    train = with_id.where(F.col("_row_id") % 2 == 0)
+    test = anti_join_split(with_id, train, "_row_id")
+    assert train.count() + test.count() == 6
+    # joining on all columns instead would drop every duplicate of a row seen in train
+    assert with_id.drop("_row_id").join(train.drop("_row_id"), ["target", "c"], "left_anti").count() == 0
