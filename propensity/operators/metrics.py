@@ -54,7 +54,8 @@ def score_points(scored: DataFrame, label: str, score: str, groups=(),
         p = F.col(prediction)
         aggs += [F.count_if((p == 0) & (lab == 0)).alias("_p0n"), F.count_if((p == 0) & (lab == 1)).alias("_p0p"),
                  F.count_if((p == 1) & (lab == 0)).alias("_p1n"), F.count_if((p == 1) & (lab == 1)).alias("_p1p")]
-    return (scored.groupBy(*groups, F.col(score).alias("_s")).agg(*aggs)
+    return (scored.where(F.col(score).isNotNull())
+                  .groupBy(*groups, F.col(score).alias("_s")).agg(*aggs)
                   .where((F.col("_pos") + F.col("_neg")) > 0))
 
 
@@ -80,8 +81,9 @@ def ranked_points(scored: DataFrame, label: str, score: str, groups,
     extra = list(PRED_CELLS) if prediction else []
     if persist:
         pts = pts.persist()
+    finite = F.when(~F.isnan("_s"), F.col("_s"))  # NaN ranks above every number, as in Spark's ordering
     gs = pts.groupBy(*groups).agg(
-        F.min("_s").alias("_lo"), F.max("_s").alias("_hi"),
+        F.min(finite).alias("_lo"), F.max(finite).alias("_hi"),
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),
         F.count(F.lit(1)).alias("_npts"))
     ginfo = gs.collect()  # one row per group (model x split): small by contract
@@ -108,7 +110,8 @@ def ranked_points(scored: DataFrame, label: str, score: str, groups,
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = keyed.approxQuantile("_key", probs, 1.0 / (4 * n_buckets))
     splits = sorted(set([float("-inf")] + list(qs) + [float("inf")]))
-    keyed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk").transform(keyed)
+    # NaN keys (NaN scores) land in an extra, highest bucket
+    keyed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk", handleInvalid="keep").transform(keyed)
     keyed = keyed.withColumn("_bk", F.col("_bk").cast("int")).drop("_key")
     part = groups + ["_bk"]
     tot = keyed.groupBy(*part).agg(F.sum("_pos").alias("_bp"), F.sum("_neg").alias("_bn"))

@@ -72,3 +72,15 @@ def test_all_null_column_numeric_profile(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     r = PR.numeric_profile(df, ["x"]).first()
     assert r.n == 0 and r.median is None and r.mean is None
+
+
+def test_nan_and_null_scores_with_buckets(spark, monkeypatch):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 1), rnd.choice([rnd.random(), float("nan"), None, 0.5])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "target int, score double")
+    base = M.ranking_metrics(df, "target", "score").first()
+    monkeypatch.setattr(M, "POINTS_PER_BUCKET", 5)
+    many = M.ranking_metrics(df, "target", "score").first()
+    assert many.auc_roc == base.auc_roc
+    assert many.n_pos + many.n_neg == sum(1 for t, s in rows if s is not None)
