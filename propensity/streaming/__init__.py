@@ -1 +1,7 @@
-"""streaming"""
+"""Streaming: nothing here on purpose.
+
+The reference job is batch only (no readStream/writeStream, watermarks,
+windows or state anywhere in it), so no streaming operator is built. A
+fitted ``PipelineModel`` from ``sources.io.load_model`` can be applied to a
+streaming DataFrame with ``transform`` as it is; that needs no code of ours.
+"""

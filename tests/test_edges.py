@@ -84,3 +84,20 @@ def test_nan_and_null_scores_with_buckets(spark, monkeypatch):
     many = M.ranking_metrics(df, "target", "score").first()
     assert many.auc_roc == base.auc_roc
     assert many.n_pos + many.n_neg == sum(1 for t, s in rows if s is not None)
+
+
+def test_positive_rate_by_value_with_null_targets(with_nulls):
+    r = PR.positive_rate(with_nulls, "target").first()
+    assert r.n_pos == with_nulls.where("target = 1").count()
+    assert r.positive_rate == pytest.approx(r.n_pos / 60)
+
+
+def test_importance_error_recorded_not_raised(spark):
+    from propensity.operators import models as MO
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.createDataFrame([(0, 1.0), (1, 2.0), (0, 0.5), (1, 3.0)], "target int, x double")
+    x = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    from pyspark.ml import PipelineModel
+    model = PipelineModel([MO.make_classifier("lr", "target", maxIter=5).fit(x)])
+    r = MO.feature_importances(spark, model, model_name="lr").collect()
+    assert len(r) == 1 and r[0].error
