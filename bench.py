@@ -5,7 +5,7 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``{"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}``.
 
 Stages (same grids as the reference's tuned search):
-  profile      one fused aggregate (rows, nulls, rates by missingness, moments) + class balance
+  profile      one fused aggregate (rows, classes, nulls, rates by missingness, moments)
   numeric_profile_exact  moments + exact median and p75 per numeric column
   split        exact stratified 80/20 split, tagged and checkpointed
   lr_search    regParam {0, 0.1} x elasticNet {0, 1}, 2 folds, maxIter 200, refit
@@ -61,10 +61,9 @@ def main() -> None:
 
     def profile():
         # the reference's EDA: rows, class balance, nulls per column (+ rates by
-        # missingness and moments), as one fused aggregate plus the class table
+        # missingness and moments), as one fused aggregate
         for t in PR.profile_summary(raw, spec.target, feats, list(spec.int_cols)).values():
             t.collect()
-        PR.class_balance(raw, spec.target).collect()
     timed("profile", profile)
     timed("numeric_profile_exact", lambda: PR.numeric_profile(raw, list(spec.int_cols)).collect())
 

@@ -134,10 +134,11 @@ def rate_by_value(df: DataFrame, col: str, target: str) -> DataFrame:
 
 
 def profile_summary(df: DataFrame, target: str, cols: list[str], numeric=()) -> dict[str, DataFrame]:
-    """The whole profile of the reference job (A1, A3-A6, A8 and moments of
-    A7) from ONE aggregate over the table; the class table (A2) is the only
-    other job. Returns small local frames: ``shape``, ``positive_rate``,
-    ``null_profile``, ``rate_by_missing``, ``moments``."""
+    """The whole profile of the reference job (A1-A6, A8 and moments of A7)
+    from ONE aggregate over the table. The class table (A2) comes from the
+    same aggregate when the target holds only 0, 1 and null (one grouped job
+    otherwise). Returns small local frames: ``shape``, ``class_balance``,
+    ``positive_rate``, ``null_profile``, ``rate_by_missing``, ``moments``."""
     spark = df.sparkSession
     t = F.col(target)
     td = t.cast("double")
@@ -156,7 +157,14 @@ def profile_summary(df: DataFrame, target: str, cols: list[str], numeric=()) ->
     n = r["n"]
     classes = sum(1 for k in ("n0", "n1", "nnull", "nother") if r[k])
     pct = (lambda v: round(100.0 * v / n, 2)) if n else (lambda v: None)
+    if r["nother"]:
+        balance = class_balance(df, target)  # labels beyond 0/1: one more grouped job
+    else:
+        ttype = df.schema[target].dataType.simpleString()
+        rows = [(v, r[k]) for v, k in ((None, "nnull"), (0, "n0"), (1, "n1")) if r[k]]
+        balance = spark.createDataFrame(rows, f"{target} {ttype}, n bigint")
     return {
+        "class_balance": balance,
         "shape": spark.createDataFrame([(n, len(df.columns))], "n_rows bigint, n_columns int"),
         "positive_rate": spark.createDataFrame(
             [(n, r["n1"], (r["n1"] / n) if classes > 1 else -1.0)],

@@ -93,12 +93,10 @@ def parse_models(text: str) -> list[str]:
 
 
 def profile_tables(df: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:
-    """The EDA summary: one fused aggregate plus the class table."""
+    """The EDA summary: one fused aggregate."""
     feats = [c for c in spec.features if c in df.columns]
     nums = [c for c in spec.int_cols if c in df.columns]
-    out = PR.profile_summary(df, spec.target, feats, nums)
-    out["class_balance"] = PR.class_balance(df, spec.target)
-    return out
+    return PR.profile_summary(df, spec.target, feats, nums)
 
 
 def tag_split(df: DataFrame, spec: FeatureSpec, s: SplitSpec, key: str) -> DataFrame:

@@ -204,3 +204,9 @@ def profile_sink_roundtrip(spark, sf_dir):
     """S3: the null profile written as JSON into the shared folder and read back."""
     path = io.write_profile(PR.null_profile(ctr_frame(spark, sf_dir), FEATURES), scratch_path(spark, "eda"))
     return spark.read.schema("feature string, n_null bigint, pct_null double").json(path)
+
+
+@query("profile_fused_classes", sql="SELECT target, count(*) AS n FROM ctr GROUP BY target")
+def profile_fused_classes(spark, sf_dir):
+    """A2 from the job's fused profile aggregate."""
+    return PR.profile_summary(ctr_frame(spark, sf_dir), "target", FEATURES, INTS)["class_balance"]

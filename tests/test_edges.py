@@ -101,3 +101,13 @@ def test_importance_error_recorded_not_raised(spark):
     model = PipelineModel([MO.make_classifier("lr", "target", maxIter=5).fit(x)])
     r = MO.feature_importances(spark, model, model_name="lr").collect()
     assert len(r) == 1 and r[0].error
+
+
+def test_fused_class_balance(with_nulls, spark):
+    fused = PR.profile_summary(with_nulls, "target", ["x"])["class_balance"]
+    direct = PR.class_balance(with_nulls, "target")
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    assert sorted(map(tuple, fused.collect()), key=key) == sorted(map(tuple, direct.collect()), key=key)
+    other = spark.createDataFrame([(0,), (2,), (2,)], "target int")
+    got = {r.target: r.n for r in PR.profile_summary(other, "target", [])["class_balance"].collect()}
+    assert got == {0: 1, 2: 2}
