@@ -137,11 +137,17 @@ class ColumnScaler:
 
 # ------------------------------------------------------------ E8/E9
 def preprocessing_stages(spec: FeatureSpec, relative_error: float = 0.001,
-                         indicators: bool = False, num_features: int | None = None) -> list:
+                         indicators: bool = False, num_features: int | None = None,
+                         style: str = "canonical") -> list:
     """E8 without the classifier: imputer -> hasher -> assembler -> scaler.
 
     ``indicators=True`` puts the missingness/sentinel flags between the
-    numerics and the hashed block, un-imputed (E7)."""
+    numerics and the hashed block, un-imputed (E7). ``style="twin"`` gives
+    the single-machine twin's stages instead (exact median, signed hashing,
+    population scaling, indicators always in; see ``twin``)."""
+    if style == "twin":
+        from .twin import twin_preprocessing_stages
+        return twin_preprocessing_stages(spec, num_features)
     n = num_features or spec.num_hash_features
     inputs = (list(spec.imputed_cols) + (list(spec.indicator_cols) if indicators else [])
               + (["cat_features"] if spec.cat_cols else []))

@@ -39,9 +39,9 @@ def make_classifier(kind: str, label: str, features: str = "features", **params)
 
 
 def build_pipeline(spec: FeatureSpec, kind: str, relative_error: float = 0.001,
-                   indicators: bool = False, **params) -> Pipeline:
+                   indicators: bool = False, style: str = "canonical", **params) -> Pipeline:
     """Imputer -> hasher -> assembler -> scaler -> classifier."""
-    return Pipeline(stages=preprocessing_stages(spec, relative_error, indicators)
+    return Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)
                     + [make_classifier(kind, spec.target, **params)])
 
 

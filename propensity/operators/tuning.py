@@ -112,7 +112,8 @@ def _gbt_prefix_prob(model: GBTClassificationModel, df: DataFrame, n_trees: int,
 def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpec,
                    folds: FoldSpec = FoldSpec(), base_params: dict | None = None,
                    relative_error: float = 0.001, indicators: bool = False,
-                   parallelism: int = 2, dedupe: bool = True, key: str | None = None) -> SearchResult:
+                   parallelism: int = 2, dedupe: bool = True, key: str | None = None,
+                   style: str = "canonical") -> SearchResult:
     """M5 + M6 + M10: mean validation AUC per grid point, best point refitted
     on all of ``train``; ``fit_time_sec`` covers the search and the refit.
 
@@ -127,8 +128,9 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     train = prepare_training(train, label)
     if key not in train.columns:
         train = train.withColumn(key, F.monotonically_increasing_id())
+    with_flags = indicators or style == "twin"
     needed = [c for c in dict.fromkeys([key, label, *spec.int_cols, *spec.cat_cols,
-                                        *(spec.indicator_cols if indicators else ())]) if c in train.columns]
+                                        *(spec.indicator_cols if with_flags else ())]) if c in train.columns]
     tagged = persist_spread(assign_folds(train.select(*needed), folds.num_folds, folds.seed, key,
                                          folds.method, target=label, stratified=folds.stratified, col="_fold"))
     if dedupe:
@@ -144,7 +146,7 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
         def prepare(f):
             trn = tagged.where(F.col("_fold") != f)
             val = tagged.where(F.col("_fold") == f)
-            prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators)).fit(trn)
+            prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)).fit(trn)
             return (prep.transform(trn).select(label, "features").persist(),
                     prep.transform(val).select(label, "features").persist())
         data = list(pool.map(prepare, range(folds.num_folds)))
@@ -181,7 +183,7 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     avg = [sum(m) / len(m) for m in fold_metrics]
     best = max(range(len(combos)), key=lambda i: (avg[i], -i))
     best_params = {**base, **combos[best]}
-    model = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators)
+    model = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)
                      + [make_classifier(kind, label, **best_params)]).fit(train)
     n_fits += 1
     tagged.unpersist()

@@ -51,6 +51,7 @@ class JobConfig:
     indicators: bool = False
     parallelism: int = 2
     partitions: int | None = None  # minimum partitions of the split table (default: defaultParallelism)
+    style: str = "canonical"       # preprocessing stages: "canonical" (MLlib) or "twin"
 
 
 def preset(name: str, output: str, input: str | None = None, **overrides) -> JobConfig:
@@ -60,9 +61,10 @@ def preset(name: str, output: str, input: str | None = None, **overrides) -> Job
                    LR/RF/GBT with the tuned grids;
     ``legacy``     the older job: 16,384 buckets, plain random 80/20 split,
                    LR (maxIter 50) and RF (50-tree grid) only;
-    ``twin``       the single-machine twin's choices on Spark: indicator flags
-                   in the vector, intCol_1 not log-scaled, exact stratified
-                   split, stratified folds, 50-tree RF grid."""
+    ``twin``       the single-machine twin's choices on Spark: exact median
+                   imputer, signed hashing, indicator flags in the vector,
+                   population scaling, intCol_1 not log-scaled, exact
+                   stratified split, stratified folds, 50-tree RF grid."""
     from ..spec import (CRITEO_LEGACY, CRITEO_TWIN, LEGACY_LR_DEFAULTS, LEGACY_RF_DEFAULTS,
                         LEGACY_RF_GRID, TWIN_GBT_GRID, TWIN_RF_GRID)
     if name == "canonical":
@@ -73,7 +75,7 @@ def preset(name: str, output: str, input: str | None = None, **overrides) -> Job
                         grids={"lr": LR_GRID, "rf": LEGACY_RF_GRID},
                         params={"lr": LEGACY_LR_DEFAULTS, "rf": LEGACY_RF_DEFAULTS})
     elif name == "twin":
-        cfg = JobConfig(output=output, input=input, spec=CRITEO_TWIN, indicators=True,
+        cfg = JobConfig(output=output, input=input, spec=CRITEO_TWIN, indicators=True, style="twin",
                         split=SplitSpec(exact=True), folds=FoldSpec(stratified=True),
                         grids={"lr": LR_GRID, "rf": TWIN_RF_GRID, "gbt": TWIN_GBT_GRID})
     else:
@@ -193,13 +195,14 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
         search = None
         if cfg.tune:
             search = TU.cross_validate(train, spec, kind, cfg.grids[kind], cfg.folds, params,
-                                       cfg.relative_error, cfg.indicators, cfg.parallelism, key=key)
+                                       cfg.relative_error, cfg.indicators, cfg.parallelism, key=key,
+                                       style=cfg.style)
             model, fit_time = search.best_model, search.fit_time_sec
         else:
             import time
             t0 = time.monotonic()
-            model = MO.fit(MO.build_pipeline(spec, kind, cfg.relative_error, cfg.indicators, **params),
-                           train, spec.target)
+            model = MO.fit(MO.build_pipeline(spec, kind, cfg.relative_error, cfg.indicators,
+                                             style=cfg.style, **params), train, spec.target)
             fit_time = time.monotonic() - t0
         io.save_model(model, os.path.join(cfg.output, f"{kind}_best_pipeline"))
         scored = score_splits(model, tagged, spec, key).persist()

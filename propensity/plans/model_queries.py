@@ -295,3 +295,25 @@ def end_to_end_job(spark, sf_dir):
                     params={"lr": {"maxIter": 20}, "rf": {"numTrees": 5}, "gbt": {"maxDepth": 3}})
     run_job(spark, cfg, df=ctr_frame(spark, sf_dir).drop("score"))
     return io.read_metrics(spark, f"{out}/report")
+
+
+_TWIN_FLAGS = {"w0": "CAST(int_0 IS NULL AS DOUBLE)", "w3": "CAST(int_3 IS NULL AS DOUBLE)",
+               "s1": "CAST(coalesce(int_1 = -1, false) AS DOUBLE)", "s2": "CAST(coalesce(int_1 = -2, false) AS DOUBLE)"}
+_TWIN_SLOTS = [f"i_{c}" for c in INTS] + list(_TWIN_FLAGS)
+
+
+@query("twin_pipeline_features", sql=f"""med AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in INTS)} FROM ctr),
+imp AS (SELECT row_id, {", ".join(f"coalesce({c}, m_{c}) AS i_{c}" for c in INTS)},
+               {", ".join(f"{e} AS {k}" for k, e in _TWIN_FLAGS.items())} FROM ctr, med),
+sd AS (SELECT {", ".join(f"stddev_pop({x}) AS s_{x}" for x in _TWIN_SLOTS)} FROM imp)
+SELECT row_id, {", ".join(f"round(CASE WHEN s_{x} = 0 THEN {x} ELSE {x} / s_{x} END, 6) AS f{i}" for i, x in enumerate(_TWIN_SLOTS))}
+FROM imp, sd""")
+def twin_pipeline_features(spark, sf_dir):
+    """A13 + E3 + E6 + E7 as pipeline stages (the single-machine twin's
+    preprocessing): exact midpoint medians, indicator flags, population
+    scaling; the first eight slots of the scaled vector."""
+    from ..operators.twin import twin_preprocessing_stages
+    df = clean(ctr_frame(spark, sf_dir), S.with_(skewed=()), indicators=True)
+    prep = Pipeline(stages=twin_preprocessing_stages(S)).fit(df)
+    arr = vector_to_array("features")
+    return rounded(prep.transform(df).select("row_id", *[arr[i].alias(f"f{i}") for i in range(len(_TWIN_SLOTS))]))

@@ -49,3 +49,31 @@ def test_dedupe_copies_equivalent_points(ctr01):
                             FoldSpec(2, 42), {"maxIter": 5}, key="row_id")
     assert res.avg_metrics[0] == res.avg_metrics[1]
     assert res.n_fits == 2 + 2 + 1
+
+
+def test_twin_stages_match_native_operators(spark, ctr01, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from propensity.operators import features as FE
+    from propensity.operators.twin import twin_preprocessing_stages
+    df = clean(ctr01, CTR_SPEC, indicators=True)
+    prep = Pipeline(stages=twin_preprocessing_stages(CTR_SPEC)).fit(df)
+    out = prep.transform(df)
+    ints = list(CTR_SPEC.int_cols)
+    meds = FE.fit_medians(df, ints)
+    native = FE.impute(df, meds)
+    scaler = FE.ColumnScaler.fit(native, list(CTR_SPEC.imputed_cols), ddof=0)
+    want = {r.row_id: r for r in scaler.transform(native).select("row_id", *CTR_SPEC.imputed_cols).collect()}
+    arr = vector_to_array("features")
+    got = out.select("row_id", *[arr[i].alias(f"f{i}") for i in range(len(ints))]).collect()
+    for r in got[:500]:
+        for i, c in enumerate(CTR_SPEC.imputed_cols):
+            assert r[f"f{i}"] == pytest.approx(want[r.row_id][c], rel=1e-9)
+    hashed = FE.signed_hash_vector(df, list(CTR_SPEC.cat_cols), 128).select("row_id", "signed_features")
+    a = {r.row_id: r.signed_features.toArray().tolist() for r in hashed.limit(200).collect()}
+    b = {r.row_id: r.cat_features.toArray().tolist() for r in out.where(F.col("row_id").isin(list(a))).collect()}
+    assert a == b
+    path = str(tmp_path / "twin")
+    prep.write().overwrite().save(path)
+    again = PipelineModel.load(path).transform(df).select("row_id", "features").collect()
+    first = {r.row_id: r.features for r in out.select("row_id", "features").collect()}
+    assert all(first[r.row_id] == r.features for r in again)
