@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_u32
+from ..session import cut_lineage
 
 HASH_BITS = 32
 RANK_BUCKET_BITS = 20
@@ -106,7 +107,9 @@ def stratified_split(df: DataFrame, target: str, train_frac: float = 0.8, seed:
     fractions = {c: train_frac for c in classes}
     if method == "hash":
         return split_parts(tag_stratified_split(df, target, fractions, seed, key))
-    with_id = attach_row_id(df, key, "_row_id").persist()
+    # the ids must not change between the sample and the anti join: a
+    # reliable checkpoint fixes them (and survives executor loss)
+    with_id = cut_lineage(attach_row_id(df, key, "_row_id"))
     train = with_id.sampleBy(target, fractions=fractions, seed=seed)
     test = anti_join_split(with_id, train, "_row_id")
     drop = [] if key == "_row_id" else ["_row_id"]

@@ -126,7 +126,8 @@ def evaluate_model(kind: str, scored: DataFrame, spec: FeatureSpec) -> dict[str,
     }
 
 
-def metrics_document(kind: str, tables: dict, fit_time: float, search=None, importances=None) -> dict:
+def metrics_document(kind: str, tables: dict, fit_time: float, search=None, importances=None,
+                     label: str = "target") -> dict:
     """The reference's metrics JSON layout, from the (small) report tables."""
     rep = tables["report"].collect()
     doc = {"training_metrics": {}, "test_metrics": {}}
@@ -141,7 +142,7 @@ def metrics_document(kind: str, tables: dict, fit_time: float, search=None, impo
     conf = tables["confusion"].collect()
     cm: dict = {}
     for r in conf:
-        cm.setdefault(str(r["prediction"]), {})[str(r[list(r.asDict())[1]])] = r["n"]
+        cm.setdefault(str(r["prediction"]), {})[str(r[label])] = r["n"]
     doc["confusion_matrix"] = cm
     doc["roc_points"] = [{"threshold": r["threshold"], "tpr": r["tpr"], "fpr": r["fpr"]}
                          for r in tables["roc_points"].orderBy("threshold").collect()]
@@ -211,9 +212,18 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
         if kind in ("rf", "gbt"):
             imp = model.stages[-1].featureImportances.toArray().tolist()
             top = sorted(range(len(imp)), key=lambda i: (-imp[i], i))[:20]
-        doc = metrics_document(kind, tables, fit_time, search, top)
+        doc = metrics_document(kind, tables, fit_time, search, top, spec.target)
         write_json_doc(spark, doc, os.path.join(cfg.output, f"metrics_{kind}"))
         io.write_metrics(tables["report"], os.path.join(cfg.output, "report"))
+        io.write_metrics(tables["confusion"], os.path.join(cfg.output, "confusion"))
+        io.write_metrics(tables["roc_points"], os.path.join(cfg.output, "roc_points"))
+        if search is not None:
+            io.write_metrics(search.table(spark).select(F.lit(kind).alias("model"), "*"),
+                             os.path.join(cfg.output, "cv"))
+        if kind in ("rf", "gbt"):
+            names = MO.feature_names(model, tagged)
+            io.write_metrics(MO.feature_importances(spark, model, names, kind),
+                             os.path.join(cfg.output, "importances"))
         scored.unpersist()
         out["models"][kind] = {"doc": doc, "search": search}
     return out

@@ -65,3 +65,15 @@ def test_job_without_row_key_and_sampled(spark, tmp_path):
     n = res["profile"]["shape"].first().n_rows
     assert 350 < n < 650
     assert res["models"]["lr"]["doc"]["test_metrics"]["Accuracy"] > 0
+
+
+def test_job_writes_tables(spark, tmp_path):
+    from propensity.plans.job import run_job
+    out = str(tmp_path / "o")
+    cfg = JobConfig(output=out, spec=CTR_SPEC, models=("gbt",), grids={"gbt": GridSpec({"maxIter": [2]})},
+                    params={"gbt": {"maxDepth": 2}})
+    run_job(spark, cfg, df=ctr_frame(spark, SF001).drop("score"))
+    for t in ("report", "confusion", "roc_points", "cv", "importances"):
+        assert spark.read.json(os.path.join(out, t)).where("model = 'gbt'").count() > 0
+    imp = spark.read.json(os.path.join(out, "importances"))
+    assert abs(imp.agg({"importance": "sum"}).first()[0] - 1.0) < 1e-9
