@@ -125,7 +125,7 @@ pts AS (SELECT score, count(*) FILTER (WHERE target = 1) AS pos, count(*) FILTER
         FROM ctr GROUP BY score),
 cum AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp,
                sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM pts)
-SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+SELECT round(score, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
        round(tp / P, 6) AS tpr, round(fp / N, 6) AS fpr FROM cum
 UNION ALL SELECT NULL::DOUBLE, 0::BIGINT, 0::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE""")
 def roc_curve(spark, sf_dir):
@@ -139,7 +139,7 @@ cum AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(n
                sum(pos) OVER () AS P, sum(neg) OVER () AS N,
                lead(pos) OVER (ORDER BY score DESC) AS npos, lead(neg) OVER (ORDER BY score DESC) AS nneg,
                row_number() OVER (ORDER BY score DESC) AS k FROM pts)
-SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+SELECT round(score, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
        round(tp / P, 6) AS tpr, round(fp / N, 6) AS fpr FROM cum
 WHERE k = 1 OR npos IS NULL OR npos <> pos OR nneg <> neg
 UNION ALL SELECT NULL::DOUBLE, 0::BIGINT, 0::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE""")

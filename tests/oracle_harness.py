@@ -22,13 +22,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = True  # exact float equality: both sides must round the same columns themselves
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
