@@ -33,7 +33,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import persist_spread
+from ..session import checkpoint_dir, persist_spread
 from ..spec import FeatureSpec, FoldSpec, GridSpec
 from . import metrics as M
 from .features import preprocessing_stages
@@ -124,6 +124,8 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     label = spec.target
     combos = grid.combos() or [{}]
     t0 = time.monotonic()
+    if kind in ("rf", "gbt"):
+        checkpoint_dir(train.sparkSession)  # tree learners checkpoint every 10 iterations
     key = key or spec.id_col or "_row_id"
     train = prepare_training(train, label)
     if key not in train.columns:
@@ -183,8 +185,9 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     avg = [sum(m) / len(m) for m in fold_metrics]
     best = max(range(len(combos)), key=lambda i: (avg[i], -i))
     best_params = {**base, **combos[best]}
+    # refit on every training row, read from the cached, pruned fold table
     model = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)
-                     + [make_classifier(kind, label, **best_params)]).fit(train)
+                     + [make_classifier(kind, label, **best_params)]).fit(tagged.drop("_fold"))
     n_fits += 1
     tagged.unpersist()
     notes = []
