@@ -36,10 +36,6 @@ def attach_row_id(df: DataFrame, id_col: str | None = None, name: str = "_row_id
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def hash_unit(key: str, seed=42, name: str = "_h") -> F.Column:
-    return md5_u32(key, seed).alias(name)
-
-
 def _hash_keep(key: str, seed, fraction: float) -> F.Column:
     return (md5_u32(key, seed) % 1000) < F.lit(int(round(fraction * 1000)))
 

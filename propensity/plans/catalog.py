@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixtures import CTR_SPEC, ctr_frame, with_ctr
+from ..fixtures import CTR_SPEC, with_ctr
 from ..functions.hashing import md5_u32_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,10 +34,6 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
-
-
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (for comparison with SQL)."""
     return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double"

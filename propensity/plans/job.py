@@ -22,14 +22,13 @@ from ..fixtures import CTR_SPEC, ctr_frame
 from ..operators import metrics as M
 from ..operators import models as MO
 from ..operators import profile as PR
-from ..operators import report as RP
 from ..operators import tuning as TU
 from ..operators.clean import clean
 from ..operators.split import (attach_row_id, sample, split_parts, tag_exact_stratified_split,
                                tag_random_split, tag_stratified_split)
 from ..session import checkpoint_spread
 from ..sources import io
-from ..spec import (CRITEO, GBT_GRID, LR_GRID, RF_GRID, FeatureSpec, FoldSpec, GridSpec,
+from ..spec import (CRITEO, GBT_GRID, LR_GRID, RF_GRID, FeatureSpec, FoldSpec,
                     SplitSpec)
 
 GRIDS = {"lr": LR_GRID, "rf": RF_GRID, "gbt": GBT_GRID}

@@ -38,7 +38,6 @@ def fixture_scored(spark, sf_dir):
     return a.unionByName(b).withColumn("prediction", (F.col("score") >= 0.5).cast("double"))
 
 
-PLANTED_SQL = "SELECT target, score FROM ctr"
 SCORED_SQL = f"""
 SELECT 'planted' AS model, split, target, score FROM tagged
 UNION ALL
