@@ -16,6 +16,8 @@ task, so ranks are computed in two levels: counts per (class, hash bucket)
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,38 +132,80 @@ def _with_bucket(df: DataFrame, key: str, seed, bits: int) -> DataFrame:
     return df.withColumns({"_h": h, "_b": F.shiftright(h, HASH_BITS - bits)})
 
 
+def _refine(lo: int, width: int, below: int, need: int, rows, bits: int) -> tuple:
+    """Pick, among the counted sub-ranges of [lo, lo+width), the one where
+    the class's ``need``-th row falls: (lo, width, rows below, need, rows in)."""
+    shift = max(0, (width.bit_length() - 1) - bits)
+    acc = below
+    for b, n in sorted(rows):
+        if acc + n >= need:
+            return lo + (b << shift), 1 << shift, acc, need, n
+        acc += n
+    return lo + width, 0, acc, need, 0
+
+
 def tag_exact_stratified_split(df: DataFrame, target: str, train_frac: float = 0.8,
                                seed: int = 42, key: str = "_row_id", col: str = "split",
-                               bits: int = RANK_BUCKET_BITS) -> DataFrame:
+                               bits_per_pass: int = 12, max_rank_rows: int = 1_000_000) -> DataFrame:
     """Inside each class, the first ``floor(frac*n + 0.5)`` rows in
     (md5, key) order go to train, the rest to test; null targets go to test.
 
-    One aggregate over (class, hash bucket) finds, per class, the boundary
-    bucket and how many of its rows are train (one row per class, taken to
-    the driver as literals). Then every row outside a boundary bucket is
-    decided by comparing buckets in a projection, and only the boundary
-    buckets' rows are ranked."""
-    d = _with_bucket(df, key, seed, bits)
-    offs = _bucket_offsets(d.where(F.col(target).isNotNull()), target, bits)
-    n_train = F.floor(F.col("_class_n") * F.lit(train_frac) + F.lit(0.5))
-    bounds = (offs.where((F.col("_before") < n_train) & (F.col("_before") + F.col("_nb") >= n_train))
-                  .select(target, "_b", (n_train - F.col("_before")).alias("_need")).collect())
-    t = F.col(target)
-    bb = need = None
-    for r in bounds:  # one row per class
-        cond = t == F.lit(r[target])
-        bb = F.when(cond, F.lit(r["_b"])) if bb is None else bb.when(cond, F.lit(r["_b"]))
-        need = F.when(cond, F.lit(r["_need"])) if need is None else need.when(cond, F.lit(r["_need"]))
-    if bb is None:  # no class has a train row
-        return d.withColumn(col, F.lit("test")).drop("_h", "_b")
-    j = d.withColumns({"_bb": bb, "_need": need})
-    in_boundary = F.col("_b") == F.col("_bb")
-    inside = j.where(in_boundary)
-    rest = j.where(~in_boundary | F.col("_bb").isNull())
+    The boundary between train and test is searched in the 32-bit md5
+    space. Each pass counts rows per (class, one of 2^bits_per_pass
+    sub-ranges of the class's current boundary range), so the shuffle carries
+    at most classes x 4096 rows whatever the table size, and keeps the
+    sub-range holding the boundary. Once that range holds at most
+    ``max_rank_rows`` rows (after one pass below ~4e9 rows per class), rows
+    below it are train, rows above it test, and only its rows are ranked."""
+    d = df.withColumn("_h", md5_u32(key, seed))
+    t, hcol = F.col(target), F.col("_h")
+    first = (d.where(t.isNotNull())
+              .groupBy(t.alias("_t"), F.shiftright(hcol, HASH_BITS - bits_per_pass).alias("_b"))
+              .agg(F.count(F.lit(1)).alias("_n")).collect())
+    rows: dict = {}
+    for r in first:
+        rows.setdefault(r["_t"], []).append((r["_b"], r["_n"]))
+    state = {}
+    for c, rs in rows.items():
+        n = sum(x for _, x in rs)
+        state[c] = _refine(0, 1 << HASH_BITS, 0, int(math.floor(n * train_frac + 0.5)), rs, bits_per_pass)
+    while True:
+        todo = {c: v for c, v in state.items() if v[4] > max_rank_rows and v[1] > 1}
+        if not todo:
+            break
+        lo_c = shift_c = scope = None
+        for c, (lo, width, *_x) in todo.items():
+            cond = t == F.lit(c)
+            shift = max(0, (width.bit_length() - 1) - bits_per_pass)
+            lo_c = F.when(cond, F.lit(lo)) if lo_c is None else lo_c.when(cond, F.lit(lo))
+            shift_c = F.when(cond, F.lit(shift)) if shift_c is None else shift_c.when(cond, F.lit(shift))
+            rng = cond & (hcol >= F.lit(lo)) & (hcol < F.lit(lo + width))
+            scope = rng if scope is None else scope | rng
+        sub = F.call_function("shiftright", hcol - lo_c, shift_c)  # per-class shift
+        counts = (d.where(scope).groupBy(t.alias("_t"), sub.alias("_b"))
+                   .agg(F.count(F.lit(1)).alias("_n")).collect())
+        rows = {}
+        for r in counts:
+            rows.setdefault(r["_t"], []).append((r["_b"], r["_n"]))
+        for c, (lo, width, below, need, _n) in todo.items():
+            state[c] = _refine(lo, width, below, need, rows.get(c, []), bits_per_pass)
+    if not state:
+        return d.withColumn(col, F.lit("test")).drop("_h")
+    lo_c = hi_c = need_c = None
+    for c, (lo, width, below, need, _n) in state.items():
+        cond = t == F.lit(c)
+        lo_c = F.when(cond, F.lit(lo)) if lo_c is None else lo_c.when(cond, F.lit(lo))
+        hi_c = F.when(cond, F.lit(lo + width)) if hi_c is None else hi_c.when(cond, F.lit(lo + width))
+        left = need - below
+        need_c = F.when(cond, F.lit(left)) if need_c is None else need_c.when(cond, F.lit(left))
+    j = d.withColumns({"_lo": lo_c, "_hi": hi_c, "_need": need_c})
+    in_range = (hcol >= F.col("_lo")) & (hcol < F.col("_hi"))
+    inside = j.where(in_range)
+    rest = j.where(~in_range | F.col("_lo").isNull())
     rn = F.row_number().over(Window.partitionBy(target).orderBy("_h", key))
     inside = inside.withColumn(col, F.when(rn <= F.col("_need"), "train").otherwise("test"))
-    rest = rest.withColumn(col, F.when(F.col("_b") < F.col("_bb"), "train").otherwise("test"))
-    return inside.unionByName(rest).drop("_h", "_b", "_bb", "_need")
+    rest = rest.withColumn(col, F.when(hcol < F.col("_lo"), "train").otherwise("test"))
+    return inside.unionByName(rest).drop("_h", "_lo", "_hi", "_need")
 
 
 def class_rank(df: DataFrame, target: str, seed: int = 42, key: str = "_row_id",

@@ -41,8 +41,9 @@ def test_md5_split_counts(ctr01):
 
 
 def test_exact_split_counts(ctr01):
-    for bits in (20, 3):
-        t = SP.tag_exact_stratified_split(ctr01, "target", 0.8, 42, "row_id", bits=bits)
+    for bits, limit in ((12, 1_000_000), (3, 50), (2, 1)):  # one pass; several refinement passes
+        t = SP.tag_exact_stratified_split(ctr01, "target", 0.8, 42, "row_id", bits_per_pass=bits,
+                                          max_rank_rows=limit)
         got = {r.target: (r.n, r.s) for r in t.where("split = 'train'").groupBy("target")
                .agg(F.count(F.lit(1)).alias("n"), F.sum("row_id").alias("s")).collect()}
         assert got == {0: (6395, 32104780), 1: (1605, 7965065)}
