@@ -208,14 +208,24 @@ def tag_exact_stratified_split(df: DataFrame, target: str, train_frac: float = 0
     return inside.unionByName(rest).drop("_h", "_lo", "_hi", "_need")
 
 
+RANK_ROWS_PER_BUCKET = 250_000
+
+
 def class_rank(df: DataFrame, target: str, seed: int = 42, key: str = "_row_id",
-               name: str = "_rank", bits: int = RANK_BUCKET_BITS) -> DataFrame:
+               name: str = "_rank", bits: int | None = None) -> DataFrame:
     """0-based rank of each row inside its class in (md5, key) order,
     computed per (class, bucket) plus the bucket's offset.
 
-    The offsets table has at most classes x 2^bits rows; its join and the
-    rank window are both keyed by (class, bucket), so the big side is
-    shuffled once for both (AQE broadcasts the offsets when they are small)."""
+    ``bits`` (default: from a per-class count, enough buckets for about
+    250k rows each, at most 2^20) sets the buckets; the offsets table has at
+    most classes x 2^bits rows, so map-side partial aggregation of the
+    counts stays effective. Its join and the rank window are both keyed by
+    (class, bucket), so the big side is shuffled once for both (AQE
+    broadcasts the offsets when they are small)."""
+    if bits is None:
+        sizes = [r["n"] for r in df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()]
+        biggest = max(sizes, default=0)
+        bits = min(RANK_BUCKET_BITS, max(0, math.ceil(math.log2(max(1, biggest) / RANK_ROWS_PER_BUCKET))))
     d = _with_bucket(df, key, seed, bits)
     offs = _bucket_offsets(d, target, bits).select(target, "_b", "_before")
     w = Window.partitionBy(target, "_b").orderBy("_h", key)
