@@ -28,7 +28,7 @@ from ..operators.split import (attach_row_id, sample, split_parts, tag_exact_str
                                tag_random_split, tag_stratified_split)
 from ..session import checkpoint_spread
 from ..sources import io
-from ..spec import (CRITEO, GBT_GRID, LR_GRID, RF_GRID, FeatureSpec, FoldSpec,
+from ..spec import (CLICKS, GBT_GRID, LR_GRID, RF_GRID, FeatureSpec, FoldSpec,
                     SplitSpec)
 
 GRIDS = {"lr": LR_GRID, "rf": RF_GRID, "gbt": GBT_GRID}
@@ -41,7 +41,7 @@ class JobConfig:
     sample_frac: float = 1.0
     models: tuple = ("lr", "rf", "gbt")
     tune: bool = True
-    spec: FeatureSpec = CRITEO
+    spec: FeatureSpec = CLICKS
     split: SplitSpec = field(default_factory=SplitSpec)
     folds: FoldSpec = field(default_factory=FoldSpec)
     grids: dict = field(default_factory=lambda: dict(GRIDS))
@@ -64,17 +64,17 @@ def preset(name: str, output: str, input: str | None = None, **overrides) -> Job
                    imputer, signed hashing, indicator flags in the vector,
                    population scaling, intCol_1 not log-scaled, exact
                    stratified split, stratified folds, 50-tree RF grid."""
-    from ..spec import (CRITEO_LEGACY, CRITEO_TWIN, LEGACY_LR_DEFAULTS, LEGACY_RF_DEFAULTS,
+    from ..spec import (CLICKS_LEGACY, CLICKS_TWIN, LEGACY_LR_DEFAULTS, LEGACY_RF_DEFAULTS,
                         LEGACY_RF_GRID, TWIN_GBT_GRID, TWIN_RF_GRID)
     if name == "canonical":
         cfg = JobConfig(output=output, input=input)
     elif name == "legacy":
-        cfg = JobConfig(output=output, input=input, spec=CRITEO_LEGACY, models=("lr", "rf"),
+        cfg = JobConfig(output=output, input=input, spec=CLICKS_LEGACY, models=("lr", "rf"),
                         split=SplitSpec(stratified=False),
                         grids={"lr": LR_GRID, "rf": LEGACY_RF_GRID},
                         params={"lr": LEGACY_LR_DEFAULTS, "rf": LEGACY_RF_DEFAULTS})
     elif name == "twin":
-        cfg = JobConfig(output=output, input=input, spec=CRITEO_TWIN, indicators=True, style="twin",
+        cfg = JobConfig(output=output, input=input, spec=CLICKS_TWIN, indicators=True, style="twin",
                         split=SplitSpec(exact=True), folds=FoldSpec(stratified=True),
                         grids={"lr": LR_GRID, "rf": TWIN_RF_GRID, "gbt": TWIN_GBT_GRID})
     else:
@@ -149,7 +149,7 @@ def metrics_document(kind: str, tables: dict, fit_time: float, search=None, impo
 
 
 def eda_document(prof: dict, spec: FeatureSpec) -> dict:
-    """The reference's ``eda_summary.json`` layout from the profile tables."""
+    """The reference's EDA summary layout (nested JSON) from the profile tables."""
     n = prof["shape"].first()["n_rows"]
     nulls = {r["feature"]: r["n_null"] for r in prof["null_profile"].collect()}
     return {"n_rows": n, "n_features": len(spec.features),

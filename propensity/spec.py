@@ -111,32 +111,32 @@ class GridSpec:
 # Column names, the skewed-column list, the columns with missingness flags,
 # the intCol_1 sentinels and the bucket count are values that must equal the
 # reference's for the same features; they are stated here as they appear.
-CRITEO_INT_COLS = tuple(f"intCol_{i}" for i in range(13))
-CRITEO_CAT_COLS = tuple(f"catCol_{i}" for i in range(26))
-CRITEO_SKEWED = ("intCol_1", "intCol_2", "intCol_4", "intCol_5", "intCol_6",
+CLICKS_INT_COLS = tuple(f"intCol_{i}" for i in range(13))
+CLICKS_CAT_COLS = tuple(f"catCol_{i}" for i in range(26))
+CLICKS_SKEWED = ("intCol_1", "intCol_2", "intCol_4", "intCol_5", "intCol_6",
                  "intCol_7", "intCol_8", "intCol_10", "intCol_11", "intCol_12")
-CRITEO_SKEWED_TWIN = ("intCol_2", "intCol_4", "intCol_5", "intCol_6",
+CLICKS_SKEWED_TWIN = ("intCol_2", "intCol_4", "intCol_5", "intCol_6",
                       "intCol_7", "intCol_8", "intCol_10", "intCol_11", "intCol_12")
-CRITEO_FLAG_COLS = ("intCol_0", "intCol_2", "intCol_3", "intCol_4",
+CLICKS_FLAG_COLS = ("intCol_0", "intCol_2", "intCol_3", "intCol_4",
                     "intCol_5", "intCol_6", "intCol_8", "intCol_9",
                     "intCol_10", "intCol_11", "intCol_12")
-CRITEO_SENTINELS = (-1.0, -2.0)
-CRITEO_BUCKETS = 128
-CRITEO_BUCKETS_OLD = 16384
+CLICKS_SENTINELS = (-1.0, -2.0)
+CLICKS_BUCKETS = 128
+CLICKS_BUCKETS_OLD = 16384
 
-CRITEO = FeatureSpec(
+CLICKS = FeatureSpec(
     target="target",
-    int_cols=CRITEO_INT_COLS,
-    cat_cols=CRITEO_CAT_COLS,
-    skewed=CRITEO_SKEWED,
-    flag_cols=CRITEO_FLAG_COLS,
+    int_cols=CLICKS_INT_COLS,
+    cat_cols=CLICKS_CAT_COLS,
+    skewed=CLICKS_SKEWED,
+    flag_cols=CLICKS_FLAG_COLS,
     sentinel_col="intCol_1",
-    sentinels=CRITEO_SENTINELS,
-    num_hash_features=CRITEO_BUCKETS,
+    sentinels=CLICKS_SENTINELS,
+    num_hash_features=CLICKS_BUCKETS,
 )
 
-CRITEO_LEGACY = CRITEO.with_(num_hash_features=CRITEO_BUCKETS_OLD)
-CRITEO_TWIN = CRITEO.with_(skewed=CRITEO_SKEWED_TWIN)
+CLICKS_LEGACY = CLICKS.with_(num_hash_features=CLICKS_BUCKETS_OLD)
+CLICKS_TWIN = CLICKS.with_(skewed=CLICKS_SKEWED_TWIN)
 
 # Parameter grids of the reference's tuned search (enumeration order kept).
 LR_GRID = GridSpec({"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]})
