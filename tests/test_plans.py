@@ -36,3 +36,18 @@ def test_scan_is_pruned(spark):
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", p)
     assert schemas, p
     assert all("props" not in s and "c_mktsegment" not in s and "event_type" not in s for s in schemas)
+
+
+def test_broadcast_only_under_bound(spark):
+    from pyspark.sql import functions as F
+    from propensity.session import broadcast_if_bounded
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(1000).withColumn("k", F.col("id") % 10)
+        small = spark.range(10).withColumnRenamed("id", "k")
+        hinted = big.join(broadcast_if_bounded(small, 100, bound=10), "k")
+        plain = big.join(broadcast_if_bounded(small, 5, bound=10), "k")
+        assert "BroadcastHashJoin" in plan(hinted)
+        assert "BroadcastHashJoin" not in plan(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
