@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_MAX_ROWS, broadcast_if_bounded
+from ..session import BROADCAST_MAX_ROWS, broadcast_if_bounded, cut_lineage
 
 METRIC_NAMES = ("AUC_ROC", "AUC_PR", "Accuracy", "F1", "Weighted_Precision", "Weighted_Recall")
 DEFAULT_THRESHOLDS = tuple(i / 10.0 for i in range(11))
@@ -69,17 +69,22 @@ def _grouped(df: DataFrame, groups) -> tuple[DataFrame, list[str], list[str]]:
 
 
 def ranked_points(scored: DataFrame, label: str, score: str, groups,
-                  persist: bool = True, prediction: str | None = None
+                  persist: bool | str = True, prediction: str | None = None
                   ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Distinct scores with running ``_tp``/``_fp`` (counts at or above the
     score) and the per-group totals ``_P``/``_N``. ``groups`` must be
-    non-empty (see ``_grouped``). With ``persist`` the distinct-score table
-    is cached for the passes below and returned so the caller can release
-    it once its result is materialised."""
+    non-empty (see ``_grouped``). With ``persist=True`` the distinct-score
+    table is cached for the passes below and returned so the caller can
+    release it once its result is materialised; ``persist="checkpoint"``
+    writes it once to the shared checkpoint folder instead (for lazily
+    consumed results, which cannot release a cache)."""
     groups = list(groups)
     pts = score_points(scored, label, score, groups, prediction)
     extra = list(PRED_CELLS) if prediction else []
-    if persist:
+    if persist == "checkpoint":
+        pts = cut_lineage(pts)
+        persist = False
+    elif persist:
         pts = pts.persist()
     finite = F.when(~F.isnan("_s"), F.col("_s"))  # NaN ranks above every number, as in Spark's ordering
     gs = pts.groupBy(*groups).agg(
@@ -195,7 +200,7 @@ def roc_curve(scored: DataFrame, label: str, score: str, groups=(),
     point's (second difference zero), keeping the first and last point,
     like the single-machine twin's curve."""
     scored, groups, dummy = _grouped(scored, groups)
-    ranked, gs, _ = ranked_points(scored, label, score, groups, persist=False)
+    ranked, gs, _ = ranked_points(scored, label, score, groups, persist="checkpoint")
     pts = ranked
     if drop_collinear:
         # the next point (lower score) inside the bucket, or the first point
