@@ -141,3 +141,14 @@ def test_fused_evaluate_matches_separate_operators(ctr01):
     ra = {r.g: r for r in ev["ranking"].collect()}
     for r in M.ranking_metrics(scored, "target", "score", ["g"]).collect():
         assert ra[r.g].auc_roc == r.auc_roc and ra[r.g].auc_pr == pytest.approx(r.auc_pr, abs=1e-12)
+
+
+def test_score_saved_helper(spark, ctr01, tmp_path):
+    from propensity.fixtures import CTR_SPEC
+    from propensity.operators import models as MO
+    from propensity.sources import io
+    model = MO.fit(MO.build_pipeline(CTR_SPEC, "lr", maxIter=5), ctr01, "target")
+    path = io.save_model(model, str(tmp_path / "m"))
+    a = io.score_saved(path, ctr01).select("row_id", "prediction").orderBy("row_id").limit(50).collect()
+    b = model.transform(ctr01).select("row_id", "prediction").orderBy("row_id").limit(50).collect()
+    assert a == b
