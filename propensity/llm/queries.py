@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, simhash
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,35 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight FROM s),
+c AS (SELECT *, source_size * 3.0 AS cap, source_size * 3.0 / weight AS ratio FROM w),
+l AS (SELECT *, (sum(source_size) OVER () - (sum(cap) OVER o - cap)) / (sum(weight) OVER () - sum(weight) OVER o + weight) AS level
+      FROM c WINDOW o AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+f AS (SELECT arg_min(level, ratio) AS level FROM l WHERE ratio >= level - abs(level) * 1e-12),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM f) * weight, cap)) AS target FROM c),
+q AS (SELECT *, CAST(floor(target) AS BIGINT) AS quota FROM t),
+x AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota, d.source,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, round(target, 4) AS target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (quota // source_size) * size
+            + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken
+FROM x"""
+
+
+@query("op2_mixing", OP2_SQL)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.plan(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 4).alias("target"), "taken")
+
+
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
