@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import mixing, simhash, token_counts, winnowing
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +27,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"),
+                                           tokenizer=public_tokenizers.path("byte_bpe_50k.json"), store=False)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -55,6 +63,36 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 4).alias("target"), "taken")
 
 
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(len(w), 10) AS m, w[s : s + least(len(w), 10) - 1] AS win
+      FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT m FROM g),
+p AS (SELECT d.doc_id, s, m, w[s : s + m - 1] AS win
+      FROM d, sizes, unnest(range(1, len(w) - m + 2)) AS u(s)),
+hit AS (SELECT p.doc_id, p.s, p.m, g.item_id FROM p JOIN g ON p.m = g.m AND p.win = g.win),
+words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM hit, unnest(range(s, s + m)) AS u(pos) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+@query("op4_decontamination", OP4_SQL)
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, gram=5)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("item_list").cast("bigint").alias("n_items"),
+                      F.sha2(F.array_join("item_list", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
