@@ -65,6 +65,19 @@ def _short_hash(length: int, gram: Column) -> Column:
     return F.xxhash64(F.lit(length), gram)
 
 
+def _short_hashes(length: int, grams: Column) -> Column:
+    return F.transform(grams, lambda x: _short_hash(length, x))
+
+
+def _common_starts(length: int) -> Column:
+    """How many words before the shared gram a window may start that is equal
+    on both sides: it starts within both texts' words around the gram."""
+    def equal(b: Column) -> Column:
+        mine = F.slice("d_around", F.col("d_at") - b + 1, length)
+        return (F.size(mine) == length) & (mine == F.slice("around", F.col("at") - b + 1, length))
+    return F.filter(F.sequence(F.lit(0), F.least("d_at", "at")), equal)
+
+
 def _positions(grams: Column, wanted: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda p: F.array_contains(wanted, F.get(grams, p)))
 
@@ -99,7 +112,7 @@ def shared_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     # every document's kept hashes, joined with the benchmark's
     text = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), words_of(F.col(text_col)).alias("w"))
     kept = [_minima(_grams(F.col("w"), gram), run)]
-    kept += [F.transform(F.array_distinct(_grams(F.col("w"), m)), lambda x, m=m: _short_hash(m, x)) for m in short]
+    kept += [_short_hashes(m, F.array_distinct(_grams(F.col("w"), m))) for m in short]
     found = (text.select("id", "th", F.explode(F.concat(*kept) if len(kept) > 1 else kept[0]).alias("h"))
              .join(broadcast_if_bounded(wanted, MAX_BROADCAST_ROWS), F.col("h") == F.col("wanted"))
              .groupBy("id", "th").agg(F.collect_set("h").alias("shared")))
@@ -114,18 +127,14 @@ def shared_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
         reach = run - 1 if m == window else 0
         place = again.withColumn("g", _grams(F.col("w"), k))
         if m != window:
-            place = place.withColumn("g", F.transform("g", lambda x, m=m: _short_hash(m, x)))
+            place = place.withColumn("g", _short_hashes(m, F.col("g")))
         place = (place.where(F.size("g") > 0).withColumn("p", F.explode(_positions(F.col("g"), F.col("shared"))))
                  .withColumn("from", F.greatest(F.col("p") - reach, F.lit(0)))
                  .select("id", "th", F.get("g", "p").alias("d_h"), "from", (F.col("p") - F.col("from")).alias("d_at"),
                          F.slice("w", F.col("from") + 1, F.col("p") - F.col("from") + m).alias("d_around")))
         pairs = place.join(broadcast_if_bounded(hashes, MAX_BROADCAST_ROWS // 10),
                            (F.col("d_h") == F.col("h")) & (F.col("length") == m))
-        # a window that holds the gram starts up to ``reach`` words before it, in both texts
-        back = F.filter(F.sequence(F.lit(0), F.least("d_at", "at")), lambda b, m=m: (
-            (F.size(F.slice("d_around", F.col("d_at") - b + 1, m)) == m)
-            & (F.slice("d_around", F.col("d_at") - b + 1, m) == F.slice("around", F.col("at") - b + 1, m))))
-        part = (pairs.withColumn("b", F.explode(back))
+        part = (pairs.withColumn("b", F.explode(_common_starts(m)))
                 .select("id", "th", (F.col("from") + F.col("d_at") - F.col("b")).alias("start"),
                         F.lit(m).alias("length"), "items"))
         hits = part if hits is None else hits.unionByName(part)
@@ -157,6 +166,6 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that share a whole window with an item."""
     hits = shared_windows(docs, items, id_col, text_col, **options)
-    bad = written(hits.select(F.col("id").alias("h_id"), F.col("th").alias("h_th")).distinct(), "contaminated")
-    on = F.col("id").eqNullSafe(F.col("h_id")) & (F.xxhash64(text_col) == F.col("h_th"))
+    bad = written(hits.select(F.col("id").alias("__h_id"), F.col("th").alias("__h_th")).distinct(), "contaminated")
+    on = F.col(id_col).eqNullSafe(F.col("__h_id")) & (F.xxhash64(text_col) == F.col("__h_th"))
     return docs.join(broadcast_if_bounded(bad, MAX_BROADCAST_ROWS // 10), on, "left_anti").select(*docs.columns)
