@@ -76,7 +76,7 @@ class Vocabulary:
                 self.rank[t], self.left[t], self.right[t] = r, self.ids[a], self.ids[b]
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._follows_memo = Memo(self._adjacent, 300_000)
-        self._units = Memo(self.unit_steps, 250_000)
+        self._units = Memo(self.unit_steps, 500_000)
         # tokens that the merge rules do produce from their own bytes
         self.reachable = {t: i for t, i in self.ids.items() if len(t) == 1 or self._adjacent((self.left[i], self.right[i]), i)}
 
@@ -184,7 +184,7 @@ def parts_of(text: str) -> list[str]:
 class PrefixCounter:
     """Per-task state: steps of whole texts through the part memo."""
 
-    def __init__(self, vocabulary: Vocabulary, memo_size: int = 150_000):
+    def __init__(self, vocabulary: Vocabulary, memo_size: int = 300_000):
         self.v = vocabulary
         self.memo = Memo(vocabulary.part_steps, memo_size)
 

@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, token_counts, winnowing
-from .tables import table
+from . import mixing, packing, simhash, token_counts, toxicity, winnowing
+from .tables import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +93,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, "toxic", usable=fold_of(F.col("doc_id"), 5) != 0)
+    return toxicity.score(docs, model).select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), row_tokens=2048,
