@@ -4,12 +4,13 @@ Two word models, one of toxic and one of ordinary texts, share everything
 below their own counts: a word's probability under a class is its discounted
 count there plus the class's backoff weight times the probability under the
 word's spelling prefix, and a prefix's is its discounted count plus the
-backoff weight times a probability that both classes share. Bigrams back off
-to words. So an expression that one class never showed costs that class only
+backoff weight times a probability that both classes share. A bigram's is its
+discounted share of its first word plus the backoff weight times the pooled
+bigram, in the proportion of the class's word to the pooled word. So an expression that one class never showed costs that class only
 the shared probability, a rare one is smoothed toward how its prefix behaves,
-and what both classes never showed says nothing. Discounts are Kneser-Ney's
-(by count 1, 2 and 3 or more), lower orders use continuation counts (distinct
-contexts) of the pooled classes.
+and what both classes never showed says nothing. Discounts
+are absolute, by count 1, 2 and 3 or more; counts are of distinct texts, and
+lower orders use continuation counts (distinct words before) of both classes.
 
 A text's log-likelihood ratio is normalised by length twice: over the whole
 text, and over the most toxic run of ``run_words`` words, because a few words
@@ -47,6 +48,9 @@ WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 PREFIX_BYTES = 4
+
+#: Texts a bigram must occur in to have counts of its own.
+MIN_PAIR_TEXTS = 8
 _PREFIX = np.uint64(0xA24BAED4963EE407)
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
@@ -122,23 +126,34 @@ class Model:
         return mean, best
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Kneser-Ney discounts for counts 1, 2 and 3 or more, from the counts of counts."""
-    n = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-    if not all(n):
-        return np.array([0.75, 0.75, 0.75])
-    y = n[0] / (n[0] + 2 * n[1])
-    return np.clip([1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]], [0.1, 0.2, 0.3], [0.99, 1.9, 2.9])
+#: Absolute discounts for counts 1, 2 and 3 or more. The usual estimates from
+#: counts of counts (about 0.8, 1.2, 1.5) suit prediction; here a word that a
+#: class showed in one text only must not decide, so they are set higher.
+DISCOUNTS = np.array([0.0, 1.0, 1.9, 2.75])
+
+
+def _discount(counts: np.ndarray) -> np.ndarray:
+    return DISCOUNTS[np.minimum(counts, 3).astype(int)]
 
 
 def _discounted(counts: np.ndarray) -> tuple[np.ndarray, float]:
     """Discounted shares of the counts' sum, and what the discounts leave."""
-    d = np.concatenate([[0.0], _discounts(counts)])[np.minimum(counts, 3).astype(int)]
+    d = _discount(counts)
     total = max(counts.sum(), 1)
     share = np.maximum(counts - d, 0) / total
     return share, max(1 - share.sum(), 1e-9)
 
 
+def _context_shares(c: np.ndarray, words: np.ndarray, pairs: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each bigram's discounted share of its first word's count, and what
+    that leaves for words not seen after it."""
+    d = _discount(c[pairs])
+    share = np.maximum(c[pairs] - d, 0) / np.maximum(c[words][before], 1)
+    taken = np.bincount(before, share, len(words))
+    over = np.maximum(taken / 0.95, 1.0)  # several texts may share both words in more ways than the word has texts
+    return share / over[before], 1 - taken / over
+
+
 def _model(rows: dict) -> Model:
     """The model from count rows (kind, key, parent, word, toxic, ordinary):
     kind 0 a prefix; 1 a word (parent: its prefix); 2 a bigram (parent: the
@@ -155,16 +170,20 @@ def _model(rows: dict) -> Model:
     shared_prefix, shared_word = by_prefix / max(by_prefix.sum(), 1), contexts / by_prefix[of_prefix]
     before, last = word_row.rows(parent[pairs]), word_row.rows(word[pairs])
     pairs, before, last = (x[before >= 0] for x in (pairs, before, last))  # a text's first word has no context
+    # the bigram both classes share: pooled shares, what is left by the pooled words
+    pooled = counts.sum(0)
+    share, left = _discounted(pooled[words])
+    p_any = share + left * shared_prefix[of_prefix] * shared_word
+    share, left = _context_shares(pooled, words, pairs, before)
+    p_any_pair = share + left[before] * p_any[last]
     logs = {"pair": [], "word": [], "context": [], "prefix": [], "backoff": []}
     for c in counts:
         share, left_prefix = _discounted(c[prefixes])
         p_prefix = share + left_prefix * shared_prefix
         share, left_word = _discounted(c[words])
         p_word = share + left_word * p_prefix[of_prefix] * shared_word
-        d = np.concatenate([[0.0], _discounts(c[words])])[np.minimum(c[pairs], 3).astype(int)]
-        share = np.maximum(c[pairs] - d, 0) / np.maximum(c[words][before], 1)
-        left = np.maximum(1 - np.bincount(before, share, len(words)), 1e-3)
-        p_pair = share + left[before] * p_word[last]
+        share, left = _context_shares(c, words, pairs, before)
+        p_pair = share + left[before] * p_any_pair * (p_word / p_any)[last]
         for name, p in (("pair", p_pair), ("word", p_word), ("context", left), ("prefix", p_prefix), ("backoff", np.array([left_word, left_prefix]))):
             logs[name].append(np.log(np.maximum(p, 1e-300)))
     r = {k: (a - b).astype(np.float32) for k, (a, b) in logs.items()}
@@ -187,7 +206,7 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-          usable: Column | None = None, max_rows: int = 4096, run_words: int = 6, seed: int = 7) -> Model:
+          usable: Column | None = None, max_rows: int = 4096, run_words: int = 2, seed: int = 7) -> Model:
     """The model from at most about ``max_rows`` labelled texts of each class;
     ``usable`` (over ``labels``) says which labels may be learned from."""
     rows = labelled(labels.where(usable) if usable is not None else labels, label, id_col)
@@ -199,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     # the sample has a bounded number of rows, so it is broadcast to the texts
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(rows.withColumnRenamed(id_col, "l_id")), F.col("id") == F.col("l_id")).select(
-        "y", (F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(4)) == 0).alias("held"), "text")
+        "y", (F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.lit(4)) == 0).alias("held"), "text").dropDuplicates(["text", "y"])
     texts = written(texts, "labelled-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +235,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
                 word, prefix, before, pair, start = text_keys(data, offsets)
                 toxic = np.repeat(ys[first:first + len(offsets) - 1], np.diff(start))
                 none = np.zeros_like(word)
+                text = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint64), np.diff(start)) * _PAIR
                 for kind, key, parent, own in ((2, pair, before, word), (1, word, prefix, none), (0, prefix, none, none)):
+                    _, once = np.unique(mix(key ^ text), return_index=True)  # a text counts once
                     # one counter holds both classes: the class is folded into its key
-                    full = counter.add(key ^ (toxic.astype(np.uint64) << np.uint64(63)), None, np.full(len(key), kind, np.int32),
-                                       key, parent, own, toxic)
+                    full = counter.add(key[once] ^ (toxic[once].astype(np.uint64) << np.uint64(63)), None,
+                                       np.full(len(once), kind, np.int32), key[once], parent[once], own[once], toxic[once])
                     if full:
                         yield out(full)
         full = counter.drain()
@@ -233,8 +254,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     contexts = (counts.where("kind = 2").groupBy("word").agg(F.count(F.lit(1)).alias("toxic"))
                 .select(F.lit(3).alias("kind"), F.col("word").alias("key"), F.lit(0).cast("bigint").alias("parent"), "word", "toxic",
                         F.lit(0).cast("bigint").alias("ordinary")))
-    # a bigram that occurs once is left out of the model: its discount takes nearly all of it
-    table = counts.where("kind < 2 or toxic + ordinary > 1").unionByName(contexts).toArrow()
+    # a bigram of few texts is left out of the model: copies of one text would decide it
+    table = counts.where(f"kind < 2 or toxic + ordinary >= {MIN_PAIR_TEXTS}").unionByName(contexts).toArrow()
     rows = {c: table.column(c).to_numpy() for c in table.column_names}
     model = _model(rows)
     scored = _features(texts.where("held").select("y", "text"), "y", "text", model, run_words).toArrow()
@@ -268,7 +289,7 @@ def _features(rows: DataFrame, key: str, text: str, model: Model, run_words: int
                                               T.StructField("best", T.DoubleType())])).withColumnRenamed("key", key)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", run_words: int = 6) -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", run_words: int = 2) -> DataFrame:
     """(id_col, mean, best, score): every whole text's features and score."""
     out = _features(docs, id_col, text_col, model, run_words)
     if model.constant is not None:
@@ -277,7 +298,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return out.withColumn("score", 1 / (1 + F.exp(-(F.lit(b) + F.lit(m) * F.col("mean") + F.lit(r) * F.col("best")))))
 
 
-def ordinary(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5, run_words: int = 6) -> DataFrame:
+def ordinary(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5, run_words: int = 2) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)

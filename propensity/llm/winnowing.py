@@ -48,17 +48,28 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.filter(split, lambda w: w != ""), F.array().cast("array<string>"))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of an array value that is computed once, although lambdas in
+    the body use it at every position."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _grams(words: Column, k: int) -> Column:
     """Hash of the k-gram at each position (empty if there are fewer words)."""
-    at = lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)])
-    return F.when(F.size(words) >= k, F.transform(F.sequence(F.lit(0), F.size(words) - k), at)).otherwise(
-        F.array().cast("array<bigint>"))
+    def of(w: Column) -> Column:
+        at = lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)])
+        return F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(0), F.size(w) - k), at)).otherwise(
+            F.array().cast("array<bigint>"))
+    return let(words, of)
 
 
 def _minima(grams: Column, run: int) -> Column:
     """The distinct minima of the runs of ``run`` consecutive grams."""
-    low = F.transform(F.sequence(F.lit(1), F.size(grams) - (run - 1)), lambda i: F.array_min(F.slice(grams, i, run)))
-    return F.when(F.size(grams) >= run, F.array_distinct(low)).otherwise(F.array().cast("array<bigint>"))
+    def of(g: Column) -> Column:
+        least = lambda i: F.least(*[F.get(g, i + j) for j in range(run)]) if run > 1 else F.get(g, i)
+        low = F.transform(F.sequence(F.lit(0), F.size(g) - run), least)
+        return F.when(F.size(g) >= run, F.array_distinct(low)).otherwise(F.array().cast("array<bigint>"))
+    return let(grams, of)
 
 
 def _short_hash(length: int, gram: Column) -> Column:
@@ -79,7 +90,9 @@ def _common_starts(length: int) -> Column:
 
 
 def _positions(grams: Column, wanted: Column) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda p: F.array_contains(wanted, F.get(grams, p)))
+    """Where the wanted hashes stand (``grams`` is not empty)."""
+    return let(wanted, lambda x: let(grams, lambda g: F.filter(
+        F.sequence(F.lit(0), F.size(g) - 1), lambda p: F.array_contains(x, F.get(g, p)))))
 
 
 def shared_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -113,7 +126,8 @@ def shared_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     text = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), words_of(F.col(text_col)).alias("w"))
     kept = [_minima(_grams(F.col("w"), gram), run)]
     kept += [_short_hashes(m, F.array_distinct(_grams(F.col("w"), m))) for m in short]
-    found = (text.select("id", "th", F.explode(F.concat(*kept) if len(kept) > 1 else kept[0]).alias("h"))
+    # explode_outer: the plain form would compute its array a second time to filter empty ones
+    found = (text.select("id", "th", F.explode_outer(F.concat(*kept) if len(kept) > 1 else kept[0]).alias("h"))
              .join(broadcast_if_bounded(wanted, MAX_BROADCAST_ROWS), F.col("h") == F.col("wanted"))
              .groupBy("id", "th").agg(F.collect_set("h").alias("shared")))
     found = written(found.select(F.col("id").alias("f_id"), F.col("th").alias("f_th"), "shared"), "shared-hashes")
