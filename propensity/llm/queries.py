@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, token_counts, toxicity, winnowing
+from . import langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
 from .tables import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    w = quality.train(docs, labels, "quality", usable=fold_of(F.col("doc_id"), 5) != 0)
+    return quality.score(docs, w).select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -101,6 +109,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op8_langid")
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, usable=fold_of(F.col("doc_id"), 3) != 1)
+    return langid.predict(docs, model).select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "n_langs")
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), row_tokens=2048,
