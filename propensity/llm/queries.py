@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
+from . import bottomk, langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
 from .tables import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bottomk.edited_pairs(table(spark, sf_dir, "documents"), k=128, shingle=5)
+    return out.select(F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                      bottomk.to_string(F.col("sketch")).alias("fingerprint"),
+                      bottomk.to_string(F.col("edited_sketch")).alias("edited_fingerprint"),
+                      bottomk.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+                      bottomk.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
