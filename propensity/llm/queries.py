@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
+from . import bottomk, class_lm, langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
 from .tables import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 4).alias("target"), "taken")
 
 
+@query("op3_class_lm")
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = class_lm.train(docs, usable=fold_of(F.col("doc_id"), 7) != 2)
+    return class_lm.score(docs, model).select(
+        F.col("id").alias("doc_id"), (fold_of(F.col("id"), 7) == 2).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
