@@ -33,7 +33,6 @@ METRIC_NAMES = ("AUC_ROC", "AUC_PR", "Accuracy", "F1", "Weighted_Precision", "We
 DEFAULT_THRESHOLDS = tuple(i / 10.0 for i in range(11))
 POINTS_PER_BUCKET = 200_000
 MAX_BUCKETS = 65536  # 1e12 distinct scores -> ~1.5e7 per window partition (spillable)
-MAX_GROUPS = 100_000
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -43,6 +42,16 @@ def _div(a: Column, b: Column) -> Column:
 PRED_CELLS = ("_p0n", "_p0p", "_p1n", "_p1p")  # (prediction, label) counts: 0/neg, 0/pos, 1/neg, 1/pos
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match (a null group is a group)."""
+    right = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
+    cond = None
+    for c in on:
+        part = left[c].eqNullSafe(right[f"__r_{c}"])
+        cond = part if cond is None else cond & part
+    return left.join(right, cond, how).drop(*[f"__r_{c}" for c in on])
+
+
 def score_points(scored: DataFrame, label: str, score: str, groups=(),
                  prediction: str | None = None) -> DataFrame:
     """(groups..., score, pos, neg) per distinct score; rows whose label is
@@ -86,21 +95,17 @@ def ranked_points(scored: DataFrame, label: str, score: str, groups,
         persist = False
     elif persist:
         pts = pts.persist()
-    finite = F.when(~F.isnan("_s"), F.col("_s"))  # NaN ranks above every number, as in Spark's ordering
+    # NaN ranks above every number, as in Spark's ordering; buckets span the finite scores only
+    finite = F.when(~F.isnan("_s") & (F.abs("_s") < F.lit(float("inf"))), F.col("_s"))
     gs = pts.groupBy(*groups).agg(
         F.min(finite).alias("_lo"), F.max(finite).alias("_hi"),
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),
         F.count(F.lit(1)).alias("_npts"))
-    ginfo = gs.collect()  # one row per group (model x split): small by contract
-    if len(ginfo) > MAX_GROUPS:
-        raise ValueError(f"{len(ginfo)} groups; ranking metrics expect few groups")
-    total_pts = sum(r["_npts"] for r in ginfo)
-    spark = scored.sparkSession
+    gs = cut_lineage(gs)  # one row per group (model x split)
+    n_groups, total_pts = gs.agg(F.count(F.lit(1)), F.coalesce(F.sum("_npts"), F.lit(0))).first()
     n_buckets = int(min(MAX_BUCKETS, max(1, total_pts // POINTS_PER_BUCKET)))
-    gschema = T.StructType(list(gs.schema.fields) + [T.StructField("_gi", T.IntegerType())])
-    gtab = spark.createDataFrame([tuple(r) + (i,) for i, r in enumerate(ginfo)], gschema)
-    gtab = broadcast_if_bounded(gtab, BROADCAST_MAX_ROWS, bound=len(ginfo))
-    keyed = pts.join(gtab, groups, "inner")
+    gtab = gs.withColumn("_gi", F.row_number().over(Window.orderBy(*groups)) - 1)
+    keyed = null_safe_join(pts, broadcast_if_bounded(gtab, BROADCAST_MAX_ROWS, bound=n_groups), groups)
     w_all = (Window.partitionBy(*groups).orderBy(F.col("_s").desc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if n_buckets == 1:
@@ -108,9 +113,11 @@ def ranked_points(scored: DataFrame, label: str, score: str, groups,
         ranked = keyed.select(*groups, F.lit(0).alias("_bk"), "_s", "_pos", "_neg", "_P", "_N", *extra,
                               F.sum("_pos").over(w_all).alias("_tp"), F.sum("_neg").over(w_all).alias("_fp"))
         return ranked, gs, (pts if persist else None)
-    span = F.col("_hi") - F.col("_lo")
+    half_span = F.col("_hi") / 2 - F.col("_lo") / 2  # halves: the whole may overflow
+    inside = F.least(F.greatest((F.col("_s") / 2 - F.col("_lo") / 2) / half_span, F.lit(0.0)), F.lit(1.0))
     # monotone non-decreasing in the score inside a group, disjoint across groups
-    key = F.col("_gi") * 2.0 + F.when(span > 0, (F.col("_s") - F.col("_lo")) / span).otherwise(0.0)
+    key = F.col("_gi") * 2.0 + (F.when(F.isnan("_s"), F.col("_s")).when(F.col("_s") > F.col("_hi"), 1.0)
+                                .when(F.col("_s") < F.col("_lo"), 0.0).when(half_span > 0, inside).otherwise(0.0))
     keyed = keyed.withColumn("_key", key)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = keyed.approxQuantile("_key", probs, 1.0 / (4 * n_buckets))
@@ -125,10 +132,10 @@ def ranked_points(scored: DataFrame, label: str, score: str, groups,
     offs = tot.select(*part,
                       F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_pa"),
                       F.coalesce(F.sum("_bn").over(above), F.lit(0)).alias("_na"))
-    offs = broadcast_if_bounded(offs, BROADCAST_MAX_ROWS, bound=n_buckets * max(1, len(ginfo)))
+    offs = broadcast_if_bounded(offs, BROADCAST_MAX_ROWS, bound=n_buckets * max(1, n_groups))
     w = (Window.partitionBy(*part).orderBy(F.col("_s").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (keyed.join(offs, part, "inner")
+    ranked = (null_safe_join(keyed, offs, part)
                    .select(*groups, "_bk", "_s", "_pos", "_neg", "_P", "_N", *extra,
                            (F.col("_pa") + F.sum("_pos").over(w)).alias("_tp"),
                            (F.col("_na") + F.sum("_neg").over(w)).alias("_fp")))
@@ -211,10 +218,10 @@ def roc_curve(scored: DataFrame, label: str, score: str, groups=(),
         heads = heads.select(*groups, F.lag("_bk").over(nxt).alias("_bk"),
                              F.col("_h._pos").alias("_hpos"), F.col("_h._neg").alias("_hneg")) \
                      .where(F.col("_bk").isNotNull())
-        heads = broadcast_if_bounded(heads, BROADCAST_MAX_ROWS, bound=MAX_BUCKETS * MAX_GROUPS)
+        heads = broadcast_if_bounded(heads, BROADCAST_MAX_ROWS)
         w = Window.partitionBy(*groups, "_bk").orderBy(F.col("_s").desc())
         with_next = (ranked.withColumns({"_npos": F.lead("_pos").over(w), "_nneg": F.lead("_neg").over(w)})
-                           .join(heads, groups + ["_bk"], "left")
+                           .transform(lambda d: null_safe_join(d, heads, groups + ["_bk"], "left"))
                            .withColumns({"_npos": F.coalesce("_npos", "_hpos"),
                                          "_nneg": F.coalesce("_nneg", "_hneg")}))
         first = (F.col("_tp") == F.col("_pos")) & (F.col("_fp") == F.col("_neg"))
@@ -261,7 +268,7 @@ def weighted_metrics(confusion: DataFrame, label: str, groups=()) -> DataFrame:
         F.sum("n").alias("_true"),
         F.sum(F.when(F.col("_lab") == F.col("prediction"), F.col("n")).otherwise(0)).alias("_tp"))
     pred = c.groupBy(*groups, F.col("prediction").alias("_lab")).agg(F.sum("n").alias("_pred"))
-    per = truth.where(F.col("_true") > 0).join(pred, groups + ["_lab"], "left")
+    per = null_safe_join(truth.where(F.col("_true") > 0), pred, groups + ["_lab"], "left")
     p = F.coalesce(_div(F.col("_tp"), F.col("_pred")), F.lit(0.0))
     r = _div(F.col("_tp"), F.col("_true"))
     per = per.withColumns({"_p": p, "_r": r})

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 from .quantiles import exact_quantiles
 
 
@@ -41,12 +43,22 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
               .orderBy(F.col(target).asc_nulls_first()))
 
 
+def pct_of(n, total):
+    """A4: ``round(100 * n / total, 2)``, ties to the even digit; null on an empty table."""
+    return F.bround(n * 100.0 / F.nullif(total, F.lit(0)), 2)
+
+
+def several_classes(target: Column) -> Column:
+    """A5: whether the target has at least two groups, null being one."""
+    n_null = F.count_if(target.isNull())
+    return F.coalesce(F.min(target) != F.max(target), F.lit(False)) | ((n_null > 0) & (n_null < F.count(F.lit(1))))
+
+
 def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """A3 + A4 (+F1): ``(feature, n_null, pct_null)`` in one job.
 
-    NaN is not null (the reference's ``isNull``); ``pct_null`` is
-    ``round(100*n_null/n, 2)`` and null on an empty table instead of a
-    division by zero."""
+    NaN is not null (the reference's ``isNull``); ``pct_null`` is null on
+    an empty table instead of a division by zero."""
     n = F.count(F.lit(1))
     aggs = [n.alias("n__")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"n_null__{i}") for i, c in enumerate(cols)]
@@ -55,21 +67,21 @@ def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
                         cols, ["n_null", "n_rows"])
     return long.select(
         "feature", "n_null",
-        F.round(F.col("n_null") * 100.0 / F.nullif(F.col("n_rows"), F.lit(0)), 2).alias("pct_null"))
+        pct_of(F.col("n_null"), F.col("n_rows")).alias("pct_null"))
 
 
 def positive_rate(df: DataFrame, target: str, positive=1) -> DataFrame:
     """A5: share of rows whose target equals ``positive`` (by value, not by
-    position in the class table); -1.0 when fewer than two classes occur,
-    as the reference prints."""
+    position in the class table); -1.0 when fewer than two groups of the
+    target occur (null is a group), as the reference prints."""
     t = F.col(target)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(t == F.lit(positive)).alias("n_pos"),
-        F.count_distinct(t).alias("n_classes"),
+        several_classes(t).alias("several"),
     ).select(
         "n_rows", "n_pos",
-        F.when(F.col("n_classes") > 1, F.col("n_pos") / F.col("n_rows"))
+        F.when(F.col("several"), F.col("n_pos") / F.col("n_rows"))
          .otherwise(F.lit(-1.0)).alias("positive_rate"))
 
 
@@ -124,11 +136,11 @@ def rate_by_missing(df: DataFrame, cols: list[str], target: str) -> DataFrame:
 def rate_by_value(df: DataFrame, col: str, target: str) -> DataFrame:
     """Rows, share of rows and target rate per value of ``col``.
 
-    The share's denominator is the table's row count, taken by a scalar
-    count first (no global window, no join)."""
-    total = df.count()
-    g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"),
-                            F.avg(F.col(target).cast("double")).alias("rate"))
+    The share's denominator is the sum of the grouped counts, so the table
+    is scanned once."""
+    g = cut_lineage(df.groupBy(col).agg(F.count(F.lit(1)).alias("n"),
+                                        F.avg(F.col(target).cast("double")).alias("rate")))
+    total = g.agg(F.sum("n")).first()[0]
     share = F.col("n") / F.lit(total) if total else F.lit(None).cast("double")
     return g.select(F.col(col).alias("value"), "n", share.alias("share"), "rate")
 
@@ -143,7 +155,7 @@ def profile_summary(df: DataFrame, target: str, cols: list[str], numeric=()) ->
     t = F.col(target)
     td = t.cast("double")
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(t == 1).alias("n1"), F.count_if(t == 0).alias("n0"),
-            F.count_if(t.isNull()).alias("nnull"), F.count_if(t.isNotNull() & ~t.isin(0, 1)).alias("nother")]
+            F.count_if(t.isNull()).alias("nnull"), F.count_if(t.isNotNull() & ~t.isin(0, 1)).alias("nother"), several_classes(t).alias("several")]
     for i, c in enumerate(cols):
         miss = F.col(c).isNull()
         aggs += [F.count_if(miss).alias(f"m{i}"), F.avg(F.when(miss, td)).alias(f"rm{i}"),
@@ -155,8 +167,6 @@ def profile_summary(df: DataFrame, target: str, cols: list[str], numeric=()) ->
                  F.min(x).alias(f"xl{i}"), F.max(x).alias(f"xh{i}")]
     r = df.agg(*aggs).first()
     n = r["n"]
-    classes = sum(1 for k in ("n0", "n1", "nnull", "nother") if r[k])
-    pct = (lambda v: round(100.0 * v / n, 2)) if n else (lambda v: None)
     if r["nother"]:
         balance = class_balance(df, target)  # labels beyond 0/1: one more grouped job
     else:
@@ -167,11 +177,11 @@ def profile_summary(df: DataFrame, target: str, cols: list[str], numeric=()) ->
         "class_balance": balance,
         "shape": spark.createDataFrame([(n, len(df.columns))], "n_rows bigint, n_columns int"),
         "positive_rate": spark.createDataFrame(
-            [(n, r["n1"], (r["n1"] / n) if classes > 1 else -1.0)],
+            [(n, r["n1"], (r["n1"] / n) if r["several"] else -1.0)],
             "n_rows bigint, n_pos bigint, positive_rate double"),
         "null_profile": spark.createDataFrame(
-            [(c, r[f"m{i}"], pct(r[f"m{i}"])) for i, c in enumerate(cols)],
-            "feature string, n_null bigint, pct_null double"),
+            [(c, r[f"m{i}"], n) for i, c in enumerate(cols)], "feature string, n_null bigint, n bigint")
+            .select("feature", "n_null", pct_of(F.col("n_null"), F.col("n")).alias("pct_null")),
         "rate_by_missing": spark.createDataFrame(
             [(c, r[f"m{i}"], r[f"rm{i}"], n - r[f"m{i}"], r[f"rp{i}"]) for i, c in enumerate(cols)],
             "feature string, n_missing bigint, rate_missing double, n_present bigint, rate_present double"),

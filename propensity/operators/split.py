@@ -4,9 +4,11 @@ Two families:
 
 * ``method="seeded"``: Spark's own samplers (``sample``, ``randomSplit``,
   ``sampleBy`` + anti join), as the reference job uses them.
-* ``method="hash"``: md5 of ``"<seed>:<row key>"`` decides; reproducible in
-  any SQL engine, independent of partitioning, and it tags every row with
-  its part in one projection, so no join is needed.
+* ``method="hash"``: md5 of ``"<seed>:<purpose>:<row key>"`` decides;
+  reproducible in any SQL engine, independent of partitioning, and it tags
+  every row with its part in one projection, so no join is needed. The
+  purpose (sample, split, fold) keeps the decisions independent of each
+  other, and fractions are compared with the whole 32-bit value.
 
 The exact stratified split and stratified folds need each row's rank inside
 its class. A window over a whole class would put half the table in one
@@ -38,8 +40,13 @@ def attach_row_id(df: DataFrame, id_col: str | None = None, name: str = "_row_id
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def _hash_keep(key: str, seed, fraction: float) -> F.Column:
-    return (md5_u32(key, seed) % 1000) < F.lit(int(round(fraction * 1000)))
+def hash_limit(fraction: float) -> int:
+    """The 32-bit values below this are a ``fraction`` of all."""
+    return int(math.floor(fraction * (1 << HASH_BITS)))
+
+
+def _hash_keep(key: str, seed, fraction: float, purpose: str) -> F.Column:
+    return md5_u32(key, f"{seed}:{purpose}") < F.lit(hash_limit(fraction))
 
 
 # ---------------------------------------------------------------- sampling
@@ -49,7 +56,7 @@ def sample(df: DataFrame, fraction: float, seed: int = 42, method: str = "seeded
     if fraction >= 1.0:
         return df
     if method == "hash":
-        return df.where(_hash_keep(key, seed, fraction))
+        return df.where(_hash_keep(key, seed, fraction, "sample"))
     return df.sample(fraction=fraction, seed=seed)
 
 
@@ -57,7 +64,7 @@ def sample(df: DataFrame, fraction: float, seed: int = 42, method: str = "seeded
 def tag_random_split(df: DataFrame, train_frac: float = 0.8, seed: int = 42,
                      key: str = "_row_id", col: str = "split") -> DataFrame:
     """X2, hash form: ``split`` = 'train' / 'test'."""
-    return df.withColumn(col, F.when(_hash_keep(key, seed, train_frac), "train").otherwise("test"))
+    return df.withColumn(col, F.when(_hash_keep(key, seed, train_frac, "split"), "train").otherwise("test"))
 
 
 def tag_stratified_split(df: DataFrame, target: str, fractions: dict, seed: int = 42,
@@ -68,9 +75,9 @@ def tag_stratified_split(df: DataFrame, target: str, fractions: dict, seed: int
     t = F.col(target)
     frac = None
     for cls, f in fractions.items():
-        frac = (F.when(t == F.lit(cls), F.lit(int(round(f * 1000)))) if frac is None
-                else frac.when(t == F.lit(cls), F.lit(int(round(f * 1000)))))
-    keep = (md5_u32(key, seed) % 1000) < F.coalesce(frac.otherwise(F.lit(0)), F.lit(0))
+        frac = (F.when(t == F.lit(cls), F.lit(hash_limit(f))) if frac is None
+                else frac.when(t == F.lit(cls), F.lit(hash_limit(f))))
+    keep = md5_u32(key, f"{seed}:split") < F.coalesce(frac.otherwise(F.lit(0)), F.lit(0))
     return df.withColumn(col, F.when(keep, "train").otherwise("test"))
 
 
@@ -155,9 +162,12 @@ def tag_exact_stratified_split(df: DataFrame, target: str, train_frac: float = 0
     sub-ranges of the class's current boundary range), so the shuffle carries
     at most classes x 4096 rows whatever the table size, and keeps the
     sub-range holding the boundary. Once that range holds at most
-    ``max_rank_rows`` rows (after one pass below ~4e9 rows per class), rows
-    below it are train, rows above it test, and only its rows are ranked."""
-    d = df.withColumn("_h", md5_u32(key, seed))
+    ``max_rank_rows`` rows (after one pass below ~4e9 rows per class), its
+    (md5, key) pairs are ranked to find the class's last train row; the
+    result is then one projection that compares every row with that pair, so
+    its plan scans the source once. Row keys must be unique (repeats of the
+    last train row's key would all go to train)."""
+    d = df.withColumn("_h", md5_u32(key, f"{seed}:split"))
     t, hcol = F.col(target), F.col("_h")
     first = (d.where(t.isNotNull())
               .groupBy(t.alias("_t"), F.shiftright(hcol, HASH_BITS - bits_per_pass).alias("_b"))
@@ -191,21 +201,25 @@ def tag_exact_stratified_split(df: DataFrame, target: str, train_frac: float = 0
             state[c] = _refine(lo, width, below, need, rows.get(c, []), bits_per_pass)
     if not state:
         return d.withColumn(col, F.lit("test")).drop("_h")
-    lo_c = hi_c = need_c = None
+    ranges = need_c = None
     for c, (lo, width, below, need, _n) in state.items():
-        cond = t == F.lit(c)
-        lo_c = F.when(cond, F.lit(lo)) if lo_c is None else lo_c.when(cond, F.lit(lo))
-        hi_c = F.when(cond, F.lit(lo + width)) if hi_c is None else hi_c.when(cond, F.lit(lo + width))
-        left = need - below
-        need_c = F.when(cond, F.lit(left)) if need_c is None else need_c.when(cond, F.lit(left))
-    j = d.withColumns({"_lo": lo_c, "_hi": hi_c, "_need": need_c})
-    in_range = (hcol >= F.col("_lo")) & (hcol < F.col("_hi"))
-    inside = j.where(in_range)
-    rest = j.where(~in_range | F.col("_lo").isNull())
-    rn = F.row_number().over(Window.partitionBy(target).orderBy("_h", key))
-    inside = inside.withColumn(col, F.when(rn <= F.col("_need"), "train").otherwise("test"))
-    rest = rest.withColumn(col, F.when(hcol < F.col("_lo"), "train").otherwise("test"))
-    return inside.unionByName(rest).drop("_h", "_lo", "_hi", "_need")
+        cond = (t == F.lit(c)) & (hcol >= F.lit(lo)) & (hcol < F.lit(lo + width))
+        ranges = cond if ranges is None else ranges | cond
+        left = F.when(t == F.lit(c), F.lit(need - below))
+        need_c = left if need_c is None else F.coalesce(need_c, left)
+    rn = F.row_number().over(Window.partitionBy("_t").orderBy("_h", "_k"))
+    last = (d.where(ranges).select(t.alias("_t"), "_h", F.col(key).alias("_k"), need_c.alias("_need"))
+             .withColumn("_rn", rn).where(F.col("_rn") == F.col("_need")).collect())  # one row per class
+    cut = {r["_t"]: (r["_h"], r["_k"]) for r in last}
+    keep = None
+    for c, (lo, _w, _below, _need, _n) in state.items():
+        h_c, k_c = cut.get(c, (lo, None))  # no row of the range is needed: all below it
+        inside = hcol < F.lit(h_c)
+        if k_c is not None:
+            inside = inside | ((hcol == F.lit(h_c)) & (F.col(key) <= F.lit(k_c)))
+        part = (t == F.lit(c)) & inside
+        keep = part if keep is None else keep | part
+    return d.withColumn(col, F.when(keep, "train").otherwise("test")).drop("_h")
 
 
 RANK_ROWS_PER_BUCKET = 250_000
@@ -229,7 +243,9 @@ def class_rank(df: DataFrame, target: str, seed: int = 42, key: str = "_row_id",
     d = _with_bucket(df, key, seed, bits)
     offs = _bucket_offsets(d, target, bits).select(target, "_b", "_before")
     w = Window.partitionBy(target, "_b").orderBy("_h", key)
-    return (d.join(offs, [target, "_b"], "left")
+    # null-safe: rows without a class are ranked among themselves
+    offs = offs.select(F.col(target).alias("_ot"), F.col("_b").alias("_ob"), "_before")
+    return (d.join(offs, F.col(target).eqNullSafe(F.col("_ot")) & (F.col("_b") == F.col("_ob")), "left").drop("_ot", "_ob")
              .withColumn(name, F.col("_before") + F.row_number().over(w) - 1)
              .drop("_h", "_b", "_before"))
 
@@ -242,8 +258,8 @@ def assign_folds(df: DataFrame, num_folds: int = 2, seed: int = 42, key: str = "
     unstratified hash: ``md5 % k``; seeded: ``floor(rand(seed) * k)``;
     stratified: rank inside the class modulo k (exactly balanced)."""
     if stratified:
-        ranked = class_rank(df, target, seed, key, "_rank")
+        ranked = class_rank(df, target, f"{seed}:fold", key, "_rank")
         return ranked.withColumn(col, (F.col("_rank") % num_folds).cast("int")).drop("_rank")
     if method == "hash":
-        return df.withColumn(col, (md5_u32(key, seed) % num_folds).cast("int"))
+        return df.withColumn(col, (md5_u32(key, f"{seed}:fold") % num_folds).cast("int"))
     return df.withColumn(col, F.floor(F.rand(seed) * num_folds).cast("int"))

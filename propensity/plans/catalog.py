@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import CTR_SPEC, with_ctr
 from ..functions.hashing import md5_u32_sql
+from ..operators.split import hash_limit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,4 +45,6 @@ def union_sql(template: str, cols) -> str:
     return "\nUNION ALL\n".join(template.format(c=c) for c in cols)
 
 
-H = md5_u32_sql("row_id", 42)
+#: md5 values of the row key by purpose, and the limits of fractions of 2^32.
+H_SAMPLE, H_SPLIT, H_FOLD = (md5_u32_sql("row_id", f"42:{p}") for p in ("sample", "split", "fold"))
+HALF, EIGHTY = (hash_limit(f) for f in (0.5, 0.8))

@@ -22,14 +22,15 @@ from ..fixtures import CTR_SPEC, ctr_frame
 from ..operators import metrics as M
 from ..operators import models as MO
 from ..operators import profile as PR
+from ..operators import report as RP
 from ..operators import tuning as TU
 from ..operators.clean import clean
-from ..operators.split import (attach_row_id, sample, split_parts, tag_exact_stratified_split,
-                               tag_random_split, tag_stratified_split)
-from ..session import checkpoint_spread
+from ..operators.split import (attach_row_id, random_split, sample, split_parts, stratified_split,
+                               tag_exact_stratified_split, tag_random_split, tag_stratified_split)
+from ..session import checkpoint_spread, cut_lineage
 from ..sources import io
-from ..spec import (CLICKS, GBT_GRID, LR_GRID, RF_GRID, FeatureSpec, FoldSpec,
-                    SplitSpec)
+from ..spec import (CLICKS, GBT_GRID, LR_GRID, RF_GRID, FeatureSpec, FoldSpec, GridSpec,
+                    SplitSpec, c_to_reg_param)
 
 GRIDS = {"lr": LR_GRID, "rf": RF_GRID, "gbt": GBT_GRID}
 
@@ -62,10 +63,11 @@ def preset(name: str, output: str, input: str | None = None, **overrides) -> Job
                    LR (maxIter 50) and RF (50-tree grid) only;
     ``twin``       the single-machine twin's choices on Spark: exact median
                    imputer, signed hashing, indicator flags in the vector,
-                   population scaling, intCol_1 not log-scaled, exact
-                   stratified split, stratified folds, 50-tree RF grid."""
+                   population scaling, exact stratified split, stratified
+                   folds, its own LR grid over C and 50-tree RF grid, the full
+                   ROC curve and average precision in the report."""
     from ..spec import (CLICKS_LEGACY, CLICKS_TWIN, LEGACY_LR_DEFAULTS, LEGACY_RF_DEFAULTS,
-                        LEGACY_RF_GRID, TWIN_GBT_GRID, TWIN_RF_GRID)
+                        LEGACY_RF_GRID, TWIN_GBT_GRID, TWIN_LR_DEFAULTS, TWIN_LR_GRID, TWIN_RF_GRID)
     if name == "canonical":
         cfg = JobConfig(output=output, input=input)
     elif name == "legacy":
@@ -76,7 +78,8 @@ def preset(name: str, output: str, input: str | None = None, **overrides) -> Job
     elif name == "twin":
         cfg = JobConfig(output=output, input=input, spec=CLICKS_TWIN, indicators=True, style="twin",
                         split=SplitSpec(exact=True), folds=FoldSpec(stratified=True),
-                        grids={"lr": LR_GRID, "rf": TWIN_RF_GRID, "gbt": TWIN_GBT_GRID})
+                        grids={"lr": TWIN_LR_GRID, "rf": TWIN_RF_GRID, "gbt": TWIN_GBT_GRID},
+                        params={"lr": TWIN_LR_DEFAULTS})
     else:
         raise ValueError(f"unknown preset {name!r}")
     for k, v in overrides.items():
@@ -100,7 +103,19 @@ def profile_tables(df: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:
     return PR.profile_summary(df, spec.target, feats, nums)
 
 
+def resolve_grid(grid: GridSpec, n_train: int) -> GridSpec:
+    """A grid over ``C`` as one over ``regParam`` for ``n_train`` rows."""
+    return GridSpec({("regParam" if k == "C" else k): ([c_to_reg_param(c, n_train) for c in v] if k == "C" else v)
+                     for k, v in grid.params.items()})
+
+
 def tag_split(df: DataFrame, spec: FeatureSpec, s: SplitSpec, key: str) -> DataFrame:
+    """The split column, by hash or (``method="seeded"``) by Spark's samplers."""
+    if s.method == "seeded" and not s.exact:
+        parts = (stratified_split(df, spec.target, s.train_frac, s.seed, "seeded", key) if s.stratified
+                 else random_split(df, s.train_frac, s.seed, "seeded"))
+        train, test = (p.withColumn("split", F.lit(n)) for p, n in zip(parts, ("train", "test")))
+        return train.unionByName(test)
     if s.stratified and s.exact:
         return tag_exact_stratified_split(df, spec.target, s.train_frac, s.seed, key)
     if s.stratified:
@@ -126,8 +141,10 @@ def evaluate_model(kind: str, scored: DataFrame, spec: FeatureSpec) -> dict[str,
 
 
 def metrics_document(kind: str, tables: dict, fit_time: float, search=None, importances=None,
-                     label: str = "target") -> dict:
-    """The reference's metrics JSON layout, from the (small) report tables."""
+                     label: str = "target", twin: bool = False) -> dict:
+    """The reference's metrics JSON layout, from the (small) report tables;
+    ``twin``: average precision as AUC_PR and the curve's points, without
+    thresholds, as roc_points."""
     rep = tables["report"].collect()
     doc = {"training_metrics": {}, "test_metrics": {}}
     for r in rep:
@@ -136,6 +153,7 @@ def metrics_document(kind: str, tables: dict, fit_time: float, search=None, impo
     doc["fit_time_sec"] = round(fit_time, 2)
     if search is not None:
         doc["cv_avg_auc_by_param_combo"] = search.avg_metrics
+        doc["best_params"] = search.best_params
     if importances is not None:
         doc["top_20_feature_importance_indices"] = importances
     conf = tables["confusion"].collect()
@@ -143,6 +161,12 @@ def metrics_document(kind: str, tables: dict, fit_time: float, search=None, impo
     for r in conf:
         cm.setdefault(str(r["prediction"]), {})[str(r[label])] = r["n"]
     doc["confusion_matrix"] = cm
+    if twin:
+        ap = {r["split"]: r["avg_precision"] for r in tables["ranking"].collect()}
+        for part, name in (("train", "training_metrics"), ("test", "test_metrics")):
+            doc[name]["AUC_PR"] = ap.get(part)
+        doc["roc_points"] = [{"fpr": r["fpr"], "tpr": r["tpr"]} for r in tables["curve"].orderBy("fpr", "tpr").collect()]
+        return doc
     doc["roc_points"] = [{"threshold": r["threshold"], "tpr": r["tpr"], "fpr": r["fpr"]}
                          for r in tables["roc_points"].orderBy("threshold").collect()]
     return doc
@@ -185,16 +209,21 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
     write_json_doc(spark, eda_document(prof, spec), os.path.join(cfg.output, "eda_summary"))
     cleaned = clean(df, spec, indicators=cfg.indicators)
     if not spec.id_col:
-        cleaned = attach_row_id(cleaned, None, key)
+        cleaned = cut_lineage(attach_row_id(cleaned, None, key))  # generated ids must not change between reads
     # one tagging pass; checkpointed so every later job starts from here
     tagged = checkpoint_spread(tag_split(cleaned, spec, cfg.split, key), cfg.partitions)
     train, _ = split_parts(tagged)
-    out = {"profile": prof, "models": {}}
+    labels = tagged.agg(F.count_if(F.col("split") == "train").alias("train"),
+                        F.count_if((F.col("split") == "train") & F.col(spec.target).isNull()).alias("null_train"),
+                        F.count_if((F.col("split") == "test") & F.col(spec.target).isNull()).alias("null_test")).first()
+    out = {"profile": prof, "models": {}, "null_labels": {"train": labels["null_train"], "test": labels["null_test"]}}
+    twin = cfg.style == "twin"
     for kind in cfg.models:
         params = {**MO.DEFAULTS[kind], **cfg.params.get(kind, {})}
         search = None
         if cfg.tune:
-            search = TU.cross_validate(train, spec, kind, cfg.grids[kind], cfg.folds, params,
+            grid = resolve_grid(cfg.grids[kind], max(1, labels["train"] - labels["null_train"]))
+            search = TU.cross_validate(train, spec, kind, grid, cfg.folds, params,
                                        cfg.relative_error, cfg.indicators, cfg.parallelism, key=key,
                                        style=cfg.style)
             model, fit_time = search.best_model, search.fit_time_sec
@@ -206,24 +235,30 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
             fit_time = time.monotonic() - t0
         io.save_model(model, os.path.join(cfg.output, f"{kind}_best_pipeline"))
         scored = score_splits(model, tagged, spec, key).persist()
-        tables = evaluate_model(kind, scored, spec)
-        top = None
-        if kind in ("rf", "gbt"):
-            imp = model.stages[-1].featureImportances.toArray().tolist()
-            top = sorted(range(len(imp)), key=lambda i: (-imp[i], i))[:20]
-        doc = metrics_document(kind, tables, fit_time, search, top, spec.target)
-        write_json_doc(spark, doc, os.path.join(cfg.output, f"metrics_{kind}"))
-        io.write_metrics(tables["report"], os.path.join(cfg.output, "report"))
-        io.write_metrics(tables["confusion"], os.path.join(cfg.output, "confusion"))
-        io.write_metrics(tables["roc_points"], os.path.join(cfg.output, "roc_points"))
-        if search is not None:
-            io.write_metrics(search.table(spark).select(F.lit(kind).alias("model"), "*"),
-                             os.path.join(cfg.output, "cv"))
-        if kind in ("rf", "gbt"):
-            names = MO.feature_names(model, tagged)
-            io.write_metrics(MO.feature_importances(spark, model, names, kind),
-                             os.path.join(cfg.output, "importances"))
-        scored.unpersist()
+        try:
+            tables = evaluate_model(kind, scored, spec)
+            if twin:
+                tables["ranking"] = M.ranking_metrics(scored, spec.target, "prob", ["split"])
+                tables["curve"] = M.roc_curve(scored.where(F.col("split") == "test"), spec.target, "prob", drop_collinear=True)
+            top = None
+            if kind in ("rf", "gbt"):
+                values = model.stages[-1].featureImportances.toArray()
+                top = [r["idx"] for r in RP.top_importances(spark, values).collect()]
+            doc = metrics_document(kind, tables, fit_time, search, top, spec.target, twin)
+            doc["n_null_labels"] = out["null_labels"]
+            write_json_doc(spark, doc, os.path.join(cfg.output, f"metrics_{kind}"))
+            io.write_metrics(tables["report"], os.path.join(cfg.output, "report"))
+            io.write_metrics(tables["confusion"], os.path.join(cfg.output, "confusion"))
+            io.write_metrics(tables["roc_points"], os.path.join(cfg.output, "roc_points"))
+            if search is not None:
+                io.write_metrics(search.table(spark).select(F.lit(kind).alias("model"), "*"),
+                                 os.path.join(cfg.output, "cv"))
+            if kind in ("rf", "gbt"):
+                names = MO.feature_names(model, tagged)
+                io.write_metrics(MO.feature_importances(spark, model, names, kind),
+                                 os.path.join(cfg.output, "importances"))
+        finally:
+            scored.unpersist()
         out["models"][kind] = {"doc": doc, "search": search}
     return out
 

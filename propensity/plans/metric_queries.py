@@ -16,7 +16,7 @@ from ..operators import metrics as M
 from ..operators import report as RP
 from ..operators.split import tag_stratified_split
 from ..session import broadcast_if_bounded, BROADCAST_MAX_ROWS
-from .catalog import H, query, rounded
+from .catalog import EIGHTY, H_SPLIT, query, rounded
 
 THRESHOLDS = [i / 10.0 for i in range(11)]
 
@@ -42,7 +42,7 @@ SCORED_SQL = f"""
 SELECT 'planted' AS model, split, target, score FROM tagged
 UNION ALL
 SELECT 'segment_rate' AS model, split, target, avg(target) OVER (PARTITION BY cat_0) AS score FROM tagged"""
-TAGGED_SQL = f"""SELECT *, CASE WHEN target IN (0, 1) AND {H} % 1000 < 800 THEN 'train' ELSE 'test' END AS split
+TAGGED_SQL = f"""SELECT *, CASE WHEN target IN (0, 1) AND {H_SPLIT} < {EIGHTY} THEN 'train' ELSE 'test' END AS split
 FROM ctr"""
 
 

@@ -24,7 +24,7 @@ from ..operators.split import split_parts, tag_stratified_split
 from ..session import scratch_path
 from ..sources import io
 from ..spec import FoldSpec, GridSpec
-from .catalog import CATS, H, INTS, S, query, rounded
+from .catalog import CATS, EIGHTY, H_FOLD, H_SPLIT, INTS, S, query, rounded
 
 SEGMENT = S.with_(int_cols=(), cat_cols=("cat_0",), skewed=(), flag_cols=(), sentinel_col=None,
                   sentinels=())
@@ -48,7 +48,7 @@ def _segment_model(spark, sf_dir, kind, label="target", **params):
 
 # ------------------------------------------------------------------ E1 / A12
 _MEDIAN_TRAIN = ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}" for c in INTS)
-TRAIN_SQL = f"train AS (SELECT * FROM ctr WHERE target IN (0, 1) AND {H} % 1000 < 800)"
+TRAIN_SQL = f"train AS (SELECT * FROM ctr WHERE target IN (0, 1) AND {H_SPLIT} < {EIGHTY})"
 
 
 @query("impute_median", sql=f"""{TRAIN_SQL},
@@ -234,7 +234,7 @@ def score_saved_model(spark, sf_dir):
 
 # ------------------------------------------------------------------ M4-M6, M9, M10, O2
 @query("cv_auc_by_fold", sql=f"""
-f AS (SELECT *, CAST({H} % 2 AS INTEGER) AS fold FROM ctr),
+f AS (SELECT *, CAST({H_FOLD} % 2 AS INTEGER) AS fold FROM ctr),
 rates AS (SELECT fold, cat_0, avg(target) AS r FROM f GROUP BY ALL),
 sc AS (SELECT f.fold, f.target, rates.r AS score FROM f JOIN rates ON rates.cat_0 = f.cat_0 AND rates.fold <> f.fold),
 pts AS (SELECT fold, score, count(*) FILTER (WHERE target = 1) AS pos, count(*) FILTER (WHERE target = 0) AS neg

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixtures import ctr_frame
+from ..fixtures import CTR_SPEC, ctr_frame
+from ..functions.hashing import md5_u32_sql
 from ..operators import split as SP
-from .catalog import H, query
+from ..sources import io
+from .catalog import EIGHTY, HALF, H_FOLD, H_SAMPLE, H_SPLIT, query
 
 TRAIN = {0: 0.8, 1: 0.8}
 
 
-@query("sample_hash", sql=f"SELECT row_id, target FROM ctr WHERE {H} % 1000 < 500")
+@query("sample_hash", sql=f"SELECT row_id, target FROM ctr WHERE {H_SAMPLE} < {HALF}")
 def sample_hash(spark, sf_dir):
     """X1, hash form: Bernoulli half of the rows."""
     return SP.sample(ctr_frame(spark, sf_dir), 0.5, 42, "hash", "row_id").select("row_id", "target")
@@ -24,7 +26,7 @@ def sample_seeded(spark, sf_dir):
 
 
 @query("split_random_hash", sql=f"""
-SELECT row_id, CASE WHEN {H} % 1000 < 800 THEN 'train' ELSE 'test' END AS split FROM ctr""")
+SELECT row_id, CASE WHEN {H_SPLIT} < {EIGHTY} THEN 'train' ELSE 'test' END AS split FROM ctr""")
 def split_random_hash(spark, sf_dir):
     """X2, hash form."""
     return SP.tag_random_split(ctr_frame(spark, sf_dir), 0.8, 42, "row_id").select("row_id", "split")
@@ -32,7 +34,7 @@ def split_random_hash(spark, sf_dir):
 
 @query("split_stratified_hash", sql=f"""
 SELECT row_id, target,
-       CASE WHEN target IN (0, 1) AND {H} % 1000 < 800 THEN 'train' ELSE 'test' END AS split
+       CASE WHEN target IN (0, 1) AND {H_SPLIT} < {EIGHTY} THEN 'train' ELSE 'test' END AS split
 FROM ctr""")
 def split_stratified_hash(spark, sf_dir):
     """X3, hash form (per-class Bernoulli, tagged in one projection)."""
@@ -51,7 +53,7 @@ def split_stratified_seeded(spark, sf_dir):
 
 @query("split_stratified_exact", sql=f"""
 SELECT row_id, target,
-       CASE WHEN row_number() OVER (PARTITION BY target ORDER BY {H}, row_id)
+       CASE WHEN row_number() OVER (PARTITION BY target ORDER BY {H_SPLIT}, row_id)
                  <= floor(count(*) OVER (PARTITION BY target) * 0.8 + 0.5)
             THEN 'train' ELSE 'test' END AS split
 FROM ctr""")
@@ -63,7 +65,7 @@ def split_stratified_exact(spark, sf_dir):
 
 @query("split_anti_join", sql=f"""
 SELECT row_id, target FROM ctr
-WHERE row_id NOT IN (SELECT row_id FROM ctr WHERE target IN (0, 1) AND {H} % 1000 < 800)""")
+WHERE row_id NOT IN (SELECT row_id FROM ctr WHERE target IN (0, 1) AND {H_SPLIT} < {EIGHTY})""")
 def split_anti_join(spark, sf_dir):
     """test = rows whose id is not among the train ids."""
     ctr = ctr_frame(spark, sf_dir)
@@ -79,7 +81,7 @@ def row_ids(spark, sf_dir):
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_row_id").alias("n_ids"))
 
 
-@query("folds_hash", sql=f"SELECT row_id, CAST({H} % 2 AS INTEGER) AS fold FROM ctr")
+@query("folds_hash", sql=f"SELECT row_id, CAST({H_FOLD} % 2 AS INTEGER) AS fold FROM ctr")
 def folds_hash(spark, sf_dir):
     """Unstratified 2 folds, md5 mod k."""
     return SP.assign_folds(ctr_frame(spark, sf_dir), 2, 42, "row_id", "hash").select("row_id", "fold")
@@ -87,7 +89,7 @@ def folds_hash(spark, sf_dir):
 
 @query("folds_stratified", sql=f"""
 SELECT row_id, target,
-       CAST((row_number() OVER (PARTITION BY target ORDER BY {H}, row_id) - 1) % 2 AS INTEGER) AS fold
+       CAST((row_number() OVER (PARTITION BY target ORDER BY {H_FOLD}, row_id) - 1) % 2 AS INTEGER) AS fold
 FROM ctr""")
 def folds_stratified(spark, sf_dir):
     """Stratified 2 folds, rank inside the class mod k."""
@@ -102,3 +104,42 @@ def split_random_seeded(spark, sf_dir):
     train, test = SP.random_split(ctr_frame(spark, sf_dir), 0.8, 42, "seeded")
     return (train.select("row_id", F.lit("train").alias("split"))
                  .unionByName(test.select("row_id", F.lit("test").alias("split"))))
+
+
+_EVERY = f"""
+SELECT row_id, CASE WHEN {H_SPLIT} < {EIGHTY} THEN 'train' ELSE 'test' END AS split
+FROM ctr WHERE {H_SAMPLE} < {HALF}"""
+
+
+@query("sample_then_split", sql=_EVERY)
+def sample_then_split(spark, sf_dir):
+    """X1 then X2 on the same key: the two decisions are independent."""
+    half = SP.sample(ctr_frame(spark, sf_dir), 0.5, 42, "hash", "row_id")
+    return SP.tag_random_split(half, 0.8, 42, "row_id").select("row_id", "split")
+
+
+@query("split_small_fraction", sql=f"""
+SELECT row_id, CASE WHEN {H_SPLIT} < {SP.hash_limit(0.0004)} THEN 'train' ELSE 'test' END AS split FROM ctr""")
+def split_small_fraction(spark, sf_dir):
+    """X2 with a fraction below a thousandth."""
+    return SP.tag_random_split(ctr_frame(spark, sf_dir), 0.0004, 42, "row_id").select("row_id", "split")
+
+
+@query("split_text_key", sql=f"""
+SELECT 'u-' || CAST(row_id AS VARCHAR) AS row_key,
+       CASE WHEN {md5_u32_sql("'u-' || CAST(row_id AS VARCHAR)", "42:split")} < {EIGHTY} THEN 'train' ELSE 'test' END AS split
+FROM ctr""")
+def split_text_key(spark, sf_dir):
+    """X2 on a table whose row key is text, after ``conform``."""
+    df = ctr_frame(spark, sf_dir).withColumn("row_key", F.concat(F.lit("u-"), F.col("row_id").cast("string")))
+    df = io.conform(df, CTR_SPEC.with_(id_col="row_key"))
+    return SP.tag_random_split(df, 0.8, 42, "row_key").select("row_key", "split")
+
+
+@query("folds_null_class", sql=f"""
+SELECT row_id, CAST((row_number() OVER (PARTITION BY cls ORDER BY {H_FOLD}, row_id) - 1) % 3 AS INTEGER) AS fold
+FROM (SELECT *, CASE WHEN row_id % 3 = 0 THEN NULL ELSE target END AS cls FROM ctr)""")
+def folds_null_class(spark, sf_dir):
+    """X6 where some rows have no class: they are dealt to folds too."""
+    df = ctr_frame(spark, sf_dir).withColumn("cls", F.when(F.col("row_id") % 3 != 0, F.col("target")))
+    return SP.assign_folds(df, 3, 42, "row_id", target="cls", stratified=True).select("row_id", "fold")

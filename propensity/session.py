@@ -67,7 +67,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir``; only a local-mode session without it
     (tests) gets a fresh folder under /tmp. A cluster session without it is an
-    error: a machine-local folder is not visible to other executors."""
+    error: a machine-local folder is not visible to other executors. What is
+    written there goes when the driver's JVM ends."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -79,13 +80,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a folder every "
                 "executor can reach (HDFS, S3, a shared volume)")
         configured = tempfile.mkdtemp(prefix="propensity-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    # Spark makes a folder of this application's own under the configured one
+    made = sc.getCheckpointDir() or configured
+    path = sc._jvm.org.apache.hadoop.fs.Path(made)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return made
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

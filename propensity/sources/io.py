@@ -1,7 +1,7 @@
 """Sources and sinks.
 
-S1 reads the impression table with an explicit schema (no inference pass,
-no ``05000000`` -> ``5000000.0`` surprise); S2 conforms types in one
+S1 reads the impression table as text by column name (no inference pass, no
+``05000000`` -> ``5000000.0`` surprise); S2 conforms types in one
 projection with ``try_cast`` (Spark 4 runs ANSI mode, where ``cast('abc' as
 int)`` raises) and turns NaN into null so later stages see one kind of
 missing. Sinks write through Spark's writers into the output folder, which
@@ -15,44 +15,39 @@ import os
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.clean import nan_to_null
 from ..spec import FeatureSpec
 
 
-def impression_schema(spec: FeatureSpec, raw_strings: bool = False) -> T.StructType:
-    """Explicit schema of the impression table; ``raw_strings`` reads every
-    column as text (then ``conform`` does the typing)."""
-    fields = []
-    if spec.id_col:
-        fields.append(T.StructField(spec.id_col, T.StringType() if raw_strings else T.LongType()))
-    fields.append(T.StructField(spec.target, T.StringType() if raw_strings else T.IntegerType()))
-    fields += [T.StructField(c, T.StringType() if raw_strings else T.DoubleType()) for c in spec.int_cols]
-    fields += [T.StructField(c, T.StringType()) for c in spec.cat_cols]
-    return T.StructType(fields)
-
-
 def read_impressions(spark: SparkSession, path: str, spec: FeatureSpec,
-                     fmt: str | None = None, raw_strings: bool = True) -> DataFrame:
-    """Header CSV (explicit schema) or Parquet -> conformed table."""
+                     fmt: str | None = None) -> DataFrame:
+    """Header CSV or Parquet -> conformed table.
+
+    A CSV's columns are taken by the names in its header, in any order, as
+    text (no inference pass); ``conform`` does the typing. A table without
+    the target column is refused."""
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
-        df = (spark.read.schema(impression_schema(spec, raw_strings))
-                   .option("header", True).option("mode", "PERMISSIVE").csv(path))
+        df = (spark.read.option("header", True).option("inferSchema", False)
+                   .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path))
     else:
         df = spark.read.parquet(path)
+    if spec.target not in df.columns:
+        raise ValueError(f"no column {spec.target!r} in {path}; it has {df.columns}")
     return conform(df, spec)
 
 
 def conform(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Target -> int, numerics -> double (NaN -> null), categoricals ->
-    string, id -> bigint; columns absent from the table are skipped; one
-    projection. Unparseable text becomes null (``try_cast``)."""
+    string; columns absent from the table are skipped; one projection.
+    Unparseable text becomes null (``try_cast``). The row key keeps its type,
+    and a null key raises: such a row could not be assigned to a part."""
     present = set(df.columns)
     out = {}
     if spec.id_col and spec.id_col in present:
-        out[spec.id_col] = F.col(spec.id_col).try_cast("bigint")
+        key = F.col(spec.id_col)
+        out[spec.id_col] = F.when(key.isNull(), F.raise_error(F.lit(f"null row key in {spec.id_col}"))).otherwise(key)
     if spec.target in present:
         tgt = F.col(spec.target)
         # "1.0" in text form is a valid label too

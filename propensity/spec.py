@@ -115,8 +115,6 @@ CLICKS_INT_COLS = tuple(f"intCol_{i}" for i in range(13))
 CLICKS_CAT_COLS = tuple(f"catCol_{i}" for i in range(26))
 CLICKS_SKEWED = ("intCol_1", "intCol_2", "intCol_4", "intCol_5", "intCol_6",
                  "intCol_7", "intCol_8", "intCol_10", "intCol_11", "intCol_12")
-CLICKS_SKEWED_TWIN = ("intCol_2", "intCol_4", "intCol_5", "intCol_6",
-                      "intCol_7", "intCol_8", "intCol_10", "intCol_11", "intCol_12")
 CLICKS_FLAG_COLS = ("intCol_0", "intCol_2", "intCol_3", "intCol_4",
                     "intCol_5", "intCol_6", "intCol_8", "intCol_9",
                     "intCol_10", "intCol_11", "intCol_12")
@@ -136,7 +134,8 @@ CLICKS = FeatureSpec(
 )
 
 CLICKS_LEGACY = CLICKS.with_(num_hash_features=CLICKS_BUCKETS_OLD)
-CLICKS_TWIN = CLICKS.with_(skewed=CLICKS_SKEWED_TWIN)
+# The twin log-scales intCol_1 too, after its sentinels have become flags.
+CLICKS_TWIN = CLICKS
 
 # Parameter grids of the reference's tuned search (enumeration order kept).
 LR_GRID = GridSpec({"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]})
@@ -155,7 +154,9 @@ LEGACY_RF_GRID = GridSpec({"maxDepth": [5, 10], "numTrees": [50]})
 # The single-machine twin's grids for the tree models (50 trees; depth 5 x 20/50 rounds).
 TWIN_RF_GRID = GridSpec({"maxDepth": [5, 10], "numTrees": [50]})
 TWIN_GBT_GRID = GridSpec({"maxDepth": [5], "maxIter": [20, 50]})
-TWIN_C_GRID = (1e6, 10.0)
+# Its logistic regression: C on the summed loss (see c_to_reg_param), 300 iterations, tolerance 1e-3.
+TWIN_LR_GRID = GridSpec({"C": [1e6, 10.0], "elasticNetParam": [0.0, 1.0]})
+TWIN_LR_DEFAULTS = {"maxIter": 300, "tol": 1e-3}
 
 
 def c_to_reg_param(c: float, n_train: int) -> float:

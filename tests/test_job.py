@@ -43,7 +43,8 @@ def test_presets_and_c_conversion(spark, tmp_path):
     assert not legacy.split.stratified and legacy.params["lr"]["maxIter"] == 50
     twin = preset("twin", str(tmp_path))
     assert twin.indicators and twin.split.exact and twin.folds.stratified
-    assert "intCol_1" not in twin.spec.skewed
+    assert "intCol_1" in twin.spec.skewed and twin.grids["lr"].params["C"] == [1e6, 10.0]
+    assert twin.params["lr"] == {"maxIter": 300, "tol": 1e-3}
 
 
 def test_twin_preset_runs_on_fixture(spark, tmp_path):
