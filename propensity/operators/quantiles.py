@@ -1,21 +1,21 @@
 """Exact quantiles of many columns without sorting or collecting a column.
 
 ``percentile``/``median`` keep a value->count map of the whole column in one
-aggregation buffer, and a global sort shuffles every value. Here each pass is
-a scan with map-side partial aggregation into a fixed-size histogram:
+aggregation buffer, and a global sort shuffles every value. Here:
 
 1. one aggregate: count, min, max per column -> the wanted ranks;
-2. per wanted rank, an interval [lo, hi] known to contain it and the number
-   of values below ``lo``; each pass splits every open interval into
-   ``bins`` equal-width bins (a monotone bin function, so a bin's own
-   min..max range contains only its own rows) and keeps the bin holding
-   the rank;
-3. an interval whose values are all equal is resolved; one holding at most
-   ``collect_limit`` values is finished by fetching those values.
-
-Per pass the driver receives at most (#columns x #ranks x bins) rows, never
-raw data. A value shared by a third of all rows ends in a single-valued bin
-at once. The NaN convention: NaN and null are ignored (missing).
+2. a column of few values (``collect_limit``) is fetched as distinct values
+   with their counts; for the others one aggregate brackets every rank with
+   two approximate quantiles (``percentile_approx``, whose rank error is
+   proven), one counts the values below, at and between the two ends, and a
+   rank at an end is found;
+3. the values strictly between the ends, a few ``1 / accuracy`` parts of the
+   column whatever its distribution, are fetched if few, else bracketed again.
+
+So nearly every column takes three scans, none explodes a row by column, and
+the driver receives at most ``collect_limit`` distinct values a rank. Only
+order matters, so infinities and any span of values are handled; ties never
+slow the search. NaN and null are ignored (missing).
 """
 
 from __future__ import annotations
@@ -23,16 +23,13 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("x"))
-        for i, c in enumerate(cols)])).alias("p")
-    return (df.select(pairs).select("p.ci", "p.x")
-              .where(F.col("x").isNotNull() & ~F.isnan("x")))
+def _value(col: str) -> Column:
+    x = F.col(col).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def column_counts(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float, float]]:
@@ -45,22 +42,32 @@ def column_counts(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float,
     return {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
 
 
-def _interval_table(spark, intervals):
-    return spark.createDataFrame(
-        [(j, ci, float(lo), float(hi)) for j, (ci, lo, hi) in enumerate(intervals)],
-        "iv int, ci int, lo double, hi double")
+def _inside(x: Column, lo: float | None, hi: float | None) -> Column:
+    """Strictly between the ends (None: no end)."""
+    cond = x.isNotNull()
+    if lo is not None:
+        cond = cond & (x > F.lit(lo)) & (x < F.lit(hi))
+    return cond
+
+
+def _fetch(df: DataFrame, intervals: list[tuple]) -> dict[tuple, list]:
+    """Sorted (value, count) of the values inside each (column, lo, hi); one scan."""
+    hits = F.filter(F.array(*[F.struct(F.lit(j).alias("iv"), F.when(_inside(_value(c), lo, hi), _value(c)).alias("x"))
+                              for j, (c, lo, hi) in enumerate(intervals)]), lambda v: v["x"].isNotNull())
+    rows = df.select(F.explode(hits).alias("h")).groupBy("h.iv", "h.x").agg(F.count(F.lit(1)).alias("n")).collect()
+    out = defaultdict(list)
+    for r in rows:
+        out[intervals[r["iv"]]].append((r["x"], r["n"]))
+    return {k: sorted(v) for k, v in out.items()}
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
                      stats: dict[str, tuple[int, float, float]],
-                     bins: int = 4096, collect_limit: int = 20000,
-                     max_passes: int = 64) -> dict[tuple[str, int], float]:
+                     accuracy: int = 100_000, collect_limit: int = 20000) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks ``wanted[col]`` among non-missing values."""
-    cols = list(wanted)
-    col_index = {c: i for i, c in enumerate(cols)}
-    # open targets: key -> [lo, hi, values below lo, values inside [lo, hi]]
-    open_t: dict[tuple[str, int], list] = {}
     done: dict[tuple[str, int], float] = {}
+    # rank -> (lo, hi, values at or below lo, values strictly between)
+    todo: dict[tuple[str, int], tuple] = {}
     for c, ranks in wanted.items():
         n, lo, hi = stats[c]
         for k in ranks:
@@ -69,63 +76,54 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
             if lo == hi:
                 done[(c, k)] = lo
             else:
-                open_t[(c, k)] = [lo, hi, 0, n]
-    spark = df.sparkSession
-    long = _long_values(df, cols)
-
-    def key_iv(key):
-        lo, hi = open_t[key][0], open_t[key][1]
-        return (col_index[key[0]], lo, hi)
-
-    for _ in range(max_passes):
-        if not open_t:
+                todo[(c, k)] = (None, None, 0, n)
+    while todo:
+        few = {key: v for key, v in todo.items() if v[3] <= collect_limit}
+        if few:
+            values = _fetch(df, sorted({(key[0], v[0], v[1]) for key, v in few.items()}, key=str))
+            for key, (lo, hi, below, _n) in few.items():
+                for x, n in values[(key[0], lo, hi)]:
+                    below += n
+                    if key[1] < below:
+                        done[key] = x
+                        break
+                del todo[key]
+        if not todo:
             break
-        # small intervals: fetch their values (bounded by collect_limit each)
-        fetch = [k for k, v in open_t.items() if v[3] <= collect_limit]
-        if fetch:
-            ivs = sorted({key_iv(k) for k in fetch})
-            vals = (long.join(F.broadcast(_interval_table(spark, ivs)), "ci")
-                        .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
-                        .select("iv", "x").collect())
-            got = defaultdict(list)
-            for r in vals:
-                got[r["iv"]].append(r["x"])
-            ivj = {iv: j for j, iv in enumerate(ivs)}
-            for key in fetch:
-                xs = sorted(got[ivj[key_iv(key)]])
-                done[key] = xs[key[1] - open_t.pop(key)[2]]
-        if not open_t:
-            break
-        # large intervals: one histogram pass splits each into `bins` bins
-        intervals = sorted({key_iv(k) for k in open_t})
-        width = F.col("hi") - F.col("lo")
-        b = F.least(F.floor((F.col("x") - F.col("lo")) / width * bins), F.lit(bins - 1)).cast("int")
-        hist = (long.join(F.broadcast(_interval_table(spark, intervals)), "ci")
-                    .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
-                    .groupBy("iv", b.alias("b"))
-                    .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                    .collect())
-        by_iv = defaultdict(list)
-        for r in hist:
-            by_iv[r["iv"]].append((r["b"], r["n"], r["mn"], r["mx"]))
-        iv_id = {iv: j for j, iv in enumerate(intervals)}
-        for key in sorted(open_t):
-            _, k = key
-            below = open_t[key][2]
-            acc = below
-            for _b, n, mn, mx in sorted(by_iv[iv_id[key_iv(key)]]):
-                if k < acc + n:
-                    if mn == mx:
-                        done[key] = mn
-                        del open_t[key]
-                    else:
-                        open_t[key] = [mn, mx, acc, n]
-                    break
-                acc += n
-            else:  # pragma: no cover - counts are consistent by construction
-                raise RuntimeError(f"rank {k} of {key[0]} not located")
-    if open_t:
-        raise RuntimeError("exact quantile search did not converge")
+        keys = sorted(todo)
+        brackets = []
+        for c, k in keys:
+            lo, hi, below, n = todo[(c, k)]
+            x = _value(c)
+            p = (k - below + 0.5) / n
+            ends = [min(max(p + d * 2.0 / accuracy, 0.0), 1.0) for d in (-1, 1)]
+            brackets.append(F.percentile_approx(F.when(_inside(x, lo, hi), x), ends, accuracy))
+        ends = df.agg(*[b.alias(f"b{i}") for i, b in enumerate(brackets)]).first()
+        counts = []
+        for i, (c, k) in enumerate(keys):
+            lo, hi = todo[(c, k)][:2]
+            x, (a, b) = _value(c), ends[f"b{i}"]
+            own = _inside(x, lo, hi)
+            counts += [F.count_if(own & (x < F.lit(a))).alias(f"l{i}"), F.count_if(own & (x == F.lit(a))).alias(f"a{i}"),
+                       F.count_if(own & (x > F.lit(a)) & (x < F.lit(b))).alias(f"m{i}"),
+                       F.count_if(own & (x == F.lit(b))).alias(f"z{i}")]
+        r = df.agg(*counts).first()
+        for i, key in enumerate(keys):
+            lo, hi, below, n = todo[key]
+            a, b = ends[f"b{i}"]
+            at = key[1] - below
+            under, at_a, between = r[f"l{i}"], r[f"a{i}"], r[f"m{i}"]
+            at_b = r[f"z{i}"] if b != a else 0
+            if at < under or at >= under + at_a + between + at_b:  # the bracket's error is proven; checked all the same
+                raise RuntimeError(f"rank {key[1]} of {key[0]} outside its bracket")
+            if at < under + at_a:
+                done[key] = a
+                del todo[key]
+            elif at >= under + at_a + between:
+                done[key] = b
+                del todo[key]
+            else:
+                todo[key] = (a, b, below + under + at_a, between)
     return done
 
 
@@ -168,5 +166,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 continue
             k0, k1, frac = plan[(c, p)]
             a, b = vals[(c, k0)], vals[(c, k1)]
-            out[(c, p)] = a if k0 == k1 else a + frac * (b - a)
+            if k0 == k1 or a == b:
+                out[(c, p)] = a
+            elif math.isinf(b - a) and not (math.isinf(a) or math.isinf(b)):
+                out[(c, p)] = a * (1 - frac) + b * frac  # their difference is beyond the largest double
+            else:
+                out[(c, p)] = a + frac * (b - a)
     return out

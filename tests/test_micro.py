@@ -39,7 +39,7 @@ def test_exact_quantiles_many_passes(spark):
     vals = [rnd.choice([rnd.random() * 1e6, 5.0, -3.25]) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.1, 0.5, 0.75, 0.99]
-    got = exact_quantiles(df, ["x"], probs, bins=4, collect_limit=3)
+    got = exact_quantiles(df, ["x"], probs, accuracy=20, collect_limit=3)
     s = sorted(vals)
     for p in probs:
         pos = p * (len(s) - 1)
@@ -184,3 +184,19 @@ def test_anti_join_keeps_duplicate_rows(spark):
     assert train.count() + test.count() == 6
     # joining on all columns instead would drop every duplicate of a row seen in train
     assert with_id.drop("_row_id").join(train.drop("_row_id"), ["target", "c"], "left_anti").count() == 0
+
+
+def test_exact_quantiles_with_infinities_wide_spans_and_ties(spark):
+    import numpy as np
+    inf = float("inf")
+    rng = np.random.default_rng(0)
+    xs = [inf, -inf, 1.5e308, -1.5e308, 0.0, 0.0, 0.0, 5e-324] + (10.0 ** rng.uniform(-300, 300, 200)).tolist() + [7.0] * 300
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,), (float("nan"),)], "x double").repartition(3)
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    for kw in ({}, {"accuracy": 20, "collect_limit": 3}):
+        got = exact_quantiles(df, ["x"], probs, interpolation="lower", **kw)
+        ys = sorted(xs)
+        assert [got[("x", p)] for p in probs] == [ys[max(int(np.ceil(p * len(ys))) - 1, 0)] for p in probs]
+    two = spark.createDataFrame([(-1.5e308,), (1.5e308,)], "x double")
+    assert exact_quantiles(two, ["x"], [0.5])[("x", 0.5)] == 0.0
+    assert exact_quantiles(df.where("x = double('Infinity')"), ["x"], [0.5])[("x", 0.5)] == inf
