@@ -30,7 +30,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, persist_spread
@@ -95,18 +95,19 @@ def _gbt_prefix_groups(kind: str, combos: list[dict], base: dict) -> dict:
     return out
 
 
-def _gbt_prefix_prob(model: GBTClassificationModel, df: DataFrame, n_trees: int,
-                     features: str = "features") -> DataFrame:
-    """Class-1 probability of the first ``n_trees`` trees of a fitted GBT:
-    ``1 / (1 + exp(-2 * sum(w_i * tree_i(x))))`` (MLlib's logistic loss)."""
-    trees, weights = model.trees[:n_trees], model.treeWeights[:n_trees]
-    out = df
-    margin = F.lit(0.0)
-    for i, (t, w) in enumerate(zip(trees, weights)):
-        col = f"_t{i}"
-        out = t.copy().setFeaturesCol(features).setPredictionCol(col).transform(out)
-        margin = margin + F.lit(float(w)) * F.col(col)
-    return out.withColumn("prob", 1.0 / (1.0 + F.exp(-2.0 * margin))).drop(*[f"_t{i}" for i in range(len(trees))])
+def truncated_gbt(model: GBTClassificationModel, n_trees: int) -> GBTClassificationModel:
+    """The boosted model as it was after its first ``n_trees`` rounds: a round
+    depends on the earlier ones only, so this is the model a shorter fit gives."""
+    java, sc = model._java_obj, SparkSession.active().sparkContext
+    package = sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(package.regression.DecisionTreeRegressionModel, n_trees)
+    weights = sc._gateway.new_array(sc._gateway.jvm.double, n_trees)
+    for i, (t, w) in enumerate(zip(java.trees(), model.treeWeights)):
+        if i < n_trees:
+            trees[i], weights[i] = t, w
+    short = package.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    short.setFeaturesCol(java.getFeaturesCol())
+    return GBTClassificationModel(short)
 
 
 def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpec,
@@ -117,9 +118,10 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     """M5 + M6 + M10: mean validation AUC per grid point, best point refitted
     on all of ``train``; ``fit_time_sec`` covers the search and the refit.
 
-    ``parallelism`` fits run at once (fold preprocessing, then every
-    (fold, grid point) fit), like ``CrossValidator(parallelism=...)``; all
-    validation scores are ranked in one job."""
+    Folds go one after the other, so one fold's features are cached at a
+    time; in a fold ``parallelism`` fits run at once, like
+    ``CrossValidator(parallelism=...)``, each distinct model scores the
+    validation rows once, and all its scores are ranked together."""
     base = dict(base_params or {})
     label = spec.target
     combos = grid.combos() or [{}]
@@ -142,54 +144,46 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     else:
         fit_of = {i: i for i in range(len(combos))}
         prefix = {i: (i, None) for i in range(len(combos))}
-    to_fit = sorted({prefix[fit_of[i]][0] for i in range(len(combos))})
-    pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
+    model_of = {i: prefix[fit_of[i]] for i in range(len(combos))}  # (grid point fitted, trees kept)
+    distinct = sorted(set(model_of.values()), key=str)
+    to_fit = sorted({src for src, _ in distinct})
+    fold_metrics = [[0.0] * folds.num_folds for _ in combos]
+    n_fits = 0
     try:
-        def prepare(f):
-            trn = tagged.where(F.col("_fold") != f)
-            val = tagged.where(F.col("_fold") == f)
+        # one fold's data at a time is cached; only its slim scores outlive it
+        for f in range(folds.num_folds):
+            trn, val = tagged.where(F.col("_fold") != f), tagged.where(F.col("_fold") == f)
             prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)).fit(trn)
-            return (prep.transform(trn).select(label, "features").persist(),
-                    prep.transform(val).select(label, "features").persist())
-        data = list(pool.map(prepare, range(folds.num_folds)))
-
-        def fit_one(task):
-            f, i = task
-            clf = make_classifier(kind, label, **{**base, **combos[i]})
-            return task, clf.fit(data[f][0])
-        fitted = dict(pool.map(fit_one, [(f, i) for f in range(folds.num_folds) for i in to_fit]))
+            trn_x = prep.transform(trn).select(label, "features").persist()
+            val_x = prep.transform(val).select(label, "features").persist()
+            pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
+            try:
+                fitted = dict(zip(to_fit, pool.map(
+                    lambda i, x=trn_x: make_classifier(kind, label, **{**base, **combos[i]}).fit(x), to_fit)))
+                n_fits += 1 + len(fitted)
+                scored = None
+                for d, (src, n_trees) in enumerate(distinct):
+                    model = fitted[src]
+                    if kind == "gbt" and n_trees is not None and n_trees < model.getNumTrees:
+                        model = truncated_gbt(model, n_trees)
+                    s = model.transform(val_x).select(label, vector_to_array("probability")[1].alias("prob"), F.lit(d).alias("_model"))
+                    scored = s if scored is None else scored.unionByName(s)
+                auc = {r["_model"]: float(r["auc_roc"]) for r in M.ranking_metrics(scored, label, "prob", ["_model"]).collect()}
+            finally:
+                pool.shutdown()
+                trn_x.unpersist()
+                val_x.unpersist()
+            for i in range(len(combos)):
+                fold_metrics[i][f] = auc[distinct.index(model_of[i])]
+        avg = [sum(m) / len(m) for m in fold_metrics]
+        best = max(range(len(combos)), key=lambda i: (avg[i], -i))
+        best_params = {**base, **combos[best]}
+        # refit on every training row, read from the cached, pruned fold table
+        model = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)
+                         + [make_classifier(kind, label, **best_params)]).fit(tagged.drop("_fold"))
+        n_fits += 1
     finally:
-        pool.shutdown()
-    n_fits = folds.num_folds + len(fitted)
-    parts = []
-    for f in range(folds.num_folds):
-        val_x = data[f][1]
-        for i in range(len(combos)):
-            src, n_trees = prefix[fit_of[i]]
-            model = fitted[(f, src)]
-            trees = getattr(model, "trees", None)
-            if kind == "gbt" and n_trees is not None and trees is not None and n_trees < len(trees):
-                s = _gbt_prefix_prob(model, val_x, n_trees).select(label, "prob")
-            else:
-                s = model.transform(val_x).select(label, vector_to_array("probability")[1].alias("prob"))
-            parts.append(s.withColumns({"_f": F.lit(f), "_combo": F.lit(i)}))
-    scored = parts[0]
-    for s in parts[1:]:
-        scored = scored.unionByName(s)
-    fold_metrics = [[0.0] * folds.num_folds for _ in combos]
-    for r in M.ranking_metrics(scored, label, "prob", ["_f", "_combo"]).collect():
-        fold_metrics[r["_combo"]][r["_f"]] = float(r["auc_roc"])
-    for trn_x, val_x in data:
-        trn_x.unpersist()
-        val_x.unpersist()
-    avg = [sum(m) / len(m) for m in fold_metrics]
-    best = max(range(len(combos)), key=lambda i: (avg[i], -i))
-    best_params = {**base, **combos[best]}
-    # refit on every training row, read from the cached, pruned fold table
-    model = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)
-                     + [make_classifier(kind, label, **best_params)]).fit(tagged.drop("_fold"))
-    n_fits += 1
-    tagged.unpersist()
+        tagged.unpersist()
     notes = []
     if dedupe and len(to_fit) < len(combos):
         notes.append("equivalent or nested grid points fitted once")

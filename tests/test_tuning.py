@@ -38,7 +38,9 @@ def test_gbt_prefix_equals_short_fit(ctr01):
     x = prep.transform(df).select("target", "features").persist()
     long = MO.make_classifier("gbt", "target", maxIter=6, maxDepth=3).fit(x)
     short = MO.make_classifier("gbt", "target", maxIter=3, maxDepth=3).fit(x)
-    a = TU._gbt_prefix_prob(long, x, 3).select("prob").collect()
+    cut = TU.truncated_gbt(long, 3)
+    assert cut.getNumTrees == 3
+    a = cut.transform(x).select(vector_to_array("probability")[1].alias("prob")).collect()
     b = short.transform(x).select(vector_to_array("probability")[1].alias("prob")).collect()
     assert [r.prob for r in a] == pytest.approx([r.prob for r in b], abs=1e-12)
 
