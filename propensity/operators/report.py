@@ -6,7 +6,7 @@ each chart is a table here, so charts can be drawn by any tool.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import metrics as M
@@ -53,3 +53,43 @@ def top_importances(spark: SparkSession, importances, names=None, k: int = 20,
     order = sorted(range(len(vals)), key=lambda i: (-vals[i], i))[:k]
     rows = [(model, r + 1, i, names[i], vals[i]) for r, i in enumerate(order)]
     return spark.createDataFrame(rows, "model string, rank int, idx int, name string, importance double")
+
+
+# -------------------------------------------- from stored metrics documents
+def _stored_metric(name: str) -> Column:
+    """A test metric of a nested document, else the flat one."""
+    return F.coalesce(F.col("doc.test_metrics")[name], F.col(f"doc.{name}"))
+
+
+def stored_roc_series(documents: DataFrame) -> DataFrame:
+    """R1 from ``io.read_metrics_documents``: ``(model, threshold, fpr, tpr,
+    auc_roc)``; a model without points is left out."""
+    return (documents.where(F.size("doc.roc_points") > 0)
+            .select("model", _stored_metric("AUC_ROC").alias("auc_roc"), F.explode("doc.roc_points").alias("p"))
+            .select("model", "p.threshold", "p.fpr", "p.tpr", "auc_roc"))
+
+
+def stored_confusion(documents: DataFrame, classes=(0, 1)) -> DataFrame:
+    """R2 from stored documents: dense ``(model, target, prediction, n)``; a
+    model without a matrix is left out. Counts are stored by prediction and
+    then label, or as a list of rows, one per true class."""
+    text = F.col("doc.confusion_matrix")
+    by_prediction = F.from_json(text, "map<string,map<string,bigint>>")
+    rows = F.from_json(text, "array<array<bigint>>")
+    have = documents.where(text.isNotNull()).withColumn("list", F.startswith(F.trim(text), F.lit("[")))
+    maps = (have.where(~F.col("list")).select("model", F.explode(by_prediction).alias("p", "m"))
+            .select("model", F.col("p").cast("double").alias("prediction"), F.explode("m").alias("t", "n"))
+            .select("model", F.col("t").cast("double").cast("int").alias("target"), "prediction", "n"))
+    lists = (have.where("list").select("model", F.posexplode(rows).alias("target", "r"))
+             .select("model", "target", F.posexplode("r").alias("prediction", "n"))
+             .select("model", "target", F.col("prediction").cast("double").alias("prediction"), "n"))
+    grid = have.select("model", F.explode(F.array(*[F.lit(int(c)) for c in classes])).alias("target")).withColumn(
+        "prediction", F.explode(F.array(*[F.lit(float(c)) for c in classes])))
+    # an empty cell is not stored: it counts 0
+    filled = grid.withColumn("n", F.lit(0).cast("bigint")).unionByName(maps.unionByName(lists))
+    return filled.groupBy("model", "target", "prediction").agg(F.sum("n").alias("n"))
+
+
+def stored_comparison(documents: DataFrame, metrics=COMPARED) -> DataFrame:
+    """R3 from stored documents: one row per model."""
+    return documents.select("model", *[_stored_metric(m).alias(m) for m in metrics])

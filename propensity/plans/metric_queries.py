@@ -15,8 +15,9 @@ from ..fixtures import ctr_frame
 from ..operators import metrics as M
 from ..operators import report as RP
 from ..operators.split import tag_stratified_split
-from ..session import broadcast_if_bounded, BROADCAST_MAX_ROWS
-from .catalog import EIGHTY, H_SPLIT, query, rounded
+from ..session import broadcast_if_bounded, BROADCAST_MAX_ROWS, scratch_path
+from ..sources import io
+from .catalog import EIGHTY, H_SPLIT, ORACLES, query, rounded
 
 THRESHOLDS = [i / 10.0 for i in range(11)]
 
@@ -254,3 +255,49 @@ def metrics_sink_roundtrip(spark, sf_dir):
     path = io.write_metrics(rep, scratch_path(spark, "report"))
     back = io.read_metrics(spark, path, ["planted", "segment_rate", "not_trained"])
     return rounded(back.select("model", "split", "metric", "value"))
+
+
+def _stored(spark, sf_dir):
+    """The test split's documents of the planted models, written by the job's
+    own document writer and read back."""
+    from . import job
+    path = scratch_path(spark, "documents")
+    scored = fixture_scored(spark, sf_dir)
+    models = sorted(r[0] for r in scored.select("model").distinct().collect())
+    for m in models:
+        one = scored.where(F.col("model") == m)
+        ev = M.evaluate(one, "target", "score", "prediction", ["split"])
+        test = F.col("split") == "test"
+        tables = {"report": ev["report"], "confusion": ev["confusion"].where(test), "roc_points": ev["sweep"].where(test)}
+        job.write_json_doc(spark, job.metrics_document(m, tables, 0.0), f"{path}/metrics_{m}")
+    return io.read_metrics_documents(spark, path, [*models, "absent"])
+
+
+@query("stored_roc_series")
+def stored_roc_series(spark, sf_dir):
+    """S6 + R1: the curve's points from written metrics documents."""
+    return rounded(RP.stored_roc_series(_stored(spark, sf_dir)))
+
+
+@query("stored_confusion_grid")
+def stored_confusion_grid(spark, sf_dir):
+    """S6 + R2 from written metrics documents."""
+    return RP.stored_confusion(_stored(spark, sf_dir))
+
+
+@query("stored_model_comparison")
+def stored_model_comparison(spark, sf_dir):
+    """S6 + R3 from written metrics documents."""
+    return rounded(RP.stored_comparison(_stored(spark, sf_dir)))
+
+
+@query("ranking_null_group", sql=_rank_sql("(SELECT *, CASE WHEN row_id % 3 = 0 THEN NULL ELSE 'a' END AS grp FROM ctr)", ["grp"])
+       + "\nSELECT grp, round(auc_roc, 6) AS auc_roc, round(auc_pr, 6) AS auc_pr, round(avg_precision, 6) AS avg_precision FROM rk")
+def ranking_null_group(spark, sf_dir):
+    """V1-V3 where a group's key is null: it is a group like any other."""
+    df = ctr_frame(spark, sf_dir).withColumn("grp", F.when(F.col("row_id") % 3 != 0, "a"))
+    return rounded(M.ranking_metrics(df, "target", "score", ["grp"]).select("grp", "auc_roc", "auc_pr", "avg_precision"))
+
+
+for _name in ("roc_series", "confusion_grid", "model_comparison"):
+    ORACLES[f"stored_{_name}"] = ORACLES[_name]  # stored or not, the same table

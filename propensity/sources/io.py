@@ -92,6 +92,29 @@ def read_metrics(spark: SparkSession, path: str, models=None) -> DataFrame:
     return spark.read.json(path)
 
 
+#: Metrics documents (JSON): metrics under ``test_metrics`` / ``training_metrics`` or flat, confusion
+#: counts keyed by prediction and label or as rows of true classes, curve points with or without thresholds.
+_DOCUMENT = """training_metrics map<string,double>, test_metrics map<string,double>,
+AUC_ROC double, AUC_PR double, Accuracy double, F1 double, Weighted_Precision double, Weighted_Recall double,
+fit_time_sec double, confusion_matrix string, roc_points array<struct<threshold:double,fpr:double,tpr:double>>"""
+
+
+def read_metrics_documents(spark: SparkSession, path: str, models=("lr", "rf", "gbt")) -> DataFrame:
+    """One row per stored document ``metrics_<model>.json`` or folder
+    ``metrics_<model>`` (as the job writes): (model, doc struct). A model
+    without a document is skipped."""
+    out = None
+    for m in models:
+        found = [p for p in (os.path.join(path, f"metrics_{m}.json"), os.path.join(path, f"metrics_{m}")) if _exists(spark, p)]
+        if found:
+            one = spark.read.text(found[0], wholetext=True).where(F.length(F.trim("value")) > 0)
+            one = one.select(F.lit(m).alias("model"), F.from_json("value", _DOCUMENT).alias("doc"))
+            out = one if out is None else out.unionByName(one)
+    if out is None:
+        out = spark.sql("SELECT '' AS model, '' AS value").where("false").select("model", F.from_json("value", _DOCUMENT).alias("doc"))
+    return out
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
