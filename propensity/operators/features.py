@@ -24,7 +24,6 @@ from ..functions.hashing import md5_token_u32
 from ..spec import FeatureSpec
 from .quantiles import exact_quantiles
 
-MAX_DENSE_SIGNED = 4096
 
 
 # ------------------------------------------------------------ E1 imputers
@@ -80,17 +79,21 @@ def signed_hash_long(df: DataFrame, cols, num_features: int, key: str) -> DataFr
 
 
 def signed_hash_vector(df: DataFrame, cols, num_features: int, output: str = "signed_features") -> DataFrame:
-    """E3, vector form without a shuffle or UDF: a dense vector built per row
-    from the <= len(cols) signed hits (cost len(cols) x n per row, so n is
-    bounded by ``MAX_DENSE_SIGNED``)."""
-    if num_features > MAX_DENSE_SIGNED:
-        raise ValueError(f"dense signed hashing is limited to {MAX_DENSE_SIGNED} buckets")
-    zero = F.array_repeat(F.lit(0.0), num_features)
-    arr = F.aggregate(
-        _signed_hits(cols), zero,
-        lambda acc, x: F.transform(acc, lambda v, i: v + F.when(i == (x["h"] % num_features), x["s"])
-                                   .otherwise(F.lit(0.0))))
-    return df.withColumn(output, array_to_vector(arr))
+    """E3, vector form without a shuffle or UDF: the row's few signed hits are
+    summed by bucket into a map once, then each of the ``num_features`` slots
+    is read from it (dense, so memory is 8 bytes a slot and row in flight)."""
+    n = F.lit(int(num_features))
+    hits = F.transform(_signed_hits(cols), lambda x: F.struct((x["h"] % n).cast("int").alias("b"), x["s"].alias("s")))
+
+    def slots(h: Column) -> Column:
+        total = lambda b: F.aggregate(F.filter(h, lambda x: x["b"] == b), F.lit(0.0), lambda acc, x: acc + x["s"])
+        buckets = F.array_distinct(F.transform(h, lambda x: x["b"]))
+        return F.map_from_entries(F.transform(buckets, lambda b: F.struct(b, total(b))))
+    # a one-element array binds the map, so it is built once a row
+    bound = F.transform(F.array(hits), slots)
+    dense = F.element_at(F.transform(bound, lambda m: F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0)))), 1)
+    return df.withColumn(output, array_to_vector(dense))
 
 
 # ------------------------------------------------------------ E4-E7
