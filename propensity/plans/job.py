@@ -270,7 +270,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = clean(ctr_frame(spark, sf_dir), spec)
     tagged = tag_stratified_split(df, spec.target, {0: 0.8, 1: 0.8}, 42, "row_id")
     train, _ = split_parts(tagged)
-    model = MO.fit(MO.build_pipeline(spec, "lr", maxIter=50), train, spec.target)
+    model = MO.fit(MO.build_pipeline(spec, "lr"), train, spec.target)
     scored = score_splits(model, tagged, spec, "row_id")
     rep = M.classification_report(scored, spec.target, "prob", "prediction", ["split"])
     return rep.select(F.lit("lr").alias("model"), "split", "metric", "value")

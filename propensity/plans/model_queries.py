@@ -23,7 +23,7 @@ from ..operators.clean import clean
 from ..operators.split import split_parts, tag_stratified_split
 from ..session import scratch_path
 from ..sources import io
-from ..spec import FoldSpec, GridSpec
+from ..spec import LR_GRID, RF_GRID, FoldSpec, GridSpec
 from .catalog import CATS, EIGHTY, H_FOLD, H_SPLIT, INTS, S, query, rounded
 
 SEGMENT = S.with_(int_cols=(), cat_cols=("cat_0",), skewed=(), flag_cols=(), sentinel_col=None,
@@ -256,17 +256,14 @@ def cv_auc_by_fold(spark, sf_dir):
 def cv_grid_search(spark, sf_dir):
     """M4 + M5 + M10: the reference's logistic-regression grid (regParam x
     elasticNet), 2 folds, on the fixture's features (rows-only check)."""
-    res = TU.cross_validate(_train_rows(spark, sf_dir), S, "lr",
-                            GridSpec({"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]}),
-                            FoldSpec(2, 42), base_params={"maxIter": 20}, key="row_id")
+    res = TU.cross_validate(_train_rows(spark, sf_dir), S, "lr", LR_GRID, FoldSpec(2, 42), key="row_id")
     return res.table(spark).withColumn("fit_time_sec", F.lit(res.fit_time_sec))
 
 
 @query("best_params")
 def best_params(spark, sf_dir):
     """M6: parameters of the best grid point (rows-only check)."""
-    res = TU.cross_validate(_train_rows(spark, sf_dir), S, "rf", GridSpec({"maxDepth": [3, 5], "numTrees": [5]}),
-                            FoldSpec(2, 42), key="row_id")
+    res = TU.cross_validate(_train_rows(spark, sf_dir), S, "rf", RF_GRID, FoldSpec(2, 42), key="row_id")
     return res.params_table(spark)
 
 
@@ -275,7 +272,7 @@ def feature_importance_topk(spark, sf_dir):
     """M9 + O2: top-20 features of a boosted-tree model by importance
     (descending, ties by index), named from the assembled vector."""
     df = clean(ctr_frame(spark, sf_dir), S)
-    model = MO.fit(MO.build_pipeline(S, "gbt", maxIter=5, maxDepth=3), df, "target")
+    model = MO.fit(MO.build_pipeline(S, "gbt"), df, "target")
     names = MO.feature_names(model, df)
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return RP.top_importances(spark, imp, names, 20, "gbt")
@@ -284,16 +281,11 @@ def feature_importance_topk(spark, sf_dir):
 @query("end_to_end_job")
 def end_to_end_job(spark, sf_dir):
     """The whole job (profile, clean, split, 2-fold search for the three
-    model kinds on small grids, save, score, report) over the fixture view;
-    returns the written report read back (rows-only check)."""
-    from ..spec import GridSpec as G
+    model kinds on the reference's grids, save, score, report) over the
+    fixture view; returns the written report read back (rows-only check)."""
     from .job import JobConfig, run_job
     out = scratch_path(spark, "job")
-    cfg = JobConfig(output=out, spec=S,
-                    grids={"lr": G({"regParam": [0.0, 0.1]}), "rf": G({"maxDepth": [3]}),
-                           "gbt": G({"maxIter": [3, 5]})},
-                    params={"lr": {"maxIter": 20}, "rf": {"numTrees": 5}, "gbt": {"maxDepth": 3}})
-    run_job(spark, cfg, df=ctr_frame(spark, sf_dir).drop("score"))
+    run_job(spark, JobConfig(output=out, spec=S), df=ctr_frame(spark, sf_dir).drop("score"))
     return io.read_metrics(spark, f"{out}/report")
 
 

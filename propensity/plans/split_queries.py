@@ -8,7 +8,7 @@ from ..fixtures import CTR_SPEC, ctr_frame
 from ..functions.hashing import md5_u32_sql
 from ..operators import split as SP
 from ..sources import io
-from .catalog import EIGHTY, HALF, H_FOLD, H_SAMPLE, H_SPLIT, query
+from .catalog import EIGHTY, HALF, H_FOLD, H_SAMPLE, H_SPLIT, query, union_sql
 
 TRAIN = {0: 0.8, 1: 0.8}
 
@@ -143,3 +143,26 @@ def folds_null_class(spark, sf_dir):
     """X6 where some rows have no class: they are dealt to folds too."""
     df = ctr_frame(spark, sf_dir).withColumn("cls", F.when(F.col("row_id") % 3 != 0, F.col("target")))
     return SP.assign_folds(df, 3, 42, "row_id", target="cls", stratified=True).select("row_id", "fold")
+
+
+@query("seeded_parts", sql=union_sql("""
+SELECT '{c}' AS method, count(*) AS n_rows, count(*) AS n_in_parts, 0::BIGINT AS n_twice, true AS near_share FROM ctr""",
+                                     ["sample", "random", "stratified"]))
+def seeded_parts(spark, sf_dir):
+    """X1-X3, seeded forms: the parts are disjoint, together they are the
+    table, and the first has its share within five standard deviations."""
+    ctr = ctr_frame(spark, sf_dir).select("row_id", "target")
+    half = SP.sample(ctr, 0.5, 42, "seeded")
+    cases = [("sample", half, SP.anti_join_split(ctr, half, "row_id"), 0.5),
+             ("random", *SP.random_split(ctr, 0.8, 42, "seeded"), 0.8),
+             ("stratified", *SP.stratified_split(ctr, "target", 0.8, 42, "seeded", "row_id"), 0.8)]
+    n = F.count(F.lit(1))
+    out = None
+    for name, first, second, share in cases:
+        both = first.select("row_id", F.lit(1).alias("a")).unionByName(second.select("row_id", F.lit(0).alias("a")))
+        per_row = ctr.join(both, "row_id", "left").groupBy("row_id").agg(F.count("a").alias("k"), F.sum("a").alias("a"))
+        one = per_row.agg(n.alias("n_rows"), F.sum("k").alias("n_in_parts"), F.count_if(F.col("k") > 1).alias("n_twice"),
+                          (F.abs(F.sum("a") - share * n) <= 5 * F.sqrt(share * (1 - share) * n)).alias("near_share"))
+        one = one.select(F.lit(name).alias("method"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
