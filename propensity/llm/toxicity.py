@@ -14,8 +14,9 @@ lower orders use continuation counts (distinct words before) of both classes.
 
 A text's log-likelihood ratio is normalised by length twice: over the whole
 text, and over the most toxic run of ``run_words`` words, because a few words
-decide in a long text. A two-feature logistic curve, fitted on training texts
-that were kept out of the counts, turns both into a score in 0 to 1.
+decide in a long text. A logistic curve of both and of the logarithm of the
+text's words (a longer text has more runs to choose the worst from), fitted on
+training texts that were kept out of the counts, gives a score in 0 to 1.
 
 Learning reads at most about ``max_rows`` labelled texts of each class (a
 seeded sample, the bound is a parameter; a class with fewer is taken whole),
@@ -82,7 +83,7 @@ class Model:
     prefix_keys: np.ndarray
     prefix_ratio: np.ndarray
     backoff: tuple = (0.0, 0.0)
-    curve: tuple = (0.0, 0.0, 0.0)
+    curve: tuple = (0.0, 0.0, 0.0, 0.0)
     constant: float | None = None
 
     def tables(self):
@@ -109,8 +110,8 @@ class Model:
         out[new[row < 0]] += self.backoff[1]
         return out
 
-    def features(self, data: np.ndarray, offsets: np.ndarray, run_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """(mean ratio of the text, mean ratio of its most toxic run)."""
+    def features(self, data: np.ndarray, offsets: np.ndarray, run_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(mean ratio of the text, mean ratio of its most toxic run, log of 1 + its words)."""
         word, prefix, before, pair, first = text_keys(data, offsets)
         sums = np.concatenate([[0.0], np.cumsum(self.word_ratios(word, prefix, before, pair))])
         n = np.diff(first)
@@ -123,7 +124,7 @@ class Model:
             run = (sums[end] - sums[:-1]) / run_words
             has = np.flatnonzero(n)
             best[has] = np.maximum.reduceat(run, first[:-1][has])
-        return mean, best
+        return mean, best, np.log1p(n)
 
 
 #: Absolute discounts for counts 1, 2 and 3 or more. The usual estimates from
@@ -260,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     model = _model(rows)
     scored = _features(texts.where("held").select("y", "text"), "y", "text", model, run_words).toArrow()
     y = scored.column("y").to_numpy().astype(float)
-    x = np.column_stack([scored.column("mean").to_numpy(), scored.column("best").to_numpy()])
+    x = np.column_stack([scored.column(c).to_numpy() for c in ("mean", "best", "log_words")])
     # each class by its share of the labels, not of the sample
     share = {r[0]: r[1] for r in labelled(labels.where(usable) if usable is not None else labels, label, id_col)
              .groupBy("y").count().collect()}
@@ -276,26 +277,26 @@ def _features(rows: DataFrame, key: str, text: str, model: Model, run_words: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            means, bests = [np.empty(0)], [np.empty(0)]
-            for _, data, offsets in text_blocks(batch.column(1)):
-                a, b = m.features(data, offsets, run_words)
-                means.append(a)
-                bests.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(means)), pa.array(np.concatenate(bests))],
-                                             ["key", "mean", "best"])
+            parts = [(np.empty(0),) * 3]
+            parts += [m.features(data, offsets, run_words) for _, data, offsets in text_blocks(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))],
+                                             ["key", "mean", "best", "log_words"])
 
     slim = rows.select(F.col(key).alias("key"), F.col(text).alias("text"))
     return slim.mapInArrow(run, T.StructType([slim.schema["key"], T.StructField("mean", T.DoubleType()),
-                                              T.StructField("best", T.DoubleType())])).withColumnRenamed("key", key)
+                                              T.StructField("best", T.DoubleType()),
+                                              T.StructField("log_words", T.DoubleType())])).withColumnRenamed("key", key)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", run_words: int = 2) -> DataFrame:
-    """(id_col, mean, best, score): every whole text's features and score."""
+    """(id_col, mean, best, log_words, score): every whole text's features and score."""
     out = _features(docs, id_col, text_col, model, run_words)
     if model.constant is not None:
         return out.withColumn("score", F.lit(model.constant))
-    b, m, r = model.curve
-    return out.withColumn("score", 1 / (1 + F.exp(-(F.lit(b) + F.lit(m) * F.col("mean") + F.lit(r) * F.col("best")))))
+    z = F.lit(model.curve[0])
+    for weight, name in zip(model.curve[1:], ("mean", "best", "log_words"), strict=True):
+        z = z + F.lit(weight) * F.col(name)
+    return out.withColumn("score", 1 / (1 + F.exp(-z)))
 
 
 def ordinary(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5, run_words: int = 2) -> DataFrame:
@@ -308,9 +309,9 @@ def ordinary(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
         for batch in batches:
             keep = [np.empty(0, bool)]
             for _, data, offsets in text_blocks(batch.column(at)):
-                a, b = m.features(data, offsets, run_words)
-                z = m.curve[0] + m.curve[1] * a + m.curve[2] * b
-                p = np.full(len(a), m.constant) if m.constant is not None else 1 / (1 + np.exp(-z))
+                x = m.features(data, offsets, run_words)
+                z = m.curve[0] + sum(w * v for w, v in zip(m.curve[1:], x, strict=True))
+                p = np.full(len(z), m.constant) if m.constant is not None else 1 / (1 + np.exp(-z))
                 keep.append(p < threshold)
             yield batch.filter(pa.array(np.concatenate(keep)))
 
