@@ -103,16 +103,18 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     bucket = F.shiftright(high * F.ceil(F.col("n_docs") / F.lit(bucket_rows)), 32)
     sums = with_target(size).withColumn("bucket", bucket).groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"),
+    # a null source has a key too, so the join and the window below share one exchange
+    key = F.xxhash64("source")
+    starts = sums.select(key.alias("b_key"), F.col("bucket").alias("b_bucket"),
                          F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("bucket_start"))
     if keep:
         rows = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
                            word_count(F.col(text_col)).alias("size"), F.struct(*keep).alias("row"))
     else:
         rows = size.withColumn("row", F.lit(None).cast("struct<none:int>"))
-    rows = with_target(rows).withColumn("h", h).withColumn("bucket", bucket)
-    rows = rows.join(starts, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
-    within = (Window.partitionBy("source", "bucket").orderBy("h", "id", "size", "th")
+    rows = with_target(rows).withColumn("h", h).withColumn("bucket", bucket).withColumn("key", key)
+    rows = rows.join(starts, (F.col("key") == F.col("b_key")) & (F.col("bucket") == F.col("b_bucket")))
+    within = (Window.partitionBy("key", "bucket").orderBy("h", "id", "size", "th")
               .rowsBetween(Window.unboundedPreceding, -1))
     quota = F.floor("target").cast("bigint")
     passes = F.coalesce(F.floor(F.try_divide("quota", "source_size")), F.lit(0)).cast("bigint")
