@@ -97,7 +97,8 @@ class Model:
     def word_ratios(self, word, prefix, before, pair) -> np.ndarray:
         pairs, words, prefixes = self.tables()
         row = pairs.rows(pair)
-        out = np.where(row >= 0, self.pair_ratio[row] if len(self.pair_ratio) else 0.0, 0.0)
+        out = np.zeros(len(word))
+        out[row >= 0] = self.pair_ratio[row[row >= 0]]
         rest = np.flatnonzero(row < 0)
         row = words.rows(word[rest])
         out[rest[row >= 0]] = self.word_ratio[row[row >= 0]]
@@ -191,16 +192,16 @@ def _model(rows: dict) -> Model:
     return Model(key[pairs], r["pair"], key[words], r["word"], r["context"], key[prefixes], r["prefix"], tuple(r["backoff"].tolist()))
 
 
-def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple:
-    """Logistic regression of a few columns by Newton steps with a small ridge."""
+def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.5) -> tuple:
+    """Logistic regression of a few columns by Newton steps with a ridge."""
     a = np.column_stack([np.ones(len(x)), x])
     scale = np.concatenate([[1.0], np.maximum(np.abs(a[:, 1:]).max(0), 1e-9)])
     a = a / scale
     w = np.zeros(a.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (weight * (p - y)) + 1e-2 * w
-        hess = (a * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ a + 1e-2 * np.eye(len(w))
+        grad = a.T @ (weight * (p - y)) + ridge * w
+        hess = (a * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ a + ridge * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-9))
     return tuple((w / scale).tolist())
