@@ -192,16 +192,17 @@ def _model(rows: dict) -> Model:
     return Model(key[pairs], r["pair"], key[words], r["word"], r["context"], key[prefixes], r["prefix"], tuple(r["backoff"].tolist()))
 
 
-def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.5) -> tuple:
+def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.02) -> tuple:
     """Logistic regression of a few columns by Newton steps with a ridge."""
     a = np.column_stack([np.ones(len(x)), x])
     scale = np.concatenate([[1.0], np.maximum(np.abs(a[:, 1:]).max(0), 1e-9)])
     a = a / scale
     w = np.zeros(a.shape[1])
+    pull = ridge * np.array([0.0] + [1.0] * x.shape[1])  # none on the intercept
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (weight * (p - y)) + ridge * w
-        hess = (a * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ a + ridge * np.eye(len(w))
+        grad = a.T @ (weight * (p - y)) + pull * w
+        hess = (a * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ a + np.diag(pull + 1e-9)
         step = np.linalg.solve(hess, grad)
         w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-9))
     return tuple((w / scale).tolist())
