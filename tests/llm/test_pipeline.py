@@ -3,9 +3,9 @@ import collections
 import corpus_pipeline as C
 from propensity.llm import mixing, simhash, toxicity
 from propensity.llm.tables import table, written
-from test_packing import ENC, unpack
-from test_simhash import brute_components
-from test_winnowing import brute
+from .test_packing import ENC, unpack
+from .test_simhash import brute_components
+from .test_winnowing import brute
 
 SF = "/root/testdata/sf0.001"
 
