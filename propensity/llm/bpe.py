@@ -27,6 +27,10 @@ _OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 0x20]
 _OTHER_SPACE_ASCII = [c for c in _OTHER_SPACE if c.isascii()]
 
 
+#: Pieces up to this length keep the states of their prefixes for other pieces.
+_SHARED_BYTES = 24
+
+
 class Memo(dict):
     """A memo in two generations of at most ``size`` entries each: entries in
     use move to the young one, the old one is dropped whole."""
@@ -77,6 +81,7 @@ class Vocabulary:
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._follows_memo = Memo(self._adjacent, 300_000)
         self._units = Memo(self.unit_steps, 500_000)
+        self._states = Memo(self._prefix_state, 400_000)
         # tokens that the merge rules do produce from their own bytes
         self.reachable = {t: i for t, i in self.ids.items() if len(t) == 1 or self._adjacent((self.left[i], self.right[i]), i)}
 
@@ -102,11 +107,27 @@ class Vocabulary:
             else:
                 due, b = rb + 1, left[b]
 
+    def _prefix_state(self, prefix: bytes) -> tuple[int, int]:
+        """(last token, token count) of a piece's prefix, from shorter ones."""
+        known, follows, state = self.reachable.get, self._follows_memo, self._states
+        for j in range(len(prefix)):
+            t = known(prefix[j:])
+            if t is not None:
+                if j == 0:
+                    return t, 1
+                last, count = state[prefix[:j]]
+                if follows[last, t]:
+                    return t, count + 1
+        raise AssertionError("a single byte is a token")
+
     def piece_counts(self, piece: bytes) -> list[int]:
         """Token count of every byte prefix of one piece. The tokens of a
         prefix end in the one vocabulary token t that fits both the bytes and
         the last token of what stands before t; so count[i] = count[i - |t|] + 1."""
         n = len(piece)
+        if n <= _SHARED_BYTES:  # words share prefixes, and with them their counts
+            state = self._states
+            return [0] + [state[piece[:i]][1] for i in range(1, n + 1)]
         last = [0] * (n + 1)
         count = [0] * (n + 1)
         known, longest, follows = self.reachable.get, self.longest, self._follows_memo
