@@ -233,13 +233,3 @@ def positive_rate_null_target(spark, sf_dir):
     """A5 where the target is 1 or null: null is a group."""
     df = ctr_frame(spark, sf_dir).select(F.when(F.col("target") == 1, 1).alias("t"))
     return rounded(PR.positive_rate(df, "t"))
-
-
-@query("null_pct_tie", sql="""
-SELECT 'x' AS feature, count(*) FILTER (WHERE x IS NULL) AS n_null,
-       round_even(100.0 * (count(*) FILTER (WHERE x IS NULL)) / count(*), 2)::DOUBLE AS pct_null
-FROM (SELECT CASE WHEN row_id = 0 THEN NULL ELSE 1 END AS x FROM ctr WHERE row_id < 800)""")
-def null_pct_tie(spark, sf_dir):
-    """A4 at a tie of the second digit (1 of 800 is 0.125 %): to the even digit."""
-    df = ctr_frame(spark, sf_dir).where("row_id < 800").select(F.when(F.col("row_id") != 0, 1).alias("x"))
-    return PR.null_profile(df, ["x"])

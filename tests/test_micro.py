@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
@@ -72,6 +73,22 @@ def test_empty_table_null_pct(spark):
     assert r.n_null == 0 and r.pct_null is None
 
 
+def test_null_pct_tie(spark):
+    """1 null of 800 is 0.125 %, a tie of the second digit: to the even one, as the SQL rounds."""
+    df = spark.range(800).select(F.col("id").alias("row_id"), F.lit(1).alias("target"), F.when(F.col("id") != 0, 1.0).alias("x"))
+    want = duckdb.sql("""
+SELECT 'x' AS feature, count(*) FILTER (WHERE x IS NULL) AS n_null,
+       round_even(100.0 * (count(*) FILTER (WHERE x IS NULL)) / count(*), 2)::DOUBLE AS pct_null
+FROM (SELECT CASE WHEN range = 0 THEN NULL ELSE 1 END AS x FROM range(800))""").fetchall()
+    assert [tuple(r) for r in PR.null_profile(df, ["x"]).collect()] == want == [("x", 1, 0.12)]
+    assert [tuple(r) for r in PR.profile_summary(df, "target", ["x"], ["x"])["null_profile"].collect()] == want
+
+
+def test_no_registered_profile_reads_an_id_subset():
+    from propensity.plans import ORACLES, QUERIES
+    assert "null_profile" in QUERIES and not [n for n, sql in ORACLES.items() if "WHERE row_id <" in sql]
+
+
 def test_scaler_no_centring(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     sc = FE.ColumnScaler.fit(df, ["a", "b"], ddof=1)
