@@ -137,6 +137,17 @@ def positions(planned: DataFrame) -> DataFrame:
             .withColumn("position", inverse(F.try_divide(start, F.col("quota")), F.col("density"))))
 
 
+def in_order(copies: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Range-sorted by ``keys``: partition after partition is the training order."""
+    n = partitions or int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return copies.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+
+
+def dealt(planned: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The mix by reference: the copies of a plan (without their texts), range-sorted by training position."""
+    return in_order(positions(planned), ["position", "id", "copy"], partitions)
+
+
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its ``n``-th word, white space as it was."""
     pieces = F.split(F.translate(text, "\t\n\x0b\f\r", "     "), " ", -1)
@@ -165,6 +176,4 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
             value = F.when(whole, value).otherwise(F.length(text).cast(docs.schema[c].dataType))
         cols.append(value.alias(c))
     out = out.select(*cols)
-    keys = ["__position", "__id", "__copy"]
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select(*names)
+    return in_order(out, ["__position", "__id", "__copy"], partitions).select(*names)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bottomk, class_lm, langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
-from .tables import fold_of, table
+from .tables import fold_of, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,7 +59,13 @@ FROM x"""
 
 @query("op2_mixing", OP2_SQL)
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.plan(table(spark, sf_dir, "documents"))
+    planned = written(mixing.plan(table(spark, sf_dir, "documents")).drop("row"), "plan")
+    copies = written(mixing.dealt(planned), "dealt")
+    # documents with words have offsets of their own within a source; those the mix does not take have no copy
+    doc = ["source", "offset", "id", "size", "source_size", "target"]
+    used = copies.groupBy(*doc).agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
+    unused = planned.where("taken = 0").select(*doc, "taken", F.lit(None).cast("double").alias("first_position"))
+    out = used.unionByName(unused).orderBy(F.col("first_position").asc_nulls_last(), "id")
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 4).alias("target"), "taken")
 
 

@@ -109,6 +109,32 @@ def test_order_is_by_position(spark):
     assert ids == want
 
 
+def test_query_deals_the_copies(spark, monkeypatch):
+    """op2's result comes from copies dealt along the curriculum, and is in the order of their first positions."""
+    from propensity.llm import queries as Q
+    seen, write = {}, Q.written
+
+    def spy(df, name):
+        seen[name] = write(df, name)
+        return seen[name]
+    monkeypatch.setattr(Q, "written", spy)
+    sf = "/root/testdata/sf0.001"
+    got = Q.op2_mixing(spark, sf).collect()
+    copies = seen["dealt"].select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at")).collect()
+    first, taken, files = {}, collections.Counter(), collections.defaultdict(list)
+    for r in copies:
+        u = (r.copy * r.source_size + r.offset) / r.quota
+        assert r.density * r.position + (1 - r.density) * r.position ** 2 == pytest.approx(u, abs=1e-6)
+        first[r.id] = min(first.get(r.id, 2.0), r.position)
+        taken[r.id] += r.words
+        files[r.file].append((r.at, r.position))
+    parts = [[p for _, p in sorted(files[f])] for f in sorted(files)]
+    assert sum(parts, []) == sorted(sum(parts, []))
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count() and {r.doc_id: r.taken for r in got if r.taken} == dict(taken)
+    order = [first.get(r.doc_id, 2.0) for r in got]
+    assert order == sorted(order) and len(set(order)) > 10
+
+
 def test_empty_and_wordless(spark):
     assert M.plan(spark.createDataFrame([], SCHEMA)).count() == 0
     none = spark.createDataFrame([(1, None, "a", 0, "", 0), (2, " ", None, 0, "", 0)], SCHEMA)
