@@ -49,9 +49,6 @@ WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 PREFIX_BYTES = 4
-
-#: Texts a bigram must occur in to have counts of its own.
-MIN_PAIR_TEXTS = 8
 _PREFIX = np.uint64(0xA24BAED4963EE407)
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
@@ -138,6 +135,13 @@ def _discount(counts: np.ndarray) -> np.ndarray:
     return DISCOUNTS[np.minimum(counts, 3).astype(int)]
 
 
+def _beyond_discount(counts: DataFrame) -> DataFrame:
+    """Counts without the bigrams of one text: its discount takes such a count
+    whole, in the class and in both pooled, so the bigram has exactly the ratio
+    that the backoff gives to one the model does not hold."""
+    return counts.where(f"kind != 2 or toxic + ordinary > {int(DISCOUNTS[1])}")
+
+
 def _discounted(counts: np.ndarray) -> tuple[np.ndarray, float]:
     """Discounted shares of the counts' sum, and what the discounts leave."""
     d = _discount(counts)
@@ -257,8 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     contexts = (counts.where("kind = 2").groupBy("word").agg(F.count(F.lit(1)).alias("toxic"))
                 .select(F.lit(3).alias("kind"), F.col("word").alias("key"), F.lit(0).cast("bigint").alias("parent"), "word", "toxic",
                         F.lit(0).cast("bigint").alias("ordinary")))
-    # a bigram of few texts is left out of the model: copies of one text would decide it
-    table = counts.where(f"kind < 2 or toxic + ordinary >= {MIN_PAIR_TEXTS}").unionByName(contexts).toArrow()
+    table = _beyond_discount(counts).unionByName(contexts).toArrow()
     rows = {c: table.column(c).to_numpy() for c in table.column_names}
     model = _model(rows)
     scored = _features(texts.where("held").select("y", "text"), "y", "text", model, run_words).toArrow()

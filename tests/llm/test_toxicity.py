@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,36 @@ def test_repeated_and_conflicting_labels(spark):
     a = X.train(d, spark.createDataFrame(labels, LABELS))
     b = X.train(d, spark.createDataFrame(labels + labels[:50], LABELS))
     assert a.curve == pytest.approx(b.curve, rel=1e-6)
+
+
+def test_bigrams_of_few_texts_have_counts_of_their_own(spark):
+    """Two ordinary words that only five toxic texts hold side by side."""
+    docs, labels, _ = corpus(3, 800)
+    docs += [
+        (2000 + i, f"lorax v{i} stone river w{i}a w{i}b", 1, 0.0, "c", 2) for i in range(5)] + [
+        (3000 + 2 * i + j, f"{w} w{i}c w{i}d", 1, 0.0, "c", 2) for i in range(40) for j, w in enumerate(("stone", "river"))]
+    labels = labels + [(2000 + i, 1, 1) for i in range(5)] + [(3000 + i, 0, 1) for i in range(80)]
+    d = spark.createDataFrame(docs, DOCS)
+    m = X.train(d, spark.createDataFrame(labels, LABELS))
+
+    def parts(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        word, prefix, before, pair, _ = X.text_keys(data, np.array([0, len(data)]))
+        return word, prefix, before, pair
+    with_pair = m.word_ratios(*parts("stone river"))[1]
+    assert X.KeyTable(m.pair_keys).rows(parts("stone river")[3])[1] >= 0
+    word, prefix, before, pair = parts("stone river")
+    assert with_pair > m.word_ratios(word, prefix, before, ~pair)[1] + 0.5
+
+
+def test_bigrams_left_to_the_backoff_change_nothing(spark, monkeypatch):
+    docs, labels, _ = corpus(4, 300)
+    docs = [(r[0], f"{r[1]} once{r[0]} said{r[0] % 90}", *r[2:]) for r in docs]
+    d, lab = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    some = X.train(d, lab)
+    monkeypatch.setattr(X, "_beyond_discount", lambda counts: counts)
+    every = X.train(d, lab)
+    assert len(every.pair_keys) > len(some.pair_keys) > 0 and every.curve == pytest.approx(some.curve, rel=1e-3)
+    data = np.frombuffer(" ".join(r[1] for r in docs).encode(), np.uint8)
+    parts = X.text_keys(data, np.array([0, len(data)]))[:4]
+    assert np.allclose(some.word_ratios(*parts), every.word_ratios(*parts), atol=1e-5)
