@@ -64,15 +64,23 @@ def labelled(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame
             .agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y")))
 
 
+def _sizes(rows: DataFrame, stratum: str) -> dict:
+    return {r[0]: r[1] for r in rows.groupBy(stratum).count().collect()}
+
+
+def _highest(bound: int, n: int) -> int:
+    """The highest of the signed 64-bit hashes that a sample of ``bound`` of
+    ``n`` rows takes: a share of bound / n of them, however small."""
+    return (1 << 63) - 1 if n <= bound else (bound << 64) // n - (1 << 63) - 1
+
+
 def bounded_sample(rows: DataFrame, key: Column, stratum: str, bound: int, seed: int) -> DataFrame:
     """A seeded sample of about ``bound`` rows of each value of ``stratum``
     (all of them where there are fewer). The sampling rate comes from the
     stratum's row count, so the expected size never exceeds the bound; the
     choice depends only on the key, so reruns agree. ``stratum`` must have few
     values (classes, languages)."""
-    sizes = {r[0]: r[1] for r in rows.groupBy(stratum).count().collect()}
-    rate = F.lit(0)
-    for value, n in sizes.items():
-        rate = F.when(F.col(stratum).eqNullSafe(F.lit(value)),
-                      F.lit(min(1_000_000, 1_000_000 * bound // max(n, 1)))).otherwise(rate)
-    return rows.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < rate)
+    h, keep = F.xxhash64(key, F.lit(seed)), F.lit(False)
+    for value, n in _sizes(rows, stratum).items():
+        keep = F.when(F.col(stratum).eqNullSafe(F.lit(value)), h <= F.lit(_highest(bound, n)).cast("bigint")).otherwise(keep)
+    return rows.where(keep)
