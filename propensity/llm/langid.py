@@ -5,9 +5,10 @@ borders), smoothed and hashed into ``2 ** bits`` cells. A text is a mixture:
 every word comes from one of the languages, with proportions of the text's
 own. Expectation-maximisation estimates the proportions from the words'
 likelihoods. The text's language set is then chosen among the nested sets of
-its 1, 2, ... ``max_set`` strongest languages by penalised likelihood (half the
-logarithm of the number of words for each further language), with the
-proportions estimated again within each set. The prediction is the strongest
+its 1, 2, ... strongest languages, up to all of them, by penalised likelihood
+(half the logarithm of the number of words for each further language), with the
+proportions estimated again within each set. A text is left at the size from
+which no proportions at all could pay the penalty. The prediction is the strongest
 language of the chosen set, its score that language's proportion.
 
 Learning reads at most about ``max_rows`` texts of each language (a seeded
@@ -83,23 +84,39 @@ def proportions(like: np.ndarray, text: np.ndarray, n_texts: int, allowed: np.nd
     return theta, np.bincount(text, total, n_texts)
 
 
-def infer(model: Model, data: np.ndarray, offsets: np.ndarray, max_set: int, steps: int, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(strongest language, its proportion, size of the set) of each text; -1 without words."""
+def most_likelihood(like: np.ndarray, text: np.ndarray, theta: np.ndarray, total: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What no proportions can exceed: by concavity, log-likelihood lies within
+    n log(max over languages of the mean of like / mixture) of that of ``theta``."""
+    share = like / np.maximum((like * theta[text]).sum(1, keepdims=True), 1e-300)
+    gain = np.column_stack([np.bincount(text, share[:, k], len(n)) for k in range(like.shape[1])]).max(1) / np.maximum(n, 1)
+    return total + n * np.log(np.maximum(gain, 1.0)) + 1e-9 * (1 + np.abs(total))
+
+
+def infer(model: Model, data: np.ndarray, offsets: np.ndarray, max_set: int | None, steps: int, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(strongest language, its proportion, size of the set) of each text; -1
+    without words. ``max_set`` None: as many languages as there are."""
     n_texts = len(offsets) - 1
     cell, first, text, word = trigrams(data, offsets, int(np.log2(model.log_p.shape[1])))
     logs = model.word_likelihoods(cell, first)
     like = np.exp(logs - logs.max(1, keepdims=True)) if len(logs) else logs
     n = np.diff(word)
-    theta, _ = proportions(like, text, n_texts, np.ones((n_texts, len(model.names))), steps)
+    theta, total = proportions(like, text, n_texts, np.ones((n_texts, len(model.names))), steps)
+    most = most_likelihood(like, text, theta, total, n)
     rank = np.argsort(np.argsort(-theta, axis=1, kind="stable"), axis=1, kind="stable")
     best = np.full(n_texts, -np.inf)
     lang, share, size = np.full(n_texts, -1), np.zeros(n_texts), np.zeros(n_texts, int)
-    for k in range(1, min(max_set, len(model.names)) + 1):
-        own, total = proportions(like, text, n_texts, (rank < k).astype(float), steps if k > 1 else 0)
-        value = total - penalty * k * np.log(n + 1)
-        better = (value > best) & (n > 0)
-        best[better] = value[better]
-        lang[better], share[better], size[better] = own.argmax(1)[better], own.max(1)[better], k
+    for k in range(1, min(max_set or len(model.names), len(model.names)) + 1):
+        open_ = (n > 0) & (most - penalty * k * np.log(n + 1) > best)
+        at = np.flatnonzero(open_)
+        if not len(at):
+            break
+        rows = open_[text]
+        own, total = proportions(like[rows], (np.cumsum(open_) - 1)[text[rows]], len(at), (rank[at] < k).astype(float), steps if k > 1 else 0)
+        value = total - penalty * k * np.log(n[at] + 1)
+        better = value > best[at]
+        to = at[better]
+        best[to] = value[better]
+        lang[to], share[to], size[to] = own.argmax(1)[better], own.max(1)[better], k
     return lang, share, size
 
 
@@ -138,7 +155,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_co
     return Model(names, np.log(p).astype(np.float32))
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", max_set: int = 3,
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", max_set: int | None = None,
             steps: int = 8, penalty: float = 0.5) -> DataFrame:
     """(id_col, lang_pred, score, n_langs): every whole text's strongest
     language, its proportion and the size of its language set."""

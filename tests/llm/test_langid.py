@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +56,26 @@ def test_nothing_learned(spark):
     docs = spark.createDataFrame([(1, "a b", None, 0, "")], SCHEMA)
     model = L.train(docs)
     assert [(r.lang_pred, r.score) for r in L.predict(docs, model).collect()] == [("und", 0.0)]
+
+
+def test_texts_of_four_languages(spark):
+    rng = random.Random(4)
+    more = SYLLABLES | {"dd": ["ajka", "owski", "czy", "nie"], "ee": ["välj", "ägg", "kött", "sjö"]}
+    tell = lambda lang, n: " ".join("".join(rng.choices(more[lang], k=rng.choice([1, 2, 3]))) for _ in range(n))
+    docs = spark.createDataFrame([(i, tell(lang := sorted(more)[i % 5], 50), lang, 1, "c") for i in range(300)], SCHEMA)
+    model = L.train(docs)
+    rows = [(1, " ".join(tell(x, n) for x, n in (("aa", 60), ("bb", 40), ("cc", 40), ("dd", 40))), None, 0, ""),
+            (2, " ".join(tell(x, 50) for x in sorted(more)) + " " + tell("ee", 50), None, 0, ""), (3, tell("cc", 80), None, 0, "")]
+    got = {r.doc_id: r for r in L.predict(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    assert [got[i].n_langs for i in (1, 2, 3)] == [4, 5, 1] and [got[i].lang_pred for i in (1, 2, 3)] == ["aa", "ee", "cc"]
+    assert abs(got[1].score - 1 / 3) < 0.05 and abs(got[2].score - 1 / 3) < 0.05
+    # stopping early changes nothing: each text's set is the best of all sizes
+    _, data, offsets = next(iter(L.text_blocks(pa.array([r[1] for r in rows]))))
+    lang, share, size = L.infer(model, data, offsets, None, 8, 0.5)
+    never = np.full(len(rows), np.inf)
+    full = L.most_likelihood
+    try:
+        L.most_likelihood = lambda *_: never
+        assert [x.tolist() for x in L.infer(model, data, offsets, None, 8, 0.5)] == [lang.tolist(), share.tolist(), size.tolist()]
+    finally:
+        L.most_likelihood = full
