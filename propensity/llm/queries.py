@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, class_lm, langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
+from . import bottomk, class_lm, histogram_packing, langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
 from .tables import fold_of, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.col("component").alias("component_id"))
+
+
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = histogram_packing.packed(table(spark, sf_dir, "documents"), capacity=4096, end_id=1,
+                                   tokenizer=public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return out.drop("ids").withColumnRenamed("id", "doc_id")
