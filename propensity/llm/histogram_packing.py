@@ -28,6 +28,8 @@ Arrow batch of texts, a bounded memo, and the ids of one text.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -42,6 +44,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .bpe import Memo
+from .bpe import _byte_alphabet as byte_alphabet
 from .packing import CapacityTree
 from .tables import written
 from .token_counts import vocabulary_text
@@ -52,25 +55,54 @@ _state: dict[str, ChunkEncoder] = {}
 _RANK_BITS = 42
 
 
+#: Letters that the normaliser only lower-cases (each is its own composed form), then at most one mark that
+#: is a word of its own to the pre-tokenizer.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+
+
+class ShortMemo(Memo):
+    """A memo whose bound holds in bytes too: long chunks are made each time."""
+
+    def __missing__(self, key):
+        return super().__missing__(key) if len(key) <= 256 else self.make(key)
+
+
 class ChunkEncoder:
-    """Ids, as little-endian uint32, of texts whose tokenizer drops white
-    space: no token spans it, so the chunks between ASCII white space are
-    encoded one by one through a bounded memo."""
+    """Ids, as little-endian uint32, of texts whose tokenizer lower-cases and
+    drops white space: no token spans it, so the chunks between ASCII white
+    space are encoded one by one through a bounded memo.
 
-    MEMO_BYTES = 256  # longer chunks are encoded each time
+    A chunk of plain letters goes to the tokenizer's model directly, in the
+    byte alphabet its pre-tokenizer would hand over, and shares the memo with
+    its other spellings; any other chunk goes through the whole tokenizer."""
 
     def __init__(self, file_text: str):
         self.tokenizer = Tokenizer.from_str(file_text)
-        self.memo = Memo(self._encode, 200_000)
+        self.model = self.tokenizer.model
+        stand_in = {b: c for c, b in byte_alphabet().items()}
+        self.alphabet = {c: "".join(stand_in[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+        self.memo = ShortMemo(self._encode, 500_000)
 
     def _encode(self, chunk: bytes) -> bytes:
-        return np.asarray(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        text = chunk.decode()
+        plain = _PLAIN.fullmatch(text)
+        if plain is None:
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        word, mark = plain.groups()
+        lower = word.lower()
+        if mark:
+            return self.memo[lower.encode()] + self.memo[mark.encode()]
+        if lower != word:
+            return self.memo[lower.encode()]
+        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.alphabet))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: bytes) -> bytes:
-        chunks = text.split()
-        if len(text) > self.MEMO_BYTES and len(max(chunks, key=len, default=b"")) > self.MEMO_BYTES:
-            return b"".join([self.memo[c] if len(c) <= self.MEMO_BYTES else self._encode(c) for c in chunks])
-        return b"".join(map(self.memo.__getitem__, chunks))
+        # special strings are matched before lower-casing, and a combining mark (U+0300 to U+037F) may join a
+        # small letter but not its capital: such texts keep their capitals
+        if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
+        return b"".join(map(self.memo.__getitem__, text.split()))
 
 
 def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
