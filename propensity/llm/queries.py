@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, class_lm, histogram_packing, langid, mixing, packing, quality, simhash, token_counts, toxicity, winnowing
+from . import bottomk, class_lm, conversation_repair, histogram_packing, langid, mixing, packing, quality
+from . import simhash, token_counts, toxicity, winnowing
 from .tables import fold_of, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +160,8 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = histogram_packing.packed(table(spark, sf_dir, "documents"), capacity=4096, end_id=1,
                                    tokenizer=public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return out.drop("ids").withColumnRenamed("id", "doc_id")
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.summary(conversation_repair.damaged(table(spark, sf_dir, "conversations")), copies_col="copies").drop("n_rows")
