@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, class_lm, conversation_repair, histogram_packing, langid, mixing, packing, quality
-from . import simhash, token_counts, toxicity, winnowing
+from . import bottomk, class_lm, conversation_repair, histogram_packing, langid, maxscore, mixing, packing
+from . import quality, simhash, token_counts, toxicity, winnowing
 from .tables import fold_of, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,29 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.summary(conversation_repair.damaged(table(spark, sf_dir, "conversations")), copies_col="copies").drop("n_rows")
+
+
+OP13_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM t WHERE len(w) > 0),
+q AS (SELECT item_id, x AS term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS x FROM benchmark) GROUP BY ALL),
+p AS (SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, len(w) AS n, unnest(w) AS term FROM t)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, g GROUP BY term),
+s AS (SELECT item_id, d, any_value(doc_id) AS doc_id,
+             CAST(sum(repeats * w.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_words)))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term), g
+      GROUP BY item_id, d)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10).withColumnRenamed("id", "doc_id")
