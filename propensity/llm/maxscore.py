@@ -130,7 +130,7 @@ def _encoded(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarr
     per = -(-df // BLOCK)
     nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
     cuts = np.repeat(first, per) + nth * BLOCK
-    ends = np.append(cuts[1:], len(doc))
+    ends = np.append(cuts[1:], len(doc))[:len(cuts)]
     table = np.zeros(len(cuts), _BLOCKS)
     if len(cuts):
         step = np.diff(doc, prepend=0)
@@ -263,7 +263,7 @@ class Shard:
         found, at = found[left], at[left]
         doc, at = found[inside[left]] + lo, at[inside[left]]
         cuts = np.flatnonzero(np.diff(at, prepend=-1))
-        for i, j in zip(cuts, [*cuts[1:], len(at)], strict=True):
+        for i, j in zip(cuts, np.append(cuts[1:], len(at))[:len(cuts)], strict=True):
             docs, impact = self.postings(int(at[i]))
             own = doc[i:j]
             p = np.searchsorted(docs, own)

@@ -106,6 +106,17 @@ def test_non_essential_blocks_stay_closed():
     assert best.rows[0][2] == 15_000 and len([x for x in s.opened if a <= x < b]) < (b - a) // 3
 
 
+def test_candidates_outside_every_block():
+    import pyarrow as pa
+    docs = ["common"] * 300 + ["rare filler"] * 20 + ["common"] * 100
+    s = built(docs, [b"common", b"rare"])
+    best = MS.Best(10)
+    best.ids = pa.array(range(len(docs)))
+    for _ in range(2):  # the second time, only the rare list is essential
+        s.search([(0, 1), (1, 9000)], best)
+    assert {r[2] for r in best.rows} <= set(range(300, 320)) and len(best.rows) == 10
+
+
 def test_words_are_never_confused():
     lex = MS.Lexicon([b"abc", b"abcdefgh", b"a" * 24, b"a" * 25, "é漢".encode()])
     text = b"abc abcd abcdefgh " + b"a" * 24 + b" " + b"a" * 25 + b" " + b"a" * 26 + b" " + "é漢".encode()
