@@ -202,8 +202,8 @@ class Shard:
         self.blocks, self.payload, self.opened = np.frombuffer(blocks, _BLOCKS), payload, {}
         self.first, self.last = self.blocks["first"].astype(np.int64), self.blocks["last"].astype(np.int64)
         self.bound = self.impact(self.blocks["tf"], norm(self.blocks["length"]))
-        ends = np.cumsum(-(-np.asarray(dfs, np.int64) // BLOCK))
-        self.lists = {t: (int(a), int(b)) for t, a, b in zip(terms, [0, *ends[:-1]], ends, strict=True)}
+        ends = np.concatenate([[0], np.cumsum(-(-np.asarray(dfs, np.int64) // BLOCK))]).tolist()
+        self.lists = {t: (a, b) for t, a, b in zip(terms, ends[:-1], ends[1:], strict=True)}
         tops = np.maximum.reduceat(self.bound, [a for a, _ in self.lists.values()]) if self.lists else []
         self.top = dict(zip(terms, map(int, tops), strict=True))
 
