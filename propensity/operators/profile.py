@@ -8,12 +8,14 @@ the aggregate so the shuffle carries one row per partition.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, first_brackets
 
 
 def _unpivot_row(agg: DataFrame, names: list[str], fields: list[str],
@@ -89,8 +91,8 @@ def numeric_profile(df: DataFrame, cols: list[str], exact: bool = True,
                     relative_error: float = 0.001) -> DataFrame:
     """``(feature, n, mean, stddev, min, median, p75, max)``.
 
-    Moments come from one aggregate. Quantiles are exact (histogram
-    refinement, see ``quantiles``) or ``percentile_approx`` in the same
+    Moments come from one aggregate. Quantiles are exact (narrowed brackets,
+    see ``quantiles``) or ``percentile_approx`` in the same
     aggregate when ``exact=False``."""
     spark = df.sparkSession
     aggs = []
@@ -108,10 +110,15 @@ def numeric_profile(df: DataFrame, cols: list[str], exact: bool = True,
     if not exact:
         long = _unpivot_row(df.agg(*aggs), cols, fields + ["median", "p75"])
         return long.select("feature", "n", "mean", "stddev", "min", "median", "p75", "max")
-    # the moments aggregate doubles as the first pass of the exact quantiles
-    row = df.agg(*aggs).first()
+    # the moments aggregate doubles as the first pass of the exact quantiles; their first sketches are
+    # built in levels, so in a job of their own beside it
+    probs = [0.5, 0.75]
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        sketching = pool.submit(first_brackets, df, cols, probs)
+        row = df.agg(*aggs).first()
+        ends = sketching.result()
     stats = {c: (row[f"n__{i}"], row[f"min__{i}"], row[f"max__{i}"]) for i, c in enumerate(cols)}
-    q = exact_quantiles(df, cols, [0.5, 0.75], stats=stats)
+    q = exact_quantiles(df, cols, probs, stats=stats, ends=ends)
     rows = [(c, row[f"n__{i}"], row[f"mean__{i}"], row[f"stddev__{i}"], row[f"min__{i}"],
              q[(c, 0.5)], q[(c, 0.75)], row[f"max__{i}"]) for i, c in enumerate(cols)]
     return spark.createDataFrame(rows, "feature string, n bigint, mean double, stddev double, min double, "

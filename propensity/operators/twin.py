@@ -6,8 +6,8 @@ constant feature as it is. Each of these is a pipeline stage here, so the
 twin's whole model is one ``Pipeline`` that fits, saves and loads like the
 canonical one:
 
-* ``ExactMedianImputer`` fits exact medians with the distributed histogram
-  search and returns a ``SQLTransformer`` that fills them (a stock MLlib
+* ``ExactMedianImputer`` fits exact medians by narrowed brackets (see
+  ``quantiles``) and returns a ``SQLTransformer`` that fills them (a stock MLlib
   stage, so the fitted medians save with the model);
 * ``SignedHasher`` builds the signed hashed vector from built-in
   expressions (no UDF);

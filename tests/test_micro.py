@@ -40,7 +40,7 @@ def test_exact_quantiles_many_passes(spark):
     vals = [rnd.choice([rnd.random() * 1e6, 5.0, -3.25]) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.1, 0.5, 0.75, 0.99]
-    got = exact_quantiles(df, ["x"], probs, accuracy=20, collect_limit=3)
+    got = exact_quantiles(df, ["x"], probs, margin=0.05, collect_limit=3)
     s = sorted(vals)
     for p in probs:
         pos = p * (len(s) - 1)
@@ -210,10 +210,33 @@ def test_exact_quantiles_with_infinities_wide_spans_and_ties(spark):
     xs = [inf, -inf, 1.5e308, -1.5e308, 0.0, 0.0, 0.0, 5e-324] + (10.0 ** rng.uniform(-300, 300, 200)).tolist() + [7.0] * 300
     df = spark.createDataFrame([(x,) for x in xs] + [(None,), (float("nan"),)], "x double").repartition(3)
     probs = [0.0, 0.1, 0.5, 0.77, 1.0]
-    for kw in ({}, {"accuracy": 20, "collect_limit": 3}):
+    for kw in ({}, {"margin": 0.05, "collect_limit": 3}):
         got = exact_quantiles(df, ["x"], probs, interpolation="lower", **kw)
         ys = sorted(xs)
         assert [got[("x", p)] for p in probs] == [ys[max(int(np.ceil(p * len(ys))) - 1, 0)] for p in probs]
     two = spark.createDataFrame([(-1.5e308,), (1.5e308,)], "x double")
     assert exact_quantiles(two, ["x"], [0.5])[("x", 0.5)] == 0.0
     assert exact_quantiles(df.where("x = double('Infinity')"), ["x"], [0.5])[("x", 0.5)] == inf
+
+
+def test_exact_quantiles_when_sketches_mislead(spark, monkeypatch):
+    """Sketches only propose brackets: wrong ones cost a round, not the result."""
+    from propensity.operators import quantiles as Q
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5000).cast("double").alias("x")).repartition(4)
+    honest, calls = Q.sketch_quantiles, []
+
+    def misled(*a):
+        calls.append(1)
+        return [[-5.0, 2.0] * (len(q) // 2) for q in honest(*a)] if len(calls) < 3 else honest(*a)
+    monkeypatch.setattr(Q, "sketch_quantiles", misled)
+    got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.9], interpolation="lower", collect_limit=50)
+    assert [got[("x", p)] for p in (0.25, 0.5, 0.9)] == [1249.0, 2499.0, 4499.0] and len(calls) >= 3
+
+
+def test_first_brackets_hold_their_ranks(spark):
+    from propensity.operators.quantiles import first_brackets
+    df = spark.range(200_000).select(F.sqrt("id").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(3.0).alias("z")).repartition(20)
+    ends = first_brackets(df, ["x", "y", "z"], [0.5, 0.999])
+    assert ends["y"] == [] and ends["z"] == [3.0] * 4
+    a, b, c, d = (v * v / 200_000 for v in ends["x"])
+    assert 0.49 < a < 0.5 < b < 0.51 and 0.99 < c < 0.999 < d <= 1.0

@@ -51,3 +51,18 @@ def test_broadcast_only_under_bound(spark):
         assert "BroadcastHashJoin" not in plan(plain)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sketches_are_merged_in_groups(spark):
+    """No task reads all partitions' sketches: of 60 partitions in 8 groups, at most 8 a group."""
+    from pyspark.sql import functions as F
+    from propensity.operators import quantiles as Q
+    df = spark.range(6000, numPartitions=60).select(F.col("id").cast("double").alias("x"))
+    merged = Q.merged_sketches(df, [F.col("x")], groups=8)
+    p = plan(merged)
+    assert p.count("Exchange") == 2 and p.count("kll_merge_agg_double") == 2 and p.count("kll_sketch_agg_double") == 2
+    per_group = df.groupBy((F.spark_partition_id() % 8).alias("g")).agg(F.count_distinct(F.spark_partition_id()).alias("n")).collect()
+    assert len(per_group) == 8 and max(r.n for r in per_group) <= 8
+    n, q = merged.select(F.kll_sketch_get_n_double("s0"), F.kll_sketch_get_quantile_double("s0", F.lit(0.5))).first()
+    assert n == 6000 and abs(q - 3000) < 30
+    assert Q.GROUPS <= 700
