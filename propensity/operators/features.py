@@ -16,9 +16,10 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (FeatureHasher, Imputer, OneHotEncoder, StandardScaler,
                                 StringIndexer, VectorAssembler)
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import md5_token_u32
 from ..spec import FeatureSpec
@@ -78,22 +79,37 @@ def signed_hash_long(df: DataFrame, cols, num_features: int, key: str) -> DataFr
                 .where(F.col("value") != 0))
 
 
+#: The one way from columns to a sparse vector column inside the JVM: the vector type's own fields, as text.
+_VECTOR = T.StructType([T.StructField("v", VectorUDT())])
+
+
+def sparse_vector(indices: Column, values: Column, size: int) -> Column:
+    """A sparse vector column from ascending indices and their values."""
+    fields = F.struct(F.lit(0).alias("type"), F.lit(int(size)).alias("size"), indices.alias("indices"), values.alias("values"))
+    return F.from_json(F.to_json(F.struct(fields.alias("v"))), _VECTOR)["v"]
+
+
+def sparse_entries(vector: Column) -> Column:
+    """array<struct<index, value>> of a sparse vector column, without a dense pass."""
+    v = F.from_json(F.to_json(F.struct(vector.alias("v"))), "v struct<indices: array<int>, values: array<double>>")["v"]
+    return F.arrays_zip(v["indices"].alias("index"), v["values"].alias("value"))
+
+
 def signed_hash_vector(df: DataFrame, cols, num_features: int, output: str = "signed_features") -> DataFrame:
     """E3, vector form without a shuffle or UDF: the row's few signed hits are
-    summed by bucket into a map once, then each of the ``num_features`` slots
-    is read from it (dense, so memory is 8 bytes a slot and row in flight)."""
+    summed by bucket and become the sorted indices and values of a sparse
+    vector, so memory follows the non-zero entries, not ``num_features``."""
     n = F.lit(int(num_features))
     hits = F.transform(_signed_hits(cols), lambda x: F.struct((x["h"] % n).cast("int").alias("b"), x["s"].alias("s")))
 
-    def slots(h: Column) -> Column:
+    def entries(h: Column) -> Column:
         total = lambda b: F.aggregate(F.filter(h, lambda x: x["b"] == b), F.lit(0.0), lambda acc, x: acc + x["s"])
-        buckets = F.array_distinct(F.transform(h, lambda x: x["b"]))
-        return F.map_from_entries(F.transform(buckets, lambda b: F.struct(b, total(b))))
-    # a one-element array binds the map, so it is built once a row
-    bound = F.transform(F.array(hits), slots)
-    dense = F.element_at(F.transform(bound, lambda m: F.transform(
-        F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0)))), 1)
-    return df.withColumn(output, array_to_vector(dense))
+        buckets = F.array_sort(F.array_distinct(F.transform(h, lambda x: x["b"])))
+        return F.filter(F.transform(buckets, lambda b: F.struct(b.alias("b"), total(b).alias("v"))), lambda x: x["v"] != 0)
+    # one-element arrays bind the hits and the entries, so each is made once a row
+    bound = F.transform(F.transform(F.array(hits), entries), lambda e: sparse_vector(
+        F.transform(e, lambda x: x["b"]), F.transform(e, lambda x: x["v"]), num_features))
+    return df.withColumn(output, F.element_at(bound, 1)).withMetadata(output, {"ml_attr": {"num_attrs": int(num_features)}})
 
 
 # ------------------------------------------------------------ E4-E7

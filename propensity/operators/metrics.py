@@ -191,10 +191,12 @@ def ranking_metrics(scored: DataFrame, label: str, score: str, groups=()) -> Dat
 def _materialise(df: DataFrame, *cached) -> DataFrame:
     """Collect a small per-group result into a local frame and release the
     cached inputs it was computed from."""
-    rows = df.collect()
-    for c in cached:
-        if c is not None:
-            c.unpersist()
+    try:
+        rows = df.collect()
+    finally:
+        for c in cached:
+            if c is not None:
+                c.unpersist()
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
@@ -357,9 +359,11 @@ def evaluate(scored: DataFrame, label: str, score: str, prediction: str = "predi
         at = s >= F.lit(float(t))
         aggs += [F.sum(F.when(at, F.col("_pos")).otherwise(0)).alias(f"_tp{i}"),
                  F.sum(F.when(at, F.col("_neg")).otherwise(0)).alias(f"_fp{i}")]
-    rows = ranked.groupBy(*groups).agg(*aggs).collect()
-    if pts is not None:
-        pts.unpersist()
+    try:
+        rows = ranked.groupBy(*groups).agg(*aggs).collect()
+    finally:
+        if pts is not None:
+            pts.unpersist()
     lab_type = scored.schema[label].dataType
     rank_rows, conf_rows, wm_rows, sweep_rows, rep_rows = [], [], [], [], []
     names = {"AUC_ROC": 0, "AUC_PR": 1, "Accuracy": "accuracy", "F1": "f1",

@@ -63,10 +63,17 @@ def _stored_metric(name: str) -> Column:
 
 def stored_roc_series(documents: DataFrame) -> DataFrame:
     """R1 from ``io.read_metrics_documents``: ``(model, threshold, fpr, tpr,
-    auc_roc)``; a model without points is left out."""
-    return (documents.where(F.size("doc.roc_points") > 0)
-            .select("model", _stored_metric("AUC_ROC").alias("auc_roc"), F.explode("doc.roc_points").alias("p"))
-            .select("model", "p.threshold", "p.fpr", "p.tpr", "auc_roc"))
+    auc_roc)``; a model without points is left out. A document that names the
+    folder of its whole curve has its points read from that table."""
+    out = (documents.where(F.size("doc.roc_points") > 0)
+           .select("model", _stored_metric("AUC_ROC").alias("auc_roc"), F.explode("doc.roc_points").alias("p"))
+           .select("model", "p.threshold", "p.fpr", "p.tpr", "auc_roc"))
+    spark = documents.sparkSession
+    whole = documents.where("doc.roc_curve IS NOT NULL").select("model", "doc.roc_curve", _stored_metric("AUC_ROC").alias("auc")).collect()
+    for r in whole:  # one row a model
+        curve = spark.read.parquet(r["roc_curve"])
+        out = out.unionByName(curve.select(F.lit(r["model"]).alias("model"), "threshold", "fpr", "tpr", F.lit(r["auc"]).cast("double").alias("auc_roc")))
+    return out
 
 
 def stored_confusion(documents: DataFrame, classes=(0, 1)) -> DataFrame:

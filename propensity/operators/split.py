@@ -12,8 +12,8 @@ Two families:
 
 The exact stratified split and stratified folds need each row's rank inside
 its class. A window over a whole class would put half the table in one
-task, so ranks are computed in two levels: counts per (class, hash bucket)
--> running offsets over that small table -> ranks inside each bucket.
+task: the exact split searches its boundary in the hash space, and folds
+number rows inside equal hash ranges and add prefix sums over the ranges.
 """
 
 from __future__ import annotations
@@ -24,10 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_u32
-from ..session import cut_lineage
+from ..session import BROADCAST_MAX_ROWS, broadcast_if_bounded, cut_lineage
 
 HASH_BITS = 32
-RANK_BUCKET_BITS = 20
 
 
 def attach_row_id(df: DataFrame, id_col: str | None = None, name: str = "_row_id") -> DataFrame:
@@ -122,23 +121,6 @@ def stratified_split(df: DataFrame, target: str, train_frac: float = 0.8, seed:
 
 
 # ------------------------------------------------------------- class ranks
-def _bucket_offsets(d: DataFrame, target: str, bits: int) -> DataFrame:
-    """Counts per (class, bucket) and the number of rows of the same class in
-    lower buckets. Size <= #classes x 2^bits rows, usually far less."""
-    counts = d.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    w = Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = Window.partitionBy(target)
-    return counts.select(
-        target, "_b", "_nb",
-        F.coalesce(F.sum("_nb").over(w), F.lit(0)).alias("_before"),
-        F.sum("_nb").over(totals).alias("_class_n"))
-
-
-def _with_bucket(df: DataFrame, key: str, seed, bits: int) -> DataFrame:
-    h = md5_u32(key, seed)
-    return df.withColumns({"_h": h, "_b": F.shiftright(h, HASH_BITS - bits)})
-
-
 def _refine(lo: int, width: int, below: int, need: int, rows, bits: int) -> tuple:
     """Pick, among the counted sub-ranges of [lo, lo+width), the one where
     the class's ``need``-th row falls: (lo, width, rows below, need, rows in)."""
@@ -222,32 +204,32 @@ def tag_exact_stratified_split(df: DataFrame, target: str, train_frac: float = 0
     return d.withColumn(col, F.when(keep, "train").otherwise("test")).drop("_h")
 
 
-RANK_ROWS_PER_BUCKET = 250_000
-
-
 def class_rank(df: DataFrame, target: str, seed: int = 42, key: str = "_row_id",
-               name: str = "_rank", bits: int | None = None) -> DataFrame:
-    """0-based rank of each row inside its class in (md5, key) order,
-    computed per (class, bucket) plus the bucket's offset.
-
-    ``bits`` (default: from a per-class count, enough buckets for about
-    250k rows each, at most 2^20) sets the buckets; the offsets table has at
-    most classes x 2^bits rows, so map-side partial aggregation of the
-    counts stays effective. Its join and the rank window are both keyed by
-    (class, bucket), so the big side is shuffled once for both (AQE
-    broadcasts the offsets when they are small)."""
-    if bits is None:
-        sizes = [r["n"] for r in df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()]
-        biggest = max(sizes, default=0)
-        bits = min(RANK_BUCKET_BITS, max(0, math.ceil(math.log2(max(1, biggest) / RANK_ROWS_PER_BUCKET))))
-    d = _with_bucket(df, key, seed, bits)
-    offs = _bucket_offsets(d, target, bits).select(target, "_b", "_before")
-    w = Window.partitionBy(target, "_b").orderBy("_h", key)
+               name: str = "_rank", partitions: int | None = None) -> DataFrame:
+    """0-based rank of each row inside its class in (md5, key) order.
+
+    The source is read once: its rows go to ``partitions`` (default: the
+    session's shuffle partitions) equal ranges of the md5 value, which are
+    even whatever the classes' sizes, are sorted there by (class, md5, key),
+    numbered, and written to the checkpoint folder. A row's rank is then its
+    class's rows in lower ranges (prefix sums over at most partitions x
+    classes counts) plus its number within the range less that of the class's
+    first row there; the counts are read from the written table and no row is
+    shuffled again unless the offsets are too many to broadcast. Row keys
+    must be unique and ``target`` a class (few values)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    h = md5_u32(key, seed)
+    ranges = df.withColumn("_h", h).repartitionById(n, F.shiftright(F.col("_h") * n, HASH_BITS).cast("int"))
+    numbered = ranges.sortWithinPartitions(F.col(target).asc_nulls_first(), "_h", key).drop("_h")
+    fixed = cut_lineage(numbered.withColumn("_at", F.monotonically_increasing_id()))  # (range, number) in one integer
+    fixed = fixed.withColumns({"_p": F.shiftright("_at", 33), "_i": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_at")
+    lower = Window.partitionBy("_ot").orderBy("_op").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (fixed.groupBy(F.col(target).alias("_ot"), F.col("_p").alias("_op")).agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
+               .withColumn("_before", F.coalesce(F.sum("_n").over(lower), F.lit(0)) - F.col("_first")).select("_ot", "_op", "_before"))
+    offsets = broadcast_if_bounded(offsets, BROADCAST_MAX_ROWS)
     # null-safe: rows without a class are ranked among themselves
-    offs = offs.select(F.col(target).alias("_ot"), F.col("_b").alias("_ob"), "_before")
-    return (d.join(offs, F.col(target).eqNullSafe(F.col("_ot")) & (F.col("_b") == F.col("_ob")), "left").drop("_ot", "_ob")
-             .withColumn(name, F.col("_before") + F.row_number().over(w) - 1)
-             .drop("_h", "_b", "_before"))
+    return (fixed.join(offsets, F.col(target).eqNullSafe(F.col("_ot")) & (F.col("_p") == F.col("_op")), "left")
+            .withColumn(name, F.col("_before") + F.col("_i")).drop("_ot", "_op", "_before", "_p", "_i"))
 
 
 def assign_folds(df: DataFrame, num_folds: int = 2, seed: int = 42, key: str = "_row_id",

@@ -33,7 +33,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, persist_spread
+from ..session import checkpoint_dir, cut_lineage, persist_spread
 from ..spec import FeatureSpec, FoldSpec, GridSpec
 from . import metrics as M
 from .features import preprocessing_stages
@@ -118,10 +118,12 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     """M5 + M6 + M10: mean validation AUC per grid point, best point refitted
     on all of ``train``; ``fit_time_sec`` covers the search and the refit.
 
-    Folds go one after the other, so one fold's features are cached at a
-    time; in a fold ``parallelism`` fits run at once, like
-    ``CrossValidator(parallelism=...)``, each distinct model scores the
-    validation rows once, and all its scores are ranked together."""
+    In all, ``parallelism`` fits run at once, like
+    ``CrossValidator(parallelism=...)``. Folds go one after the other, so one
+    fold's features are cached at a time, unless a fold has so few distinct
+    fits that several folds fit in (at most ``parallelism`` / fits of them are
+    then cached). In a fold each distinct model scores the validation rows
+    once, and all its scores are ranked together."""
     base = dict(base_params or {})
     label = spec.target
     combos = grid.combos() or [{}]
@@ -130,8 +132,8 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
         checkpoint_dir(train.sparkSession)  # tree learners checkpoint every 10 iterations
     key = key or spec.id_col or "_row_id"
     train = prepare_training(train, label)
-    if key not in train.columns:
-        train = train.withColumn(key, F.monotonically_increasing_id())
+    if key not in train.columns:  # generated ids must not change between reads
+        train = cut_lineage(train.withColumn(key, F.monotonically_increasing_id()))
     with_flags = indicators or style == "twin"
     needed = [c for c in dict.fromkeys([key, label, *spec.int_cols, *spec.cat_cols,
                                         *(spec.indicator_cols if with_flags else ())]) if c in train.columns]
@@ -149,30 +151,37 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     to_fit = sorted({src for src, _ in distinct})
     fold_metrics = [[0.0] * folds.num_folds for _ in combos]
     n_fits = 0
+    # folds overlap only as far as one fold's fits leave the pool idle
+    at_once = max(1, min(folds.num_folds, parallelism // len(to_fit)))
+
+    def run_fold(f: int) -> tuple[dict, int]:
+        """AUC by distinct model; only the fold's slim scores outlive its cache."""
+        trn, val = tagged.where(F.col("_fold") != f), tagged.where(F.col("_fold") == f)
+        prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)).fit(trn)
+        trn_x = prep.transform(trn).select(label, "features").persist()
+        val_x = prep.transform(val).select(label, "features").persist()
+        pool = ThreadPoolExecutor(max_workers=max(1, parallelism // at_once))
+        try:
+            fitted = dict(zip(to_fit, pool.map(
+                lambda i: make_classifier(kind, label, **{**base, **combos[i]}).fit(trn_x), to_fit)))
+            scored = None
+            for d, (src, n_trees) in enumerate(distinct):
+                model = fitted[src]
+                if kind == "gbt" and n_trees is not None and n_trees < model.getNumTrees:
+                    model = truncated_gbt(model, n_trees)
+                s = model.transform(val_x).select(label, vector_to_array("probability")[1].alias("prob"), F.lit(d).alias("_model"))
+                scored = s if scored is None else scored.unionByName(s)
+            auc = {r["_model"]: float(r["auc_roc"]) for r in M.ranking_metrics(scored, label, "prob", ["_model"]).collect()}
+            return auc, 1 + len(fitted)
+        finally:
+            pool.shutdown()
+            trn_x.unpersist()
+            val_x.unpersist()
+
+    fold_pool = ThreadPoolExecutor(max_workers=at_once)
     try:
-        # one fold's data at a time is cached; only its slim scores outlive it
-        for f in range(folds.num_folds):
-            trn, val = tagged.where(F.col("_fold") != f), tagged.where(F.col("_fold") == f)
-            prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)).fit(trn)
-            trn_x = prep.transform(trn).select(label, "features").persist()
-            val_x = prep.transform(val).select(label, "features").persist()
-            pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
-            try:
-                fitted = dict(zip(to_fit, pool.map(
-                    lambda i, x=trn_x: make_classifier(kind, label, **{**base, **combos[i]}).fit(x), to_fit)))
-                n_fits += 1 + len(fitted)
-                scored = None
-                for d, (src, n_trees) in enumerate(distinct):
-                    model = fitted[src]
-                    if kind == "gbt" and n_trees is not None and n_trees < model.getNumTrees:
-                        model = truncated_gbt(model, n_trees)
-                    s = model.transform(val_x).select(label, vector_to_array("probability")[1].alias("prob"), F.lit(d).alias("_model"))
-                    scored = s if scored is None else scored.unionByName(s)
-                auc = {r["_model"]: float(r["auc_roc"]) for r in M.ranking_metrics(scored, label, "prob", ["_model"]).collect()}
-            finally:
-                pool.shutdown()
-                trn_x.unpersist()
-                val_x.unpersist()
+        for f, (auc, fits) in enumerate(fold_pool.map(run_fold, range(folds.num_folds))):
+            n_fits += fits
             for i in range(len(combos)):
                 fold_metrics[i][f] = auc[distinct.index(model_of[i])]
         avg = [sum(m) / len(m) for m in fold_metrics]
@@ -183,6 +192,7 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
                          + [make_classifier(kind, label, **best_params)]).fit(tagged.drop("_fold"))
         n_fits += 1
     finally:
+        fold_pool.shutdown()
         tagged.unpersist()
     notes = []
     if dedupe and len(to_fit) < len(combos):

@@ -143,8 +143,8 @@ def evaluate_model(kind: str, scored: DataFrame, spec: FeatureSpec) -> dict[str,
 def metrics_document(kind: str, tables: dict, fit_time: float, search=None, importances=None,
                      label: str = "target", twin: bool = False) -> dict:
     """The reference's metrics JSON layout, from the (small) report tables;
-    ``twin``: average precision as AUC_PR and the curve's points, without
-    thresholds, as roc_points."""
+    ``twin``: average precision as AUC_PR and, for its whole curve (a point for
+    each distinct score), the folder of the sorted table that holds it."""
     rep = tables["report"].collect()
     doc = {"training_metrics": {}, "test_metrics": {}}
     for r in rep:
@@ -165,7 +165,7 @@ def metrics_document(kind: str, tables: dict, fit_time: float, search=None, impo
         ap = {r["split"]: r["avg_precision"] for r in tables["ranking"].collect()}
         for part, name in (("train", "training_metrics"), ("test", "test_metrics")):
             doc[name]["AUC_PR"] = ap.get(part)
-        doc["roc_points"] = [{"fpr": r["fpr"], "tpr": r["tpr"]} for r in tables["curve"].orderBy("fpr", "tpr").collect()]
+        doc["roc_curve"] = tables["curve"]
         return doc
     doc["roc_points"] = [{"threshold": r["threshold"], "tpr": r["tpr"], "fpr": r["fpr"]}
                          for r in tables["roc_points"].orderBy("threshold").collect()]
@@ -175,12 +175,12 @@ def metrics_document(kind: str, tables: dict, fit_time: float, search=None, impo
 def eda_document(prof: dict, spec: FeatureSpec) -> dict:
     """The reference's EDA summary layout (nested JSON) from the profile tables."""
     n = prof["shape"].first()["n_rows"]
-    nulls = {r["feature"]: r["n_null"] for r in prof["null_profile"].collect()}
+    profile = prof["null_profile"].collect()
     return {"n_rows": n, "n_features": len(spec.features),
             "class_balance": [{spec.target: r[spec.target], "count": r["n"]}
                               for r in prof["class_balance"].collect()],
-            "null_counts": nulls,
-            "null_pct": {k: (round(100 * v / n, 2) if n else None) for k, v in nulls.items()}}
+            "null_counts": {r["feature"]: r["n_null"] for r in profile},
+            "null_pct": {r["feature"]: r["pct_null"] for r in profile}}
 
 
 def write_json_doc(spark: SparkSession, doc: dict, path: str) -> str:
@@ -239,7 +239,8 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
             tables = evaluate_model(kind, scored, spec)
             if twin:
                 tables["ranking"] = M.ranking_metrics(scored, spec.target, "prob", ["split"])
-                tables["curve"] = M.roc_curve(scored.where(F.col("split") == "test"), spec.target, "prob", drop_collinear=True)
+                curve = M.roc_curve(scored.where(F.col("split") == "test"), spec.target, "prob", drop_collinear=True)
+                tables["curve"] = io.write_sorted(curve, os.path.join(cfg.output, "roc_curve", kind), ["fpr", "tpr"])
             top = None
             if kind in ("rf", "gbt"):
                 values = model.stages[-1].featureImportances.toArray()

@@ -107,12 +107,12 @@ def hash_features_signed(spark, sf_dir):
     return FE.signed_hash_long(ctr_frame(spark, sf_dir), CATS, S.num_hash_features, "row_id")
 
 
-@query("hash_features_signed_vector", sql=_signed_sql(S.num_hash_features))
+@query("hash_features_signed_vector", sql=_signed_sql(1 << 20))
 def hash_features_signed_vector(spark, sf_dir):
-    """E3, vector form (built per row, no shuffle), read back as entries."""
-    df = FE.signed_hash_vector(ctr_frame(spark, sf_dir), CATS, S.num_hash_features)
-    return (df.select("row_id", F.posexplode(vector_to_array("signed_features")).alias("bucket", "value"))
-              .where(F.col("value") != 0.0))
+    """E3, vector form with 2^20 buckets (built per row, no shuffle), read back as entries."""
+    df = FE.signed_hash_vector(ctr_frame(spark, sf_dir), CATS, 1 << 20)
+    return (df.select("row_id", F.explode(FE.sparse_entries(F.col("signed_features"))).alias("e"))
+              .select("row_id", F.col("e.index").alias("bucket"), "e.value"))
 
 
 # ------------------------------------------------------------------ E4-E6, E9

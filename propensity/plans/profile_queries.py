@@ -66,7 +66,7 @@ def positive_rate(spark, sf_dir):
 
 @query("null_profile", sql=union_sql(
     "SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
-    "round(100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*), 2) AS pct_null FROM ctr",
+    "CAST(printf('%.2f', 100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*)) AS DOUBLE) AS pct_null FROM ctr",
     FEATURES))
 def null_profile(spark, sf_dir):
     return PR.null_profile(ctr_frame(spark, sf_dir), FEATURES)
@@ -114,13 +114,34 @@ def median_lower(spark, sf_dir):
     return rounded(spark.createDataFrame([(c, q[(c, 0.5)]) for c in INTS], "feature string, median double"))
 
 
-@query("median_approx")
+@query("median_approx", sql=union_sql(
+    "SELECT '{c}' AS feature, count({c}) AS n, true AS within FROM ctr", INTS))
 def median_approx(spark, sf_dir):
-    """Approximate median, relative error 0.001 (rows-only check)."""
+    """A12 at the reference's relative error 0.001: whether each approximate
+    median's rank lies within 0.001 n of the middle (its rows reach from the
+    first to the last rank of its value)."""
     df = ctr_frame(spark, sf_dir)
-    agg = df.agg(*[F.percentile_approx(c, 0.5, 1000).alias(c) for c in INTS])
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("median")) for c in INTS]))
-    return agg.select(rows.alias("r")).select("r.*")
+    cols = [F.col(c) for c in INTS]
+    approx = df.agg(*[F.percentile_approx(x, 0.5, 1000).alias(c) for c, x in zip(INTS, cols)]).first()
+    aggs = []
+    for i, x in enumerate(cols):
+        m = F.lit(approx[INTS[i]])
+        below, upto, n = F.count_if(x < m), F.count_if(x <= m), F.count(x)
+        close = (below <= n * 0.501 + 1) & (upto >= n * 0.499 - 1) & (upto > below)
+        aggs.append(F.struct(F.lit(INTS[i]).alias("feature"), n.alias("n"), close.alias("within")).alias(f"r{i}"))
+    return df.agg(*aggs).select(F.explode(F.array(*[F.col(f"r{i}") for i in range(len(INTS))])).alias("r")).select("r.*")
+
+
+@query("null_pct", sql="""
+SELECT row_id // 4000 AS block, count(*) FILTER (WHERE row_id % 4000 < 107) AS n_null,
+       CAST(printf('%.2f', 100.0::DOUBLE * (count(*) FILTER (WHERE row_id % 4000 < 107)) / count(*)) AS DOUBLE) AS pct_null
+FROM ctr GROUP BY block""")
+def null_pct(spark, sf_dir):
+    """P8 + A4 on near ties: 107 of 4,000 is 2.675 %, whose double lies below it, so 2.67."""
+    df = ctr_frame(spark, sf_dir)
+    n_null = F.count_if(F.col("row_id") % 4000 < 107)
+    return df.groupBy(F.floor(F.col("row_id") / 4000).alias("block")).agg(
+        n_null.alias("n_null"), PR.pct_of(n_null, F.count(F.lit(1))).alias("pct_null"))
 
 
 @query("rate_by_missing", sql=union_sql(
@@ -191,7 +212,7 @@ def row_tokens(spark, sf_dir):
 
 @query("profile_fused_nulls", sql=union_sql(
     "SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
-    "round(100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*), 2) AS pct_null FROM ctr",
+    "CAST(printf('%.2f', 100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*)) AS DOUBLE) AS pct_null FROM ctr",
     FEATURES))
 def profile_fused_nulls(spark, sf_dir):
     """A3 + A4 from the job's fused profile aggregate."""
@@ -210,7 +231,7 @@ def profile_fused_rates(spark, sf_dir):
 
 @query("profile_sink_roundtrip", sql=union_sql(
     "SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
-    "round(100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*), 2) AS pct_null FROM ctr",
+    "CAST(printf('%.2f', 100.0::DOUBLE * (count(*) FILTER (WHERE {c} IS NULL)) / count(*)) AS DOUBLE) AS pct_null FROM ctr",
     FEATURES))
 def profile_sink_roundtrip(spark, sf_dir):
     """S3: the null profile written as JSON into the shared folder and read back."""

@@ -11,6 +11,7 @@ must be shared storage on a cluster.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -81,6 +82,23 @@ def write_metrics(report: DataFrame, path: str) -> str:
     return write_table(report, path, "json", partition_by=("model",))
 
 
+def write_sorted(df: DataFrame, path: str, by) -> str:
+    """A table in the order of ``by`` across its files (range partitions,
+    each sorted), written by tasks however long it is."""
+    by = list(by)
+    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    return path
+
+
+def stream_sorted(spark: SparkSession, path: str, by) -> Iterator:
+    """Rows of a ``write_sorted`` table in order, one file's rows in the
+    driver's memory at a time."""
+    by = list(by)
+    files = sorted(spark.read.parquet(path).inputFiles())  # part numbers follow the ranges
+    for f in files:
+        yield from spark.read.parquet(f).orderBy(*by).toLocalIterator()
+
+
 def read_metrics(spark: SparkSession, path: str, models=None) -> DataFrame:
     """Read a metrics report; models whose folder is missing are skipped."""
     if models is not None:
@@ -93,10 +111,12 @@ def read_metrics(spark: SparkSession, path: str, models=None) -> DataFrame:
 
 
 #: Metrics documents (JSON): metrics under ``test_metrics`` / ``training_metrics`` or flat, confusion
-#: counts keyed by prediction and label or as rows of true classes, curve points with or without thresholds.
+#: counts keyed by prediction and label or as rows of true classes, curve points with or without thresholds,
+#: or the folder of the whole curve as a sorted table.
 _DOCUMENT = """training_metrics map<string,double>, test_metrics map<string,double>,
 AUC_ROC double, AUC_PR double, Accuracy double, F1 double, Weighted_Precision double, Weighted_Recall double,
-fit_time_sec double, confusion_matrix string, roc_points array<struct<threshold:double,fpr:double,tpr:double>>"""
+fit_time_sec double, confusion_matrix string, roc_points array<struct<threshold:double,fpr:double,tpr:double>>,
+roc_curve string"""
 
 
 def read_metrics_documents(spark: SparkSession, path: str, models=("lr", "rf", "gbt")) -> DataFrame:

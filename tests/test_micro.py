@@ -73,15 +73,17 @@ def test_empty_table_null_pct(spark):
     assert r.n_null == 0 and r.pct_null is None
 
 
-def test_null_pct_tie(spark):
-    """1 null of 800 is 0.125 %, a tie of the second digit: to the even one, as the SQL rounds."""
-    df = spark.range(800).select(F.col("id").alias("row_id"), F.lit(1).alias("target"), F.when(F.col("id") != 0, 1.0).alias("x"))
-    want = duckdb.sql("""
-SELECT 'x' AS feature, count(*) FILTER (WHERE x IS NULL) AS n_null,
-       round_even(100.0 * (count(*) FILTER (WHERE x IS NULL)) / count(*), 2)::DOUBLE AS pct_null
-FROM (SELECT CASE WHEN range = 0 THEN NULL ELSE 1 END AS x FROM range(800))""").fetchall()
-    assert [tuple(r) for r in PR.null_profile(df, ["x"]).collect()] == want == [("x", 1, 0.12)]
-    assert [tuple(r) for r in PR.profile_summary(df, "target", ["x"], ["x"])["null_profile"].collect()] == want
+@pytest.mark.parametrize("n_null, n, pct", [(1, 800, 0.12), (3, 800, 0.38), (107, 4000, 2.67), (4000, 4000, 100.0)])
+def test_null_pct_rounds_the_binary_value(spark, n_null, n, pct):
+    """1 of 800 is a true tie (0.125 %, to the even digit); 2.675 % is a double below the tie."""
+    assert round(100 * n_null / n, 2) == pct
+    df = spark.range(n).select(F.lit(1).alias("target"), F.when(F.col("id") >= n_null, 1.0).alias("x"))
+    assert [tuple(r) for r in PR.null_profile(df, ["x"]).collect()] == [("x", n_null, pct)]
+    prof = PR.profile_summary(df, "target", ["x"], ["x"])
+    assert [tuple(r) for r in prof["null_profile"].collect()] == [("x", n_null, pct)]
+    from propensity.plans.job import eda_document
+    from propensity.spec import FeatureSpec
+    assert eda_document(prof, FeatureSpec(target="target", int_cols=("x",), cat_cols=()))["null_pct"] == {"x": pct}
 
 
 def test_no_registered_profile_reads_an_id_subset():

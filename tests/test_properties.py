@@ -28,7 +28,7 @@ def test_seeded_split_disjoint_and_complete(ctr01):
 
 
 def test_class_rank_matches_global_row_number(ctr01):
-    got = SP.class_rank(ctr01, "target", 42, "row_id", bits=3).select("row_id", "_rank")
+    got = SP.class_rank(ctr01, "target", 42, "row_id", partitions=8).select("row_id", "_rank")
     w = Window.partitionBy("target").orderBy(md5_u32("row_id", 42), "row_id")
     want = ctr01.select("row_id", (F.row_number().over(w) - 1).alias("want"))
     assert got.join(want, "row_id").where(F.col("_rank") != F.col("want")).count() == 0
