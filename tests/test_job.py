@@ -53,7 +53,15 @@ def test_twin_preset_runs_on_fixture(spark, tmp_path):
     cfg = preset("twin", str(tmp_path / "out"), spec=CTR_SPEC, models=("lr",),
                  grids={"lr": GridSpec({"regParam": [0.0]})}, params={"lr": {"maxIter": 5}})
     res = run_job(spark, cfg, df=ctr_frame(spark, SF001).drop("score"))
-    assert 0.0 <= res["models"]["lr"]["doc"]["test_metrics"]["AUC_ROC"] <= 1.0
+    doc = res["models"]["lr"]["doc"]
+    assert 0.0 <= doc["test_metrics"]["AUC_ROC"] <= 1.0 and "roc_points" not in doc
+    from propensity.operators import report as RP
+    from propensity.sources import io
+    docs = io.read_metrics_documents(spark, str(tmp_path / "out"))
+    series = RP.stored_roc_series(docs).collect()
+    curve = list(io.stream_sorted(spark, doc["roc_curve"], ["fpr", "tpr"]))
+    assert len(series) == len(curve) > 11 and {r.model for r in series} == {"lr"}
+    assert (curve[0].fpr, curve[0].tpr, curve[-1].fpr, curve[-1].tpr) == (0.0, 0.0, 1.0, 1.0)
 
 
 def test_job_without_row_key_and_sampled(spark, tmp_path):

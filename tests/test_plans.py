@@ -66,3 +66,45 @@ def test_sketches_are_merged_in_groups(spark):
     n, q = merged.select(F.kll_sketch_get_n_double("s0"), F.kll_sketch_get_quantile_double("s0", F.lit(0.5))).first()
     assert n == 6000 and abs(q - 3000) < 30
     assert Q.GROUPS <= 700
+
+
+def test_class_rank_reads_its_source_once(spark, monkeypatch):
+    """One scan of events goes into the written table; ranks are worked out from that."""
+    from propensity.operators import split as SP
+    written = []
+    keep = SP.cut_lineage
+    monkeypatch.setattr(SP, "cut_lineage", lambda df: (written.append(plan(df)), keep(df))[1])
+    out = SP.assign_folds(ctr_frame(spark, SF001), 2, 42, "row_id", target="target", stratified=True)
+    scans = [p.count("events.parquet") for p in written]
+    assert scans == [1] and "events.parquet" not in plan(out) and "BroadcastHashJoin" in plan(out)
+    assert out.groupBy("target", "fold").count().count() == 4
+
+
+def test_sorted_table_streams_a_long_curve(spark, tmp_path):
+    """A curve of 1e6 distinct scores is written and read in order by range, never collected whole."""
+    from pyspark.sql import functions as F
+    from propensity.operators import metrics as M
+    from propensity.sources import io
+    n = 1_000_000
+    scored = spark.range(n).select((F.col("id") / n).alias("prob"), (F.xxhash64("id") % 3 == 0).cast("int").alias("target"))
+    path = io.write_sorted(M.roc_curve(scored, "target", "prob"), str(tmp_path / "curve"), ["fpr", "tpr"])
+    table = spark.read.parquet(path)
+    assert table.count() == n + 1
+    ranges = sorted((tuple(r.lo), tuple(r.hi)) for r in table.groupBy(F.input_file_name()).agg(
+        F.min(F.struct("fpr", "tpr")).alias("lo"), F.max(F.struct("fpr", "tpr")).alias("hi")).collect())
+    assert len(ranges) > 1 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    import itertools
+    rows = [(r.fpr, r.tpr) for r in itertools.islice(io.stream_sorted(spark, path, ["fpr", "tpr"]), 2000)]
+    assert rows[0] == (0.0, 0.0) and rows == sorted(rows) and len(rows) == 2000
+
+
+def test_signed_vector_memory_follows_its_entries(spark):
+    """2^24 buckets: a dense row would be 128 MB."""
+    from pyspark.ml.linalg import SparseVector
+    from propensity.operators import features as FE
+    df = FE.signed_hash_vector(ctr_frame(spark, SF001), ["cat_0", "cat_1", "cat_3"], 1 << 24)
+    v = df.select("signed_features").first()[0]
+    assert isinstance(v, SparseVector) and v.size == 1 << 24 and v.numNonzeros() <= 3
+    assert df.schema["signed_features"].metadata["ml_attr"]["num_attrs"] == 1 << 24
+    p = plan(df)
+    assert "Exchange hashpartitioning" not in p and "Python" not in p
