@@ -11,11 +11,15 @@ from __future__ import annotations
 import json
 import re
 import struct
+from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
 import regex
 
+from .ragged import KeyTable, mix
+
 #: Fixed: the pre-tokenizer's pattern is published with the vocabulary.
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 
@@ -30,6 +34,14 @@ _OTHER_SPACE_ASCII = [c for c in _OTHER_SPACE if c.isascii()]
 #: Pieces up to this length keep the states of their prefixes for other pieces.
 _SHARED_BYTES = 24
 
+#: Parts of words of letters of at most two bytes: perhaps a space first, lines between, each word with at most one run
+#: of ASCII marks (but quotes, which open contractions) behind it. Runs of marks and line ends are pieces of their own.
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-&(-/:-@\[-`{-~]+"
+_WORDS = re.compile(f" ?{_LETTERS}(?:{_MARKS})?(?:\n{_LETTERS}(?:{_MARKS})?)*")
+_PIECES = re.compile(f"( ?{_LETTERS})|({_MARKS})|\n")
+#: A change of the count by one, as it is stored.
+_ONE = struct.pack("<h", 1)
+
 
 class Memo(dict):
     """A memo in two generations of at most ``size`` entries each: entries in
@@ -43,11 +55,14 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -80,8 +95,8 @@ class Vocabulary:
                 self.rank[t], self.left[t], self.right[t] = r, self.ids[a], self.ids[b]
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._follows_memo = Memo(self._adjacent, 300_000)
-        self._units = Memo(self.unit_steps, 500_000)
-        self._states = Memo(self._prefix_state, 400_000)
+        self._units = Memo(self.unit_steps, 100_000)
+        self._states = Memo(self._prefix_state, 600_000)
         # tokens that the merge rules do produce from their own bytes
         self.reachable = {t: i for t, i in self.ids.items() if len(t) == 1 or self._adjacent((self.left[i], self.right[i]), i)}
 
@@ -186,6 +201,88 @@ class Vocabulary:
         return struct.pack(f"<{len(counts)}h", counts[0], *map(int.__sub__, counts[1:], counts))
 
 
+class WordCounts:
+    """Token counts of every prefix of many words at once: the dynamic
+    programming of ``Vocabulary.piece_counts`` over arrays. At position i the
+    words still open try the start of their last token from the farthest on."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
+        self.tokens: dict[int, tuple] = {}
+        self.may_end = np.zeros((_SHARED_BYTES + 1, 1 << 16), bool)  # by length and the last four bytes' hash
+        by_length: dict[int, list[bytes]] = {}
+        for t in vocabulary.reachable:
+            if len(t) <= _SHARED_BYTES:
+                by_length.setdefault(len(t), []).append(t)
+        for n, ts in by_length.items():
+            packed = np.frombuffer(b"".join(t.ljust(_SHARED_BYTES, b"\0") for t in ts), "<u8").reshape(-1, 3)
+            ids = np.asarray([vocabulary.reachable[t] for t in ts], np.int64)
+            self.tokens[n] = KeyTable(self._keys(n, packed.T)), packed, ids
+            ends = np.frombuffer(b"".join(t[-4:].rjust(4, b"\0") for t in ts), "<u4")
+            self.may_end[n, self._end(ends) if n >= 4 else slice(None)] = True
+        self.pairs = Memo(lambda k: vocabulary._adjacent((k >> 32, k & 0xFFFFFFFF)), 400_000)
+
+    @staticmethod
+    def _keys(n: int, words) -> np.ndarray:
+        """Keys of byte strings of one length as up to three integers; up to eight bytes are their own key."""
+        key = words[0]
+        for w in words[1:(n + 7) // 8]:
+            key = mix(mix(key) + w)
+        return key
+
+    @staticmethod
+    def _end(last_four: np.ndarray) -> np.ndarray:
+        return (last_four.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(16)) & np.uint64(0xFFFF)
+
+    def _find(self, n: int, words: list[np.ndarray]) -> np.ndarray:
+        """Token numbers of byte strings of length n, -1 where there is none."""
+        if n not in self.tokens:
+            return np.full(len(words[0]), -1, np.int64)
+        table, packed, ids = self.tokens[n]
+        row = table.rows(self._keys(n, words))
+        found = row >= 0
+        if n > 8:  # the key is a hash: compare the bytes
+            for w, own in zip(words, packed.T, strict=False):
+                found &= own[row] == w
+        return np.where(found, ids[row], -1)
+
+    def _follow(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
+        pairs, at = np.unique(last << 32 | token, return_inverse=True)
+        return np.asarray(list(map(self.pairs.__getitem__, pairs.tolist())), bool)[at]
+
+    def counts(self, words: list[bytes]) -> np.ndarray:
+        """A row for each word of at most 24 bytes: its count at every prefix length from 0 on."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-size, kind="stable")
+        wide = _SHARED_BYTES + 8
+        flat = np.frombuffer(b"".join(words[k].ljust(wide, b"\0") for k in order), np.uint8)
+        at_byte = np.ndarray(len(flat) - 7, "<u8", flat.data, strides=(1,))
+        count = np.zeros((len(words), _SHARED_BYTES + 1), np.int16)
+        last = np.full((len(words), _SHARED_BYTES + 1), -1, np.int64)
+        for i in range(1, int(size.max(initial=0)) + 1):
+            todo = np.arange(int((size >= i).sum()))
+            ends = self._end(at_byte[todo * wide + i - 4] & np.uint64(0xFFFFFFFF)) if i >= 4 else None
+            for j in range(i):
+                n = i - j
+                row = todo[self.may_end[n, ends[todo]]] if n >= 4 else todo
+                if not len(row):
+                    continue
+                token = self._find(n, [at_byte[row * wide + (j + k)] & np.uint64((1 << 8 * min(8, n - k)) - 1) for k in range(0, n, 8)])
+                hit = token >= 0
+                row, token = row[hit], token[hit]
+                if j and len(row):
+                    fits = self._follow(last[row, j], token)
+                    row, token = row[fits], token[fits]
+                if len(row):
+                    last[row, i], count[row, i] = token, count[row, j] + 1
+                    todo = todo[last[todo, i] < 0]
+                    if not len(todo):
+                        break
+        out = np.empty_like(count)
+        out[order] = count
+        return out
+
+
 def parts_of(text: str) -> list[str]:
     """``text`` cut before single spaces between other characters; the parts
     after the first keep their space."""
@@ -205,10 +302,37 @@ def parts_of(text: str) -> list[str]:
 class PrefixCounter:
     """Per-task state: steps of whole texts through the part memo."""
 
-    def __init__(self, vocabulary: Vocabulary, memo_size: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, memo_size: int = 500_000):
         self.v = vocabulary
+        self.words = WordCounts(vocabulary)
         self.memo = Memo(vocabulary.part_steps, memo_size)
 
+    def learn(self, parts: set[str]) -> None:
+        """Put the words among parts not met before into the memo, all in one go."""
+        memo, old, marks = self.memo, self.memo.old, self.v._units
+        new = [p for p in parts if p not in memo and p not in old and _WORDS.fullmatch(p)]
+        words = {w for p in new for w, _ in _PIECES.findall(p) if w}
+        raws = {w: w.encode() for w in words if w not in memo and w not in old and len(w) <= _SHARED_BYTES}
+        raws = {w: r for w, r in raws.items() if len(r) <= _SHARED_BYTES}
+        steps = np.diff(self.words.counts(list(raws.values())), axis=1).astype("<i2") if raws else ()
+        for own, (word, raw) in zip(steps, raws.items(), strict=True):
+            if len(raw) == len(word):
+                memo.put(word, own[:len(word)].tobytes())
+            else:  # the bytes of a letter are one step
+                first = [0, *accumulate(len(c.encode()) for c in word[:-1])]
+                memo.put(word, np.add.reduceat(own[:len(raw)], first).astype("<i2").tobytes())
+        for p in new:
+            if p not in words:
+                memo.put(p, b"".join([memo[w] if w else marks[m] if m else _ONE for w, m in _PIECES.findall(p)]))
+
+    def all_steps(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """``steps`` of each text; takes a few megabytes of texts at a time."""
+        special = self.v.special if self.v.special_split is not None else ()
+        parts = [parts_of(t) if t and not any(s in t for s in special) else None for t in texts]
+        self.learn(set().union(*(p for p in parts if p)))
+        for t, p in zip(texts, parts, strict=True):
+            yield self.steps(t) if p is None else np.frombuffer(b"".join(map(self.memo.__getitem__, p)), "<i2")
+
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, parts_of(text))) if text else b""
 

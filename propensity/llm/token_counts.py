@@ -7,8 +7,9 @@ then sums over the stored steps; nothing is tokenized again.
 
 A null text is empty: no bytes, no tokens, no steps. Repeated rows and null
 ids keep their rows. An empty table gives an empty result. Only id and text
-are read, so other columns cannot clash. A task holds one Arrow batch, a
-bounded memo and, for the text at hand, two bytes a character.
+are read, so other columns cannot clash. Words not met before are worked out
+together, over arrays, for a few megabytes of texts at a time. A task holds one
+Arrow batch, a bounded memo and, for the texts at hand, two bytes a character.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,9 @@ from . import bpe
 
 _state: dict[str, bpe.PrefixCounter] = {}
 
+#: Texts whose new words are worked out together.
+RUN_BYTES = 4 << 20
+
 
 def vocabulary_text(spark: SparkSession, path: str):
     """The tokenizer file as a broadcast (a few megabytes, whatever the input)."""
@@ -48,16 +53,20 @@ def prefix_token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             _state[path] = bpe.PrefixCounter(bpe.Vocabulary(shared.value))
         counter = _state[path]
         for batch in batches:
-            n_bytes, n_tokens, kept = [], [], []
-            for text in batch.column("text"):
-                t = text.as_py() or ""
-                s = counter.steps(t)
-                n_bytes.append(len(t.encode()))
-                n_tokens.append(int(s.sum(dtype=np.int64)))
-                kept.append(s.tobytes() if store else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
-                 pa.array(kept, pa.binary())], ["id", "n_bytes", "n_tokens", "steps"])
+            column, first = batch.column("text"), 0
+            size = pc.binary_length(column).fill_null(0)
+            ends = np.cumsum(np.asarray(size, np.int64))
+            while first < len(column):
+                last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + RUN_BYTES, "right")))
+                texts = [t or "" for t in column.slice(first, last - first).to_pylist()]
+                n_tokens, kept = [], []
+                for s in counter.all_steps(texts):
+                    n_tokens.append(int(s.sum(dtype=np.int64)))
+                    kept.append(s.tobytes() if store else None)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(first, last - first), size.slice(first, last - first).cast(pa.int64()),
+                     pa.array(n_tokens, pa.int64()), pa.array(kept, pa.binary())], ["id", "n_bytes", "n_tokens", "steps"])
+                first = last
 
     out = T.StructType([slim.schema["id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
                         T.StructField("steps", T.BinaryType())])

@@ -26,6 +26,8 @@ def check_all_prefixes(t):
     assert len(got) == len(t) + 1
     want = [library(t[:i]) for i in range(len(t) + 1)]
     assert got == want, t
+    # the batch path: words worked out together
+    assert bpe.counts_at(next(CTR.all_steps([t])).tobytes()).tolist() == want, t
 
 
 PIECES = ["the", " ", "  ", "\n", "\t", "'s", "'", "'re", "'ll", "'LL", "don", "n't", "1", "2024", "Ünï", "漢字", "é", "!", "...", "<|endoftext|>",
@@ -45,6 +47,22 @@ def test_any_text(t):
     check_all_prefixes(t)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aeéÉßñthionsA.!#'\n ", max_size=12), max_size=8).map(" ".join))
+def test_words_marks_and_lines(t):
+    check_all_prefixes(t)
+
+
+def test_words_in_one_go():
+    rng = random.Random(5)
+    words = list({"".join(rng.choice(["the", "in", "é", "q", "Z", "tion", "ss", " "]) for _ in range(rng.randrange(1, 9))).strip() or "x" for _ in range(3000)})
+    raws = [w.encode() for w in words if len(w.encode()) <= 24]
+    fresh = bpe.WordCounts(VOC)
+    for raw, row in zip(raws, fresh.counts(raws).tolist(), strict=True):
+        assert row[:len(raw) + 1] == VOC.piece_counts(raw), raw
+    assert fresh.counts([]).shape == (0, 25)
+
+
 def test_long_runs():
     for t in ["a" * 700, " " * 300 + "x", "=" * 500, "ab" * 300, "\n" * 200, "x" + " " * 150]:
         check_all_prefixes(t)
@@ -87,4 +105,6 @@ def test_query(spark, sf):
     got = {r.doc_id: r for r in QUERIES["op1_token_counts"](spark, d).collect()}
     for r in spark.read.parquet(f"{d}/documents.parquet").collect():
         n = library(r.text)
-        assert (got[r.doc_id].n_bytes, got[r.doc_id].n_tokens, got[r.doc_id].over_limit) == (len(r.text.encode()), n, n > 1024)
+        own = got[r.doc_id]
+        assert (own.n_bytes, own.n_tokens, own.over_limit) == (len(r.text.encode()), n, n > 1024)
+        assert own.chars_in_limit == len(r.text) if n <= 1024 else library(r.text[:own.chars_in_limit]) <= 1024
