@@ -96,7 +96,7 @@ class Vocabulary:
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._follows_memo = Memo(self._adjacent, 300_000)
         self._units = Memo(self.unit_steps, 100_000)
-        self._states = Memo(self._prefix_state, 600_000)
+        self._states = Memo(self._prefix_state, 200_000)
         # tokens that the merge rules do produce from their own bytes
         self.reachable = {t: i for t, i in self.ids.items() if len(t) == 1 or self._adjacent((self.left[i], self.right[i]), i)}
 
@@ -252,6 +252,8 @@ class WordCounts:
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """A row for each word of at most 24 bytes: its count at every prefix length from 0 on."""
+        if not words:
+            return np.zeros((0, _SHARED_BYTES + 1), np.int16)
         size = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(-size, kind="stable")
         wide = _SHARED_BYTES + 8
@@ -302,7 +304,7 @@ def parts_of(text: str) -> list[str]:
 class PrefixCounter:
     """Per-task state: steps of whole texts through the part memo."""
 
-    def __init__(self, vocabulary: Vocabulary, memo_size: int = 500_000):
+    def __init__(self, vocabulary: Vocabulary, memo_size: int = 400_000):
         self.v = vocabulary
         self.words = WordCounts(vocabulary)
         self.memo = Memo(vocabulary.part_steps, memo_size)
