@@ -4,9 +4,10 @@
 come from exchange clustering: every unit starts in a class by rank, and is
 moved to the class that raises the training text's class-bigram likelihood
 most, given where the others are; half of the units move in one sweep, so
-that sweeps can run as jobs. Units are the frequent words, those with at least
-``1 / head`` of all tokens (so there are at most ``head`` of them at any size
-of corpus), and for all other words, known or not, ``shapes`` groups by their
+that sweeps can run as jobs. Units are the words that training has at least
+``min_count`` times, so their number follows the corpus, up to those with
+``1 / head`` of all tokens (the proven bound of what is broadcast, about a
+million), and for all other words, known or not, ``shapes`` groups by their
 last bytes: every word has a class, and one that training never saw has too.
 
 Counts of words, of class transitions and of words a class emits are over all
@@ -202,7 +203,7 @@ def exchange(bigrams: DataFrame, n_units: int, classes: int, sweeps: int) -> tup
     frame = lambda own: spark.createDataFrame(pd.DataFrame({"unit": np.arange(n_units, dtype=np.int32), "cls": own.astype(np.int32)}))
     pairs = _class_pairs(bigrams, frame(own), classes)
     history = [_log_likelihood(pairs)]
-    blocks = max(1, spark.sparkContext.defaultParallelism * 2)
+    blocks = max(1, spark.sparkContext.defaultParallelism * 2, n_units >> 13)  # some thousands of units in a task at once
     for sweep in range(sweeps):
         table = F.broadcast(frame(own))
         moving = F.pmod(F.xxhash64("unit", F.lit(sweep // 2)) + F.lit(sweep), F.lit(2)) == 0
@@ -225,8 +226,8 @@ def exchange(bigrams: DataFrame, n_units: int, classes: int, sweeps: int) -> tup
     return own, pairs, history
 
 
-def train(docs: DataFrame, text_col: str = "text", usable: Column | None = None, classes: int = 64, head: int = 1 << 13,
-          shapes: int = 2048, wide: int = 1 << 20, sweeps: int = 8, delta: float = 0.5) -> Model:
+def train(docs: DataFrame, text_col: str = "text", usable: Column | None = None, classes: int = 64, head: int = 1 << 20,
+          min_count: int = 20, shapes: int = 2048, wide: int = 1 << 20, sweeps: int = 8, delta: float = 0.5) -> Model:
     """The model from all texts that ``usable`` (over ``docs``) selects."""
     texts = (docs.where(usable) if usable is not None else docs).select(F.col(text_col).alias("text"))
     vocabulary = written(_counts(texts, shapes), "word-counts")
@@ -235,7 +236,7 @@ def train(docs: DataFrame, text_col: str = "text", usable: Column | None = None,
     n_tokens, n_types = (sums[0] or 0) + n_texts, sums[1] + (n_texts > 0)
     # words with a share of all tokens: at most head, or wide, of them whatever the corpus
     frequent = lambda share: vocabulary.where(F.col("n") * F.lit(share) >= F.lit(max(n_tokens, 1)))
-    ranked = frequent(head).select("key", "n").orderBy(F.desc("n"), "key").toArrow()
+    ranked = frequent(head).where(F.col("n") >= min_count).select("key", "n").orderBy(F.desc("n"), "key").toArrow()
     head_keys = ranked.column("key").to_numpy().view(np.uint64).copy()
     n_units = 1 + len(head_keys) + shapes
     bigrams = written(_unit_bigrams(texts, head_keys, shapes), "unit-bigrams")

@@ -4,12 +4,14 @@ blocks of about a megabyte, so a task's memory does not follow its input."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 20
+LONG = 256
 
 #: Byte classes: ASCII white space (space, tab to carriage return) is False.
 NOT_SPACE = np.ones(256, bool)
@@ -75,7 +77,11 @@ _tables: dict[str, np.ndarray] = {"up": _powers(BLOCK, _BASE), "down": _powers(B
 
 def span_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit key of each span's bytes: a polynomial in an odd base, read
-    off prefix sums (so the cost is a few passes over the bytes), then mixed."""
+    off prefix sums (so the cost is a few passes over the bytes), then mixed.
+
+    Modulo 2^64 such polynomials agree on certain long strings whatever the
+    base (of 1,024 bytes and more), so spans of over ``LONG`` bytes are hashed
+    one by one with BLAKE2b instead."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
@@ -89,6 +95,8 @@ def span_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         s, e = starts[i:j] - lo, ends[i:j] - lo
         out[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * _MUL)
         i = j
+    for k in np.flatnonzero(ends - starts > LONG):
+        out[k] = int.from_bytes(hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8).digest(), "little")
     return out
 
 

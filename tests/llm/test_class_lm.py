@@ -113,3 +113,24 @@ def test_nothing_to_learn_from_and_empty(spark):
     got = sorted(((r.n_tokens, r.n_known, r.base_score) for r in LM.score(docs, model).collect()))
     assert got == [(1, 0, 0.0), (3, 0, 0.0)]
     assert LM.score(docs.limit(0), model).count() == 0
+
+
+def test_long_words_are_told_apart(spark):
+    """Words that polynomial keys modulo 2^64 take for one another (Thue-Morse strings)."""
+    def pair(n):
+        bits = [bin(i).count("1") & 1 for i in range(n)]
+        return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    for n in (512, 1024, 2048, 4096):
+        seen, other = pair(n)
+        docs = spark.createDataFrame([(1, seen, 0, "", 0), (2, other, 1, "", 0)], SCHEMA)
+        model = LM.train(docs, usable=F.col("doc_id") == 1, classes=4, shapes=8, sweeps=1)
+        got = {r.id: (r.n_tokens, r.n_known) for r in LM.score(docs, model).collect()}
+        assert got == {1: (2, 2), 2: (2, 1)}, n
+
+
+def test_clustered_words_follow_the_corpus(spark):
+    """Every word seen min_count times has a unit of its own, however small its share."""
+    rows = [(i, " ".join(f"w{j}" for j in range(j0, j0 + 50)) + " rare" + str(i), 0, "", 0) for i in range(200) for j0 in (50 * (i % 10),)]
+    model = LM.train(spark.createDataFrame(rows, SCHEMA), classes=4, shapes=8, sweeps=1)
+    assert len(model.head_keys) == 500 and model.n_types == 701
+    assert len(LM.train(spark.createDataFrame(rows, SCHEMA), classes=4, shapes=8, sweeps=1, min_count=21).head_keys) == 0
