@@ -139,8 +139,9 @@ def best_classes(pairs: np.ndarray, units: np.ndarray, own: np.ndarray, left: np
     """The best class of each unit, the others staying. ``pairs`` is classes x
     classes; ``left`` and ``right`` hold the unit's counts with the classes
     before and after it, ``self_n`` with itself. Class 0 is the border's."""
-    k = len(pairs)
     out = own.copy()
+    xlogx = lambda x: x * np.log(np.maximum(x, 1e-300))  # noqa: E731  (counts are whole numbers from 0 on)
+    all_f, row_n, col_n = xlogx(pairs), pairs.sum(1), pairs.sum(0)
     for i in range(len(units)):
         a, s = own[i], self_n[i]
         lt, rt = left[i].copy(), right[i].copy()
@@ -150,16 +151,18 @@ def best_classes(pairs: np.ndarray, units: np.ndarray, own: np.ndarray, left: np
         base[a, :] -= rt
         base[:, a] -= lt
         base[a, a] -= s
-        f = _xlogx(base)
-        rows = _xlogx(base + rt[None, :]) - f  # row b: the unit's words after it join row b
-        cols = _xlogx(base + lt[:, None]) - f  # column b: the words before it
-        d = np.arange(k)
-        gain = rows.sum(1) - rows[d, d] + cols.sum(0) - cols[d, d]
-        diag = base[d, d]
-        gain += _xlogx(diag + rt + lt + s) - f[d, d]
-        out_row, out_col = base.sum(1) + lt, base.sum(0) + rt  # the unit's neighbours keep their own counts
-        gain -= _xlogx(out_row + rt.sum() + s) - _xlogx(out_row)
-        gain -= _xlogx(out_col + lt.sum() + s) - _xlogx(out_col)
+        f = all_f.copy()  # without the unit only its class's row and column differ
+        f[a, :], f[:, a] = xlogx(base[a, :]), xlogx(base[:, a])
+        after, before = np.flatnonzero(rt), np.flatnonzero(lt)
+        diag, f_diag = base.diagonal(), f.diagonal()
+        # row b: the unit's words after it join row b; column b: the words before it
+        gain = (xlogx(base[:, after] + rt[after]) - f[:, after]).sum(1) + (xlogx(base[before] + lt[before, None]) - f[before]).sum(0)
+        gain += xlogx(diag + rt + lt + s) - xlogx(diag + rt) - xlogx(diag + lt) + f_diag
+        out_row, out_col = row_n.copy(), col_n.copy()  # the unit's neighbours keep their own counts
+        r, c = rt.sum() + s, lt.sum() + s
+        out_row[a] -= r
+        out_col[a] -= c
+        gain -= xlogx(out_row + r) - xlogx(out_row) + xlogx(out_col + c) - xlogx(out_col)
         gain[0] = -np.inf
         best = int(np.argmax(gain))
         if gain[best] > gain[a] + 1e-9:
