@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import bottomk, class_lm, conversation_repair, histogram_packing, langid, maxscore, mixing, packing
 from . import quality, simhash, token_counts, toxicity, winnowing
-from .tables import fold_of, table, written
+from .tables import fold_of, scratch, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,8 +146,10 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), row_tokens=2048,
-                          tokenizer=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    path = scratch(spark, "packed")
+    packing.write_packed(table(spark, sf_dir, "documents"), path, row_tokens=2048,
+                         tokenizer=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.read_packed(spark, path)
 
 
 @query("op10_simhash")

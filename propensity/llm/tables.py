@@ -41,6 +41,14 @@ def fold_of(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder, deleted when the driver's JVM ends."""
+    path = scratch_path(spark, name)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared checkpoint folder
     and read back: lineage ends there, so a lost executor costs only the
@@ -48,11 +56,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     read. Deleted when the driver's JVM ends."""
     spark = df.sparkSession
     ship_package(spark)
-    path = scratch_path(spark, name)
+    path = scratch(spark, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -81,3 +81,36 @@ def test_query_round_trip(spark):
     docs = unpack(QUERIES["op9_packing"](spark, d).collect(), 2048)
     for r in spark.read.parquet(f"{d}/documents.parquet").collect():
         assert [x for _, p in sorted(docs.get(r.doc_id, [])) for x in p] == ENC.encode_ordinary(r.text or "")
+
+
+def test_written_blocks_read_back(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
+    path = str(tmp_path / "packed")
+    PK.write_packed(docs, path, row_tokens=512, block_tokens=20_000)
+    rows = PK.read_packed(spark, path).collect()
+    want = {r.doc_id: ENC.encode_ordinary(r.text or "") for r in docs.collect()}
+    got = {k: [i for _, ids in sorted(v) for i in ids] for k, v in unpack(rows, 512).items()}
+    assert got == {k: v for k, v in want.items() if v}
+    by_place = {(r.part, r.block, r.row): r for r in rows}
+    blocks = spark.read.parquet(path).collect()
+    assert len(blocks) > 3 and sum(b.n_rows for b in blocks) == len(rows) == len(by_place)
+    for b in blocks:
+        ids = PK.matrix(b)
+        assert ids.shape == (b.n_rows, 512)
+        for k in range(b.n_rows):
+            row = by_place[b.part, b.block, k]
+            cu = b.cu_seqlens[b.row_starts[k]:b.row_starts[k + 1]]
+            assert ids[k].tobytes() == bytes(row.input_ids) and cu == row.cu_seqlens
+
+
+def test_written_edges_read_back(spark, tmp_path):
+    rows = [(1, None, 0, "x"), (2, "", 0, "x"), (None, "the end", 0, "x"), (3, "the end", 0, "x"), (3, "the end", 0, "x")]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    path = str(tmp_path / "packed")
+    PK.write_packed(docs, path, row_tokens=4, block_tokens=4)
+    out = PK.read_packed(spark, path).collect()
+    assert sorted(str(k) for r in out for k in r.ids) == ["3", "3", "None"] and sum(r.n_skipped for r in out) == 2
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        PK.write_packed(docs, path)
+    PK.write_packed(docs.limit(0), path + "2")
+    assert PK.read_packed(spark, path + "2").count() == 0
