@@ -20,7 +20,8 @@ Null ids are kept as ids of their own (a null item id is left out of lists).
 Empty tables give no rows, or rows without hits if only the benchmark is
 empty. Columns other than id and text are ignored.
 
-Scale: hashing is a narrow scan. What is joined is each text's distinct
+Scale: hashing is a narrow scan, and the cost of a text grows with its words
+(times a logarithm where it shares many). What is joined is each text's distinct
 minima (about two sevenths of its words) against the benchmark's, broadcast
 only if their counted number is small, else shuffled. Only documents with a
 shared hash are read again for extension. Items with the same words around a
@@ -90,9 +91,22 @@ def _common_starts(length: int) -> Column:
 
 
 def _positions(grams: Column, wanted: Column) -> Column:
-    """Where the wanted hashes stand (``grams`` is not empty)."""
-    return let(wanted, lambda x: let(grams, lambda g: F.filter(
-        F.sequence(F.lit(0), F.size(g) - 1), lambda p: F.array_contains(x, F.get(g, p)))))
+    """Where the wanted hashes stand (``grams`` is not empty). Many wanted
+    hashes are sorted once and found by halving steps, so that a long text
+    that shares much costs no square of its length."""
+    def of(x: Column) -> Column:
+        n = F.size(x)
+        halving = F.transform(F.sequence(F.length(F.bin(n)) - 1, F.lit(0), F.lit(-1)), lambda j: F.pow(F.lit(2), j).cast("int"))
+
+        def holds(steps: Column, h: Column) -> Column:
+            """Whether the greatest wanted hash up to ``h`` is ``h``."""
+            up_to = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+                (at + step <= n) & (F.get(x, at + step - 1) <= h), at + step).otherwise(at))
+            return F.when(n <= 32, F.array_contains(x, h)).otherwise(F.get(x, up_to - 1) == h)
+
+        return let(halving, lambda steps: let(grams, lambda g: F.filter(
+            F.sequence(F.lit(0), F.size(g) - 1), lambda p: holds(steps, F.get(g, p)))))
+    return let(F.sort_array(wanted), of)
 
 
 def shared_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from propensity.llm import winnowing as W
 
@@ -75,3 +77,30 @@ def test_empty_tables(spark):
     assert [(r.n_words, r.n_hit, r.item_list) for r in W.contamination(docs, none).collect()] == [(3, 0, [])]
     assert W.contamination(docs.limit(0), none).count() == 0
     assert W.clean(docs, none).count() == 1
+
+
+def test_long_text_of_distinct_words_that_is_shared_whole(spark):
+    """Every kept hash is wanted; the cost must not grow as the square of the length."""
+    took = {}
+    for n in (20_000, 80_000):
+        text = " ".join(f"w{i}" for i in range(n))
+        docs = spark.createDataFrame([(1, text, "", 0, 0), (2, "w0 " + text[-600:], "", 0, 0)], DOCS)
+        items = spark.createDataFrame([(7, text, 0)], ITEMS)
+        start = time.monotonic()
+        out = {r.id: r for r in W.contamination(docs, items).collect()}
+        took[n] = time.monotonic() - start
+        assert (out[1].n_words, out[1].n_hit, out[1].item_list) == (n, n, ["7"])
+        # the tail's first word is cut within
+        assert out[2].n_hit == len(words(text[-600:])) - 1 and out[2].item_list == ["7"]
+    assert took[80_000] < 8 * took[20_000]
+
+
+def test_many_wanted_hashes_are_found_by_halving(spark):
+    rng = random.Random(4)
+    rows = []
+    for n in (0, 1, 2, 31, 32, 33, 63, 64, 65, 200):
+        wanted = rng.sample(range(-300, 300), n)
+        rows.append((wanted, [rng.randrange(-320, 320) for _ in range(300)]))
+    df = spark.createDataFrame(rows, "wanted array<bigint>, grams array<bigint>")
+    for r in df.select("wanted", "grams", W._positions(F.col("grams"), F.col("wanted")).alias("at")).collect():
+        assert r.at == [p for p, g in enumerate(r.grams) if g in set(r.wanted)]
