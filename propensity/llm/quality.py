@@ -110,12 +110,17 @@ def _learner(state, slot: int, *rates: float):
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
           usable: Column | None = None, max_rows: int = 16384, shards: int = 4, rounds: int = 6, bits: int = BITS,
           alpha: float = 2.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, seed: int = 5) -> np.ndarray:
-    """Weights (the last is the intercept's) from at most about ``max_rows`` labelled texts."""
+    """Weights (the last is the intercept's) from at most about ``max_rows``
+    labelled texts: ids are sampled first, then the texts found under them, as
+    an id may have several; equal rows of an id are learned from once."""
     rows = labelled(labels.where(usable) if usable is not None else labels, label, id_col)
     rows = written(bounded_sample(rows.withColumn("all", F.lit(1)), F.col(id_col), "all", max_rows, seed)
                    .select(F.col(id_col).alias("l_id"), "y"), "label-sample")
     # the sample has a bounded number of rows, so it is broadcast to the texts
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(rows), F.col("id") == F.col("l_id"))
+    h = F.xxhash64("id", "text", F.lit(seed))
+    texts = written(texts.select("id", "text", "y", h.alias("turn"), F.lit(1).alias("all")).dropDuplicates(["id", "turn"]), "labelled-texts")
+    texts = bounded_sample(texts, F.col("turn"), "all", max_rows, seed)
     slot = 1 << bits
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,8 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
                     [part.column("shard"), part.column("turn"), part.column("y"), pa.ListArray.from_arrays(at.astype(np.int32), idx),
                      pa.ListArray.from_arrays(at.astype(np.int32), val)], ["shard", "turn", "y", "idx", "val"])
 
-    h = F.xxhash64("id", "text", F.lit(seed))
-    sample = written(texts.select(F.pmod(h, F.lit(shards)).cast("int").alias("shard"), h.alias("turn"), "y", "text")
+    sample = written(texts.select(F.pmod("turn", F.lit(shards)).cast("int").alias("shard"), "turn", "y", "text")
                      .mapInArrow(featurise, "shard int, turn bigint, y int, idx array<int>, val array<float>"), "labelled-features")
     z, n = np.zeros(slot + 1), np.zeros(slot + 1)
     for _ in range(rounds):

@@ -69,8 +69,9 @@ def labelled(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame
             .agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y")))
 
 
-def _sizes(rows: DataFrame, stratum: str) -> dict:
-    return {r[0]: r[1] for r in rows.groupBy(stratum).count().collect()}
+def _sizes(rows: DataFrame, stratum: str, size: Column | None = None) -> dict:
+    n = F.count(F.lit(1)) if size is None else F.coalesce(F.sum(size), F.lit(0)).cast("bigint")
+    return {r[0]: r[1] for r in rows.groupBy(stratum).agg(n).collect()}
 
 
 def _highest(bound: int, n: int) -> int:
@@ -79,13 +80,14 @@ def _highest(bound: int, n: int) -> int:
     return (1 << 63) - 1 if n <= bound else (bound << 64) // n - (1 << 63) - 1
 
 
-def bounded_sample(rows: DataFrame, key: Column, stratum: str, bound: int, seed: int) -> DataFrame:
+def bounded_sample(rows: DataFrame, key: Column, stratum: str, bound: int, seed: int, size: Column | None = None) -> DataFrame:
     """A seeded sample of about ``bound`` rows of each value of ``stratum``
     (all of them where there are fewer). The sampling rate comes from the
     stratum's row count, so the expected size never exceeds the bound; the
-    choice depends only on the key, so reruns agree. ``stratum`` must have few
-    values (classes, languages)."""
+    choice depends only on the key, so reruns agree. With ``size`` the bound is on
+    the sum of the rows' sizes (characters, say) instead of on their number.
+    ``stratum`` must have few values (classes, languages)."""
     h, keep = F.xxhash64(key, F.lit(seed)), F.lit(False)
-    for value, n in _sizes(rows, stratum).items():
+    for value, n in _sizes(rows, *([stratum] if size is None else [stratum, size])).items():
         keep = F.when(F.col(stratum).eqNullSafe(F.lit(value)), h <= F.lit(_highest(bound, n)).cast("bigint")).otherwise(keep)
     return rows.where(keep)

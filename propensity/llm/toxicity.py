@@ -9,8 +9,10 @@ discounted share of its first word plus the backoff weight times the pooled
 bigram, in the proportion of the class's word to the pooled word. So an expression that one class never showed costs that class only
 the shared probability, a rare one is smoothed toward how its prefix behaves,
 and what both classes never showed says nothing. Discounts
-are absolute, by count 1, 2 and 3 or more; counts are of distinct texts, and
-lower orders use continuation counts (distinct words before) of both classes.
+are absolute, by count 1, 2 and 3 or more, estimated from counts of counts and
+then raised as far as makes the labels of texts kept out of the counts likeliest
+(few toxic texts make one text's words too telling); counts are of distinct texts,
+and lower orders use continuation counts (distinct words before) of both classes.
 
 A text's log-likelihood ratio is normalised by length twice: over the whole
 text, and over the most toxic run of ``run_words`` words, because a few words
@@ -18,9 +20,9 @@ decide in a long text. A logistic curve of both and of the logarithm of the
 text's words (a longer text has more runs to choose the worst from), fitted on
 training texts that were kept out of the counts, gives a score in 0 to 1.
 
-Learning reads at most about ``max_rows`` labelled texts of each class (a
-seeded sample, the bound is a parameter; a class with fewer is taken whole),
-so the model has a bounded size whatever the corpus and can be broadcast;
+Learning reads at most about ``max_rows`` labelled texts and ``max_chars``
+characters of each class (a seeded sample of whole texts, the bounds are
+parameters; a class with fewer is taken whole), so the model has a bounded size whatever the corpus and can be broadcast;
 every text is scored whole. Labels, language, source and id are never inputs.
 
 A null or empty text, or one without words, has ratio 0 in both features.
@@ -71,7 +73,8 @@ def text_keys(data: np.ndarray, offsets: np.ndarray):
 class Model:
     """Log-likelihood ratios, toxic against ordinary: of known bigrams, of
     known words (and of their backoff weights as contexts), of known
-    prefixes, and of the backoff weights below words and below prefixes."""
+    prefixes, and of the backoff weights below words and below prefixes; the
+    discounts' strength and the loss of the labels kept out of the counts."""
     pair_keys: np.ndarray
     pair_ratio: np.ndarray
     word_keys: np.ndarray
@@ -82,6 +85,8 @@ class Model:
     backoff: tuple = (0.0, 0.0)
     curve: tuple = (0.0, 0.0, 0.0, 0.0)
     constant: float | None = None
+    strength: float = 1.0
+    loss: float = 0.0
 
     def tables(self):
         if not hasattr(self, "_tables"):
@@ -125,42 +130,46 @@ class Model:
         return mean, best, np.log1p(n)
 
 
-#: Absolute discounts for counts 1, 2 and 3 or more. The usual estimates from
-#: counts of counts (about 0.8, 1.2, 1.5) suit prediction; here a word that a
-#: class showed in one text only must not decide, so they are set higher.
-DISCOUNTS = np.array([0.0, 1.0, 1.9, 2.75])
+#: What a discount may take at most of counts 1, 2 and 3 or more.
+MOST = np.array([0.0, 1.0, 1.9, 2.75])
 
+#: How far discounts are moved from the estimate towards the most; training
+#: takes the one under which texts kept out of the counts have their labels likeliest.
+STRENGTHS = (1.0, 0.75, 0.5, 0.25, 0.0)
 
-def _discount(counts: np.ndarray) -> np.ndarray:
-    return DISCOUNTS[np.minimum(counts, 3).astype(int)]
 
+def _discount(counts: np.ndarray, strength: float) -> np.ndarray:
+    """Each count's absolute discount, by count 1, 2 and 3 or more: the
+    modified Kneser-Ney estimate from how many counts are 1, 2, 3 and 4 (where
+    none has a count, its share of all is taken off in proportion), moved
+    towards the most by ``strength``."""
+    n = np.bincount(np.minimum(counts, 5).astype(int), minlength=6).astype(float)
+    common = n[1] / max(n[1] + 2 * n[2], 1)
+    d = [0.0] + [k - (k + 1) * common * n[k + 1] / n[k] if n[k] else k * common for k in (1, 2, 3)]
+    d = np.clip(d, 0, MOST)
+    return (d + strength * (MOST - d))[np.minimum(counts, 3).astype(int)]
 
-def _beyond_discount(counts: DataFrame) -> DataFrame:
-    """Counts without the bigrams of one text: its discount takes such a count
-    whole, in the class and in both pooled, so the bigram has exactly the ratio
-    that the backoff gives to one the model does not hold."""
-    return counts.where(f"kind != 2 or toxic + ordinary > {int(DISCOUNTS[1])}")
 
-
-def _discounted(counts: np.ndarray) -> tuple[np.ndarray, float]:
+def _discounted(counts: np.ndarray, strength: float) -> tuple[np.ndarray, float]:
     """Discounted shares of the counts' sum, and what the discounts leave."""
-    d = _discount(counts)
+    d = _discount(counts, strength)
     total = max(counts.sum(), 1)
     share = np.maximum(counts - d, 0) / total
     return share, max(1 - share.sum(), 1e-9)
 
 
-def _context_shares(c: np.ndarray, words: np.ndarray, pairs: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _context_shares(c: np.ndarray, words: np.ndarray, pairs: np.ndarray, before: np.ndarray,
+                    strength: float) -> tuple[np.ndarray, np.ndarray]:
     """Each bigram's discounted share of its first word's count, and what
     that leaves for words not seen after it."""
-    d = _discount(c[pairs])
+    d = _discount(c[pairs], strength)
     share = np.maximum(c[pairs] - d, 0) / np.maximum(c[words][before], 1)
     taken = np.bincount(before, share, len(words))
     over = np.maximum(taken / 0.95, 1.0)  # several texts may share both words in more ways than the word has texts
-    return share / over[before], 1 - taken / over
+    return share / over[before], np.maximum(1 - taken / over, 1e-9)
 
 
-def _model(rows: dict) -> Model:
+def _model(rows: dict, strength: float) -> Model:
     """The model from count rows (kind, key, parent, word, toxic, ordinary):
     kind 0 a prefix; 1 a word (parent: its prefix); 2 a bigram (parent: the
     word before); 3 a word's number of distinct words before it (in toxic)."""
@@ -178,17 +187,17 @@ def _model(rows: dict) -> Model:
     pairs, before, last = (x[before >= 0] for x in (pairs, before, last))  # a text's first word has no context
     # the bigram both classes share: pooled shares, what is left by the pooled words
     pooled = counts.sum(0)
-    share, left = _discounted(pooled[words])
+    share, left = _discounted(pooled[words], strength)
     p_any = share + left * shared_prefix[of_prefix] * shared_word
-    share, left = _context_shares(pooled, words, pairs, before)
+    share, left = _context_shares(pooled, words, pairs, before, strength)
     p_any_pair = share + left[before] * p_any[last]
     logs = {"pair": [], "word": [], "context": [], "prefix": [], "backoff": []}
     for c in counts:
-        share, left_prefix = _discounted(c[prefixes])
+        share, left_prefix = _discounted(c[prefixes], strength)
         p_prefix = share + left_prefix * shared_prefix
-        share, left_word = _discounted(c[words])
+        share, left_word = _discounted(c[words], strength)
         p_word = share + left_word * p_prefix[of_prefix] * shared_word
-        share, left = _context_shares(c, words, pairs, before)
+        share, left = _context_shares(c, words, pairs, before, strength)
         p_pair = share + left[before] * p_any_pair * (p_word / p_any)[last]
         for name, p in (("pair", p_pair), ("word", p_word), ("context", left), ("prefix", p_prefix), ("backoff", np.array([left_word, left_prefix]))):
             logs[name].append(np.log(np.maximum(p, 1e-300)))
@@ -212,10 +221,17 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float =
     return tuple((w / scale).tolist())
 
 
+def _loss(x: np.ndarray, y: np.ndarray, weight: np.ndarray, curve: tuple) -> float:
+    """The weighted mean of the labels' negative log-likelihood (0 of no rows)."""
+    z = curve[0] + x @ np.array(curve[1:])
+    return float((weight * (np.logaddexp(0, z) - y * z)).sum() / weight.sum()) if len(y) else 0.0
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-          usable: Column | None = None, max_rows: int = 4096, run_words: int = 2, seed: int = 7) -> Model:
-    """The model from at most about ``max_rows`` labelled texts of each class;
-    ``usable`` (over ``labels``) says which labels may be learned from."""
+          usable: Column | None = None, max_rows: int = 4096, max_chars: int = 1 << 25, run_words: int = 2, seed: int = 7) -> Model:
+    """The model from labelled texts of each class, at most about ``max_rows``
+    ids and ``max_chars`` characters (whole texts by a seeded hash); ``usable``
+    (over ``labels``) says which labels may be learned from."""
     rows = labelled(labels.where(usable) if usable is not None else labels, label, id_col)
     rows = written(bounded_sample(rows, F.col(id_col), "y", max_rows, seed), "label-sample")
     found = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
@@ -227,6 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
         F.broadcast(rows.withColumnRenamed(id_col, "l_id")), F.col("id") == F.col("l_id")).select(
         "y", (F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.lit(4)) == 0).alias("held"), "text").dropDuplicates(["text", "y"])
     texts = written(texts, "labelled-texts")
+    texts = bounded_sample(texts, F.xxhash64("text"), "y", max_chars, seed, F.length("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter64(1 << 19)
@@ -261,19 +278,24 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     contexts = (counts.where("kind = 2").groupBy("word").agg(F.count(F.lit(1)).alias("toxic"))
                 .select(F.lit(3).alias("kind"), F.col("word").alias("key"), F.lit(0).cast("bigint").alias("parent"), "word", "toxic",
                         F.lit(0).cast("bigint").alias("ordinary")))
-    table = _beyond_discount(counts).unionByName(contexts).toArrow()
+    table = counts.unionByName(contexts).toArrow()
     rows = {c: table.column(c).to_numpy() for c in table.column_names}
-    model = _model(rows)
-    scored = _features(texts.where("held").select("y", "text"), "y", "text", model, run_words).toArrow()
-    y = scored.column("y").to_numpy().astype(float)
-    x = np.column_stack([scored.column(c).to_numpy() for c in ("mean", "best", "log_words")])
     # each class by its share of the labels, not of the sample
     share = {r[0]: r[1] for r in labelled(labels.where(usable) if usable is not None else labels, label, id_col)
              .groupBy("y").count().collect()}
-    weight = np.where(y == 1, share[1] / max((y == 1).sum(), 1), share[0] / max((y == 0).sum(), 1))
-    weight = weight * len(y) / weight.sum() if len(y) else weight
-    model.curve = _fit_curve(x, y, weight)
-    return model
+    best = None
+    for strength in STRENGTHS:
+        model = _model(rows, strength)
+        scored = _features(texts.where("held").select("y", "text"), "y", "text", model, run_words).toArrow()
+        y = scored.column("y").to_numpy().astype(float)
+        x = np.column_stack([scored.column(c).to_numpy() for c in ("mean", "best", "log_words")])
+        weight = np.where(y == 1, share[1] / max((y == 1).sum(), 1), share[0] / max((y == 0).sum(), 1))
+        weight = weight * len(y) / weight.sum() if len(y) else weight
+        model.curve, model.strength = _fit_curve(x, y, weight), strength
+        model.loss = _loss(x, y, weight, model.curve)
+        if best is None or model.loss < best.loss:
+            best = model
+    return best
 
 
 def _features(rows: DataFrame, key: str, text: str, model: Model, run_words: int) -> DataFrame:

@@ -87,3 +87,32 @@ def test_labels_missing_or_of_one_class(spark):
     for rows, ok in (([], lambda s: s == 0.5), ([(1, 1, 0), (None, 0, 0), (2, None, 0)], lambda s: s > 0.5), ([(1, 0, 1)], lambda s: s < 0.5)):
         w = Q.train(docs, spark.createDataFrame(rows, LABELS), bits=8)
         assert ok(Q.score(docs, w).where("doc_id = 1").first().score)
+
+
+def test_sample_is_bounded_by_rows_not_ids(spark, monkeypatch):
+    """Three labelled ids with thousands of texts each, every row twice."""
+    rows = [(i % 3, f"word{i % 7} number{i} " * 3, 0.0, 1, "c") for i in range(6000)]
+    d = spark.createDataFrame(rows + rows, DOCS)
+    sizes = {}
+    keep = Q.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(Q, "written", counted)
+    Q.train(d, spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, 1, 0)], LABELS), max_rows=300, bits=10, rounds=1)
+    assert sizes["labelled-texts"] == 6000 and 200 < sizes["labelled-features"] < 400
+
+
+def test_scores_are_the_logistic_of_plain_sums(spark, fitted):
+    _, d, w = fitted
+    bits = (len(w) - 1).bit_length() - 1
+    for r in d.join(Q.score(d, w).withColumnRenamed("doc_id", "s_id").withColumnRenamed("score", "got"),
+                    F.col("doc_id") == F.col("s_id")).where("doc_id < 40").select("text", "got").collect():
+        _, data, offsets = next(iter(text_blocks(pa.array([r.text]))))
+        first, idx, val = Q.features(data, offsets, bits)
+        z = float(w[-1])
+        for i, v in zip(idx[:first[1]].tolist(), val[:first[1]].tolist(), strict=True):
+            z += float(w[i]) * v
+        assert r.got == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-5)

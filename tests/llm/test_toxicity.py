@@ -98,14 +98,37 @@ def test_bigrams_of_few_texts_have_counts_of_their_own(spark):
     assert with_pair > m.word_ratios(word, prefix, before, ~pair)[1] + 0.5
 
 
-def test_bigrams_left_to_the_backoff_change_nothing(spark, monkeypatch):
-    docs, labels, _ = corpus(4, 300)
+def test_discounts_are_estimated_from_counts_of_counts():
+    counts = np.array([0.0] * 5 + [1.0] * 50 + [2.0] * 20 + [3.0] * 10 + [4.0] * 5 + [9.0] * 3)
+    common = 50 / (50 + 2 * 20)
+    want = {0: 0.0, 1: 1 - 2 * common * 20 / 50, 2: 2 - 3 * common * 10 / 20, 3: 3 - 4 * common * 5 / 10}
+    for strength in (0.0, 0.5, 1.0):
+        got = X._discount(counts, strength)
+        for n, d in zip(counts, got, strict=True):
+            k = min(int(n), 3)
+            assert d == pytest.approx(want[k] + strength * (X.MOST[k] - want[k]))
+    for few in ([], [7.0], [1.0], [2.0, 2.0], [1.0, 3.0]):
+        d = X._discount(np.array(few), 0.0)
+        assert (d >= 0).all() and (d <= np.array(few)).all()
+
+
+def test_the_strength_of_least_loss_is_taken(spark, monkeypatch):
+    docs, labels, _ = corpus(4, 400)
     docs = [(r[0], f"{r[1]} once{r[0]} said{r[0] % 90}", *r[2:]) for r in docs]
     d, lab = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
-    some = X.train(d, lab)
-    monkeypatch.setattr(X, "_beyond_discount", lambda counts: counts)
-    every = X.train(d, lab)
-    assert len(every.pair_keys) > len(some.pair_keys) > 0 and every.curve == pytest.approx(some.curve, rel=1e-3)
-    data = np.frombuffer(" ".join(r[1] for r in docs).encode(), np.uint8)
-    parts = X.text_keys(data, np.array([0, len(data)]))[:4]
-    assert np.allclose(some.word_ratios(*parts), every.word_ratios(*parts), atol=1e-5)
+    chosen = X.train(d, lab)
+    losses = {}
+    for strength in X.STRENGTHS:
+        monkeypatch.setattr(X, "STRENGTHS", (strength,))
+        losses[strength] = X.train(d, lab).loss
+    assert chosen.loss == pytest.approx(min(losses.values()), rel=1e-6) and losses[chosen.strength] == pytest.approx(chosen.loss, rel=1e-6)
+    assert len(set(losses.values())) > 1
+
+
+def test_sample_is_bounded_by_characters(spark):
+    """Long texts of few ids: rows alone would not bound what is counted."""
+    docs, labels, _ = corpus(5, 400)
+    d = spark.createDataFrame([(r[0], f"{r[1]} " * 10, *r[2:]) for r in docs], DOCS)
+    lab = spark.createDataFrame(labels, LABELS)
+    every, some = X.train(d, lab), X.train(d, lab, max_chars=20_000)
+    assert 0 < len(some.pair_keys) < len(every.pair_keys) / 2
