@@ -10,7 +10,8 @@ and read again as the next one's input.
 3. decontamination: documents that share a window with the benchmark go.
 4. mixing: sources are mixed to their targets; a document appears as often as
    the mix takes it, in training order (one document of a source may be cut).
-5. packing: token ids in packed rows.
+5. packing: token ids in packed rows, written as id matrices with their lengths
+   and resets beside them, and read back.
 
 Null and empty texts pass stages 1 to 3 (as one group in stage 2) and are not
 taken by the mix, having no words. An empty table gives an empty result.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.llm import mixing, packing, simhash, toxicity, winnowing
-from propensity.llm.tables import fold_of, table, written
+from propensity.llm.tables import fold_of, scratch, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -47,7 +48,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs, row_tokens=2048, tokenizer=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    path = scratch(spark, "packed")
+    packing.write_packed(docs, path, row_tokens=2048, tokenizer=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.read_packed(spark, path)
 
 
 STAGES = [("toxicity", toxicity_filter), ("near_dedup", near_dedup), ("decontamination", decontamination),
