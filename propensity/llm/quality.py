@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .ragged import LOWER, mix, span_keys, spans, text_blocks
-from .tables import bounded_sample, labelled, written
+from .tables import bounded_sample, highest_kept, labelled, written
 
 BITS = 18
 
@@ -119,8 +119,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     # the sample has a bounded number of rows, so it is broadcast to the texts
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(rows), F.col("id") == F.col("l_id"))
     h = F.xxhash64("id", "text", F.lit(seed))
-    texts = written(texts.select("id", "text", "y", h.alias("turn"), F.lit(1).alias("all")).dropDuplicates(["id", "turn"]), "labelled-texts")
-    texts = bounded_sample(texts, F.col("turn"), "all", max_rows, seed)
+    texts = texts.select("text", "y", h.alias("turn"))
+    n_rows, n_texts = texts.agg(F.count("turn"), F.count_distinct("turn")).first()  # hashes only: no text moves
+    texts = texts.where(F.xxhash64("turn", F.lit(seed)) <= F.lit(highest_kept(max_rows, n_texts)).cast("bigint"))
+    if n_rows > n_texts:
+        texts = texts.dropDuplicates(["turn"])
     slot = 1 << bits
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,7 +74,7 @@ def _sizes(rows: DataFrame, stratum: str, size: Column | None = None) -> dict:
     return {r[0]: r[1] for r in rows.groupBy(stratum).agg(n).collect()}
 
 
-def _highest(bound: int, n: int) -> int:
+def highest_kept(bound: int, n: int) -> int:
     """The highest of the signed 64-bit hashes that a sample of ``bound`` of
     ``n`` rows takes: a share of bound / n of them, however small."""
     return (1 << 63) - 1 if n <= bound else (bound << 64) // n - (1 << 63) - 1
@@ -89,5 +89,5 @@ def bounded_sample(rows: DataFrame, key: Column, stratum: str, bound: int, seed:
     ``stratum`` must have few values (classes, languages)."""
     h, keep = F.xxhash64(key, F.lit(seed)), F.lit(False)
     for value, n in _sizes(rows, *([stratum] if size is None else [stratum, size])).items():
-        keep = F.when(F.col(stratum).eqNullSafe(F.lit(value)), h <= F.lit(_highest(bound, n)).cast("bigint")).otherwise(keep)
+        keep = F.when(F.col(stratum).eqNullSafe(F.lit(value)), h <= F.lit(highest_kept(bound, n)).cast("bigint")).otherwise(keep)
     return rows.where(keep)

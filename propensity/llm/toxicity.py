@@ -11,7 +11,8 @@ the shared probability, a rare one is smoothed toward how its prefix behaves,
 and what both classes never showed says nothing. Discounts
 are absolute, by count 1, 2 and 3 or more, estimated from counts of counts and
 then raised as far as makes the labels of texts kept out of the counts likeliest
-(few toxic texts make one text's words too telling); counts are of distinct texts,
+(few toxic texts make one text's words too telling; bigrams, rarer still, have
+the most: a bigram of one text is left to its words); counts are of distinct texts,
 and lower orders use continuation counts (distinct words before) of both classes.
 
 A text's log-likelihood ratio is normalised by length twice: over the whole
@@ -133,7 +134,7 @@ class Model:
 #: What a discount may take at most of counts 1, 2 and 3 or more.
 MOST = np.array([0.0, 1.0, 1.9, 2.75])
 
-#: How far discounts are moved from the estimate towards the most; training
+#: How far discounts of words and prefixes are moved from the estimate towards the most; training
 #: takes the one under which texts kept out of the counts have their labels likeliest.
 STRENGTHS = (1.0, 0.75, 0.5, 0.25, 0.0)
 
@@ -150,6 +151,14 @@ def _discount(counts: np.ndarray, strength: float) -> np.ndarray:
     return (d + strength * (MOST - d))[np.minimum(counts, 3).astype(int)]
 
 
+def _beyond_discount(counts: DataFrame) -> DataFrame:
+    """Counts without the bigrams of one text: their discount is the most in
+    both classes and in both pooled and takes such a count whole, so the bigram
+    has exactly the ratio that the backoff gives to one the model does not hold.
+    They are most of all bigrams and would fill the driver."""
+    return counts.where(f"kind != 2 or toxic + ordinary > {int(MOST[1])}")
+
+
 def _discounted(counts: np.ndarray, strength: float) -> tuple[np.ndarray, float]:
     """Discounted shares of the counts' sum, and what the discounts leave."""
     d = _discount(counts, strength)
@@ -158,15 +167,14 @@ def _discounted(counts: np.ndarray, strength: float) -> tuple[np.ndarray, float]
     return share, max(1 - share.sum(), 1e-9)
 
 
-def _context_shares(c: np.ndarray, words: np.ndarray, pairs: np.ndarray, before: np.ndarray,
-                    strength: float) -> tuple[np.ndarray, np.ndarray]:
+def _context_shares(c: np.ndarray, words: np.ndarray, pairs: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each bigram's discounted share of its first word's count, and what
     that leaves for words not seen after it."""
-    d = _discount(c[pairs], strength)
+    d = _discount(c[pairs], 1.0)
     share = np.maximum(c[pairs] - d, 0) / np.maximum(c[words][before], 1)
     taken = np.bincount(before, share, len(words))
     over = np.maximum(taken / 0.95, 1.0)  # several texts may share both words in more ways than the word has texts
-    return share / over[before], np.maximum(1 - taken / over, 1e-9)
+    return share / over[before], 1 - taken / over
 
 
 def _model(rows: dict, strength: float) -> Model:
@@ -189,7 +197,7 @@ def _model(rows: dict, strength: float) -> Model:
     pooled = counts.sum(0)
     share, left = _discounted(pooled[words], strength)
     p_any = share + left * shared_prefix[of_prefix] * shared_word
-    share, left = _context_shares(pooled, words, pairs, before, strength)
+    share, left = _context_shares(pooled, words, pairs, before)
     p_any_pair = share + left[before] * p_any[last]
     logs = {"pair": [], "word": [], "context": [], "prefix": [], "backoff": []}
     for c in counts:
@@ -197,7 +205,7 @@ def _model(rows: dict, strength: float) -> Model:
         p_prefix = share + left_prefix * shared_prefix
         share, left_word = _discounted(c[words], strength)
         p_word = share + left_word * p_prefix[of_prefix] * shared_word
-        share, left = _context_shares(c, words, pairs, before, strength)
+        share, left = _context_shares(c, words, pairs, before)
         p_pair = share + left[before] * p_any_pair * (p_word / p_any)[last]
         for name, p in (("pair", p_pair), ("word", p_word), ("context", left), ("prefix", p_prefix), ("backoff", np.array([left_word, left_prefix]))):
             logs[name].append(np.log(np.maximum(p, 1e-300)))
@@ -278,7 +286,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     contexts = (counts.where("kind = 2").groupBy("word").agg(F.count(F.lit(1)).alias("toxic"))
                 .select(F.lit(3).alias("kind"), F.col("word").alias("key"), F.lit(0).cast("bigint").alias("parent"), "word", "toxic",
                         F.lit(0).cast("bigint").alias("ordinary")))
-    table = counts.unionByName(contexts).toArrow()
+    table = _beyond_discount(counts).unionByName(contexts).toArrow()
     rows = {c: table.column(c).to_numpy() for c in table.column_names}
     # each class by its share of the labels, not of the sample
     share = {r[0]: r[1] for r in labelled(labels.where(usable) if usable is not None else labels, label, id_col)

@@ -102,7 +102,7 @@ def test_sample_is_bounded_by_rows_not_ids(spark, monkeypatch):
         return out
     monkeypatch.setattr(Q, "written", counted)
     Q.train(d, spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, 1, 0)], LABELS), max_rows=300, bits=10, rounds=1)
-    assert sizes["labelled-texts"] == 6000 and 200 < sizes["labelled-features"] < 400
+    assert 200 < sizes["labelled-features"] < 400
 
 
 def test_scores_are_the_logistic_of_plain_sums(spark, fitted):

@@ -6,7 +6,7 @@ from propensity.llm import tables
 
 @pytest.mark.parametrize("n", [1, 2000, 2001, 10 ** 6, 3 * 10 ** 9, 10 ** 13, 10 ** 15])
 def test_expected_sample_is_the_bound_at_any_size(n):
-    share = (tables._highest(2000, n) + 1 + (1 << 63)) / (1 << 64)
+    share = (tables.highest_kept(2000, n) + 1 + (1 << 63)) / (1 << 64)
     assert share * n == pytest.approx(min(n, 2000), rel=1e-6)
 
 
