@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,14 +138,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
 
     sample = written(texts.select(F.pmod("turn", F.lit(shards)).cast("int").alias("shard"), "turn", "y", "text")
                      .mapInArrow(featurise, "shard int, turn bigint, y int, idx array<int>, val array<float>"), "labelled-features")
+    # every round reads the same shards, so they are exchanged once and kept (lost ones are read again from the table)
+    sample = sample.repartition(shards, "shard").persist(StorageLevel.MEMORY_AND_DISK)
     z, n = np.zeros(slot + 1), np.zeros(slot + 1)
-    for _ in range(rounds):
-        learn = _learner(sample.sparkSession.sparkContext.broadcast((z, n)), slot, alpha, beta, l1, l2)
-        # a few states of fixed size come back, one a shard
-        states = sample.groupBy("shard").applyInPandas(learn, "z binary, n binary").collect()
-        if not states:
-            break
-        z, n = (np.mean([np.frombuffer(s[k], "<f8") for s in states], axis=0) for k in ("z", "n"))
+    try:
+        for _ in range(rounds):
+            learn = _learner(sample.sparkSession.sparkContext.broadcast((z, n)), slot, alpha, beta, l1, l2)
+            # a few states of fixed size come back, one a shard
+            states = sample.groupBy("shard").applyInPandas(learn, "z binary, n binary").collect()
+            if not states:
+                break
+            z, n = (np.mean([np.frombuffer(s[k], "<f8") for s in states], axis=0) for k in ("z", "n"))
+    finally:
+        sample.unpersist()
     return weights(z, n, alpha, beta, l1, l2).astype(np.float32)
 
 
