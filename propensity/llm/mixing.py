@@ -24,8 +24,9 @@ all rows is never one task. Tables of sources and of buckets are the only
 ones summed in order over more than a bucket.
 
 Null text has no words; documents without words take none. A null id or
-source is kept (null sources form the last source). Repeated rows count as
-documents of their own. An empty table gives an empty result. Extra columns
+source is kept (null sources form the last source). The layout's hash is of id
+and text, so texts under one id, or under none, are spread too. Repeated rows
+count as documents of their own and lie side by side. An empty table gives an empty result. Extra columns
 are carried only if named in ``keep``.
 """
 
@@ -86,20 +87,25 @@ def source_targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS,
                     F.least(F.col("cap"), F.coalesce(F.col("final") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+def layout_hash(id: Column, text: Column, seed: int) -> Column:
+    """The seeded hash that orders a source's documents."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.md5(text), F.lit(""))))
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          keep: Sequence[str] = (), weights: Sequence[float] = WEIGHTS, start_density: Sequence[float] = START_DENSITY,
          max_passes: int = 3, bucket_rows: int = 4096, seed: int = 17) -> DataFrame:
     """(id, source, size, source_size, density, target, quota, offset, taken,
     kept columns as struct ``row``): one row per document."""
-    size = written(docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"),
+    h = layout_hash(F.col(id_col), F.col(text_col), seed).alias("h")
+    size = written(docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"), h,
                                F.xxhash64(text_col).alias("th"), word_count(F.col(text_col)).alias("size")), "sizes")
     targets = written(source_targets(size, weights, start_density, max_passes), "targets")
     with_target = lambda rows: (
         rows.join(broadcast_if_bounded(targets.withColumnRenamed("source", "t_source"), 100_000),
                   F.col("source").eqNullSafe(F.col("t_source")), "inner").drop("t_source"))
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     # buckets are ranges of the hash, so the layout's order is the hash's order
-    high = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    high = F.conv(F.substring("h", 1, 8), 16, 10).cast("bigint")
     bucket = F.shiftright(high * F.ceil(F.col("n_docs") / F.lit(bucket_rows)), 32)
     sums = with_target(size).withColumn("bucket", bucket).groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,11 +114,11 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     starts = sums.select(key.alias("b_key"), F.col("bucket").alias("b_bucket"),
                          F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("bucket_start"))
     if keep:
-        rows = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
+        rows = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"), h, F.xxhash64(text_col).alias("th"),
                            word_count(F.col(text_col)).alias("size"), F.struct(*keep).alias("row"))
     else:
         rows = size.withColumn("row", F.lit(None).cast("struct<none:int>"))
-    rows = with_target(rows).withColumn("h", h).withColumn("bucket", bucket).withColumn("key", key)
+    rows = with_target(rows).withColumn("bucket", bucket).withColumn("key", key)
     rows = rows.join(starts, (F.col("key") == F.col("b_key")) & (F.col("bucket") == F.col("b_bucket")))
     within = (Window.partitionBy("key", "bucket").orderBy("h", "id", "size", "th")
               .rowsBetween(Window.unboundedPreceding, -1))

@@ -40,7 +40,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')) AS h
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight FROM s),
@@ -48,16 +48,20 @@ c AS (SELECT *, source_size * 3.0 AS cap, source_size * 3.0 / weight AS ratio FR
 l AS (SELECT *, (sum(source_size) OVER () - (sum(cap) OVER o - cap)) / (sum(weight) OVER () - sum(weight) OVER o + weight) AS level
       FROM c WINDOW o AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 f AS (SELECT arg_min(level, ratio) AS level FROM l WHERE ratio >= level - abs(level) * 1e-12),
-t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM f) * weight, cap)) AS target FROM c),
+t AS (SELECT source, source_size, 2 - weight / 2 AS a, least(cap, coalesce((SELECT level FROM f) * weight, cap)) AS target FROM c),
 q AS (SELECT *, CAST(floor(target) AS BIGINT) AS quota FROM t),
-x AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota, d.source,
-             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, size, source_size, round(target, 4) AS target,
-       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (quota // source_size) * size
-            + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken
-FROM x"""
+x AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota, q.a,
+             CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+y AS (SELECT *, CAST(CASE WHEN source_size = 0 THEN 0 ELSE (quota // source_size) * size
+                     + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken,
+             CASE WHEN quota > 0 THEN CAST(start AS DOUBLE) / quota END AS u FROM x)
+SELECT doc_id, size, source_size, round(target, 4) AS target, taken,
+       -- the first copy starts where the demand a t + (1 - a) t^2 has reached the words before it
+       CASE WHEN taken > 0 THEN round(CASE WHEN a = 1 THEN u WHEN u = 0 THEN 0.0
+            ELSE 2 * u / (a + sqrt(a * a + 4 * (1 - a) * u)) END, 9) END AS first_position
+FROM y"""
 
 
 @query("op2_mixing", OP2_SQL)
@@ -69,7 +73,8 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     used = copies.groupBy(*doc).agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
     unused = planned.where("taken = 0").select(*doc, "taken", F.lit(None).cast("double").alias("first_position"))
     out = used.unionByName(unused).orderBy(F.col("first_position").asc_nulls_last(), "id")
-    return out.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 4).alias("target"), "taken")
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 4).alias("target"), "taken",
+                      F.round("first_position", 9).alias("first_position"))
 
 
 @query("op3_class_lm")

@@ -132,9 +132,28 @@ def test_query_deals_the_copies(spark, monkeypatch):
     assert sum(parts, []) == sorted(sum(parts, []))
     assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count() and {r.doc_id: r.taken for r in got if r.taken} == dict(taken)
     order = [first.get(r.doc_id, 2.0) for r in got]
+    assert all(r.first_position == pytest.approx(first.get(r.doc_id), abs=1e-9) for r in got)
     assert order == sorted(order) and len(set(order)) > 10
 
 
+def test_texts_without_an_id_are_spread(spark):
+    """A third of all rows without an id, and a third under one id, fall into buckets like any others."""
+    docs = spark.createDataFrame([(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " * (i % 5), "a", 1, "", 0)
+                                  for i in range(900)] + [(None, None, "a", 1, "", 0)] * 2, SCHEMA)
+    hashes = docs.select("doc_id", M.layout_hash(F.col("doc_id"), F.col("text"), 17).alias("h"))
+    top = hashes.groupBy(F.substring("h", 1, 1).alias("range")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(top) == 16 and max(r.n for r in top) < 250
+    plan = M.plan(docs, bucket_rows=16).collect()
+    assert len(plan) == 902 and sum(r.taken for r in plan) == plan[0].quota
+
+
+def test_long_text(spark):
+    docs = spark.createDataFrame([(1, "word " * 300_000, "a", 1, "", 0), (2, "b c", "b", 1, "", 0)], SCHEMA)
+    got = {r.id: r for r in M.plan(docs).collect()}
+    assert got[1].size == 300_000 and got[1].taken == 300_002 - 6 and got[2].taken == 6
+    assert sorted(len(r.text.split()) for r in M.mixed(docs).collect() if r.doc_id == 1) == [299_996]
+
+
 def test_empty_and_wordless(spark):
     assert M.plan(spark.createDataFrame([], SCHEMA)).count() == 0
     none = spark.createDataFrame([(1, None, "a", 0, "", 0), (2, " ", None, 0, "", 0)], SCHEMA)
