@@ -29,8 +29,9 @@ every text is scored whole. Labels, language, source and id are never inputs.
 A null or empty text, or one without words, has ratio 0 in both features.
 Null ids are scored. Repeated rows each get their score; repeated or
 conflicting label rows are merged by majority. With no labelled texts, or one
-class only, every score is the share of toxic labels (0 if there are none). An
-empty table gives an empty result. Columns other than id and text are ignored.
+class only, every score is the share of toxic labels (0 if there are none). If
+the texts kept out of the counts lack a class (few labels), the curve is fitted
+on all labelled texts. An empty table gives an empty result. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -213,6 +214,12 @@ def _model(rows: dict, strength: float) -> Model:
     return Model(key[pairs], r["pair"], key[words], r["word"], r["context"], key[prefixes], r["prefix"], tuple(r["backoff"].tolist()))
 
 
+def _constant(score: float) -> Model:
+    """Gives every text the same score."""
+    empty = np.empty(0, np.uint64), np.empty(0, np.float32)
+    return Model(*empty, *empty, empty[1], *empty, constant=score)
+
+
 def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.02) -> tuple:
     """Logistic regression of a few columns by Newton steps with a ridge."""
     a = np.column_stack([np.ones(len(x)), x])
@@ -230,9 +237,9 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float =
 
 
 def _loss(x: np.ndarray, y: np.ndarray, weight: np.ndarray, curve: tuple) -> float:
-    """The weighted mean of the labels' negative log-likelihood (0 of no rows)."""
+    """The weighted mean of the labels' negative log-likelihood."""
     z = curve[0] + x @ np.array(curve[1:])
-    return float((weight * (np.logaddexp(0, z) - y * z)).sum() / weight.sum()) if len(y) else 0.0
+    return float((weight * (np.logaddexp(0, z) - y * z)).sum() / weight.sum())
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
@@ -244,14 +251,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     rows = written(bounded_sample(rows, F.col(id_col), "y", max_rows, seed), "label-sample")
     found = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
     if len(found) < 2:
-        empty = np.empty(0, np.uint64), np.empty(0, np.float32)
-        return Model(*empty, *empty, empty[1], *empty, constant=float(next(iter(found), 0)))
+        return _constant(float(next(iter(found), 0)))
     # the sample has a bounded number of rows, so it is broadcast to the texts
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(rows.withColumnRenamed(id_col, "l_id")), F.col("id") == F.col("l_id")).select(
         "y", (F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.lit(4)) == 0).alias("held"), "text").dropDuplicates(["text", "y"])
     texts = written(texts, "labelled-texts")
     texts = bounded_sample(texts, F.xxhash64("text"), "y", max_chars, seed, F.length("text"))
+    # each class by its share of the labels, not of the sample
+    share = {r[0]: r[1] for r in labelled(labels.where(usable) if usable is not None else labels, label, id_col)
+             .groupBy("y").count().collect()}
+    kept = {(r[0], r[1]) for r in texts.select("y", "held").distinct().collect()}
+    if len({y for y, _ in kept}) < 2:
+        return _constant(share[1] / (share[0] + share[1]))
+    curve_texts = texts.where("held") if {(0, True), (1, True)} <= kept else texts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter64(1 << 19)
@@ -288,17 +301,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
                         F.lit(0).cast("bigint").alias("ordinary")))
     table = _beyond_discount(counts).unionByName(contexts).toArrow()
     rows = {c: table.column(c).to_numpy() for c in table.column_names}
-    # each class by its share of the labels, not of the sample
-    share = {r[0]: r[1] for r in labelled(labels.where(usable) if usable is not None else labels, label, id_col)
-             .groupBy("y").count().collect()}
     best = None
     for strength in STRENGTHS:
         model = _model(rows, strength)
-        scored = _features(texts.where("held").select("y", "text"), "y", "text", model, run_words).toArrow()
+        scored = _features(curve_texts.select("y", "text"), "y", "text", model, run_words).toArrow()
         y = scored.column("y").to_numpy().astype(float)
         x = np.column_stack([scored.column(c).to_numpy() for c in ("mean", "best", "log_words")])
         weight = np.where(y == 1, share[1] / max((y == 1).sum(), 1), share[0] / max((y == 0).sum(), 1))
-        weight = weight * len(y) / weight.sum() if len(y) else weight
+        weight = weight * len(y) / weight.sum()
         model.curve, model.strength = _fit_curve(x, y, weight), strength
         model.loss = _loss(x, y, weight, model.curve)
         if best is None or model.loss < best.loss:

@@ -145,3 +145,20 @@ def test_bigrams_left_to_the_backoff_change_nothing(spark, monkeypatch):
     data = np.frombuffer(" ".join(r[1] for r in docs).encode(), np.uint8)
     parts = X.text_keys(data, np.array([0, len(data)]))[:4]
     assert np.allclose(some.word_ratios(*parts), every.word_ratios(*parts), atol=1e-5)
+
+
+def test_few_labelled_texts_and_labels_without_texts(spark):
+    """Labels whose documents are gone, or a handful of texts of which one side holds none of a class."""
+    labels = spark.createDataFrame([(i, 1 if i % 4 == 0 else 0) for i in range(40)], "doc_id bigint, toxic int")
+    none = spark.createDataFrame([(100, "some words"), (101, None)], "doc_id bigint, text string")
+    assert [r.score for r in X.score(none, X.train(none, labels)).collect()] == [0.25, 0.25]
+    assert X.score(none.where("false"), X.train(none.where("false"), labels)).count() == 0
+    for n in (1, 2, 5, 9):
+        docs = spark.createDataFrame([(i, f"foul slur{i} words" if i % 4 == 0 else f"plain text{i} here") for i in range(n)],
+                                     "doc_id bigint, text string")
+        got = {r.doc_id: r.score for r in X.score(docs, X.train(docs, labels)).collect()}
+        assert len(got) == n and all(0 <= s <= 1 for s in got.values())
+        assert n < 5 or min(got[0], got[4]) > max(got[1], got[2], got[3])
+    blank = spark.createDataFrame([(i, " ." * i) for i in range(8)], "doc_id bigint, text string")
+    got = [r.score for r in X.score(blank, X.train(blank, labels)).collect()]
+    assert len(got) == 8 and all(0 <= s < 0.5 for s in got)
