@@ -132,7 +132,40 @@ def _unit_bigrams(docs: DataFrame, head_keys: np.ndarray, shapes: int) -> DataFr
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
-    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+#: Counts up to this have their gains looked up, as most of a unit's counts with one class are small.
+SMALL = 32
+#: Units whose moves are worked out together.
+TOGETHER = 64
+
+
+def _grown(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return _xlogx(x + n) - _xlogx(x)
+
+
+def _side(pairs: np.ndarray, small: np.ndarray, own: np.ndarray, after: np.ndarray, before: np.ndarray, self_n: np.ndarray) -> np.ndarray:
+    """What row b of ``pairs`` gains if the counts ``after`` join it, for each
+    unit and class b. The unit is first taken out of its own class: only that
+    class's row and column differ from ``pairs``."""
+    i = np.arange(len(own))
+    others = after.copy()
+    others[i, own] = 0
+    unit, cls = np.nonzero(others)
+    n = others[unit, cls].astype(np.int64)
+    terms = small[np.minimum(n, SMALL) - 1, cls]
+    large = n > SMALL
+    terms[large] = _grown(pairs[:, cls[large]].T, n[large, None])
+    out = np.zeros_like(after)
+    first = np.flatnonzero(np.diff(unit, prepend=-1))
+    if len(first):
+        out[unit[first]] = np.add.reduceat(terms, first, axis=0)
+    out += _grown(pairs[:, own].T - before, after[i, own][:, None])
+    row = pairs[own] - after
+    row[i, own] -= before[i, own] + self_n
+    out[i, own] = _grown(row, after).sum(1)
+    return out
 
 
 def best_classes(pairs: np.ndarray, units: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, self_n: np.ndarray) -> np.ndarray:
@@ -140,33 +173,26 @@ def best_classes(pairs: np.ndarray, units: np.ndarray, own: np.ndarray, left: np
     classes; ``left`` and ``right`` hold the unit's counts with the classes
     before and after it, ``self_n`` with itself. Class 0 is the border's."""
     out = own.copy()
-    xlogx = lambda x: x * np.log(np.maximum(x, 1e-300))  # noqa: E731  (counts are whole numbers from 0 on)
-    all_f, row_n, col_n = xlogx(pairs), pairs.sum(1), pairs.sum(0)
-    for i in range(len(units)):
-        a, s = own[i], self_n[i]
-        lt, rt = left[i].copy(), right[i].copy()
-        lt[a] -= s
-        rt[a] -= s
-        base = pairs.copy()
-        base[a, :] -= rt
-        base[:, a] -= lt
-        base[a, a] -= s
-        f = all_f.copy()  # without the unit only its class's row and column differ
-        f[a, :], f[:, a] = xlogx(base[a, :]), xlogx(base[:, a])
-        after, before = np.flatnonzero(rt), np.flatnonzero(lt)
-        diag, f_diag = base.diagonal(), f.diagonal()
-        # row b: the unit's words after it join row b; column b: the words before it
-        gain = (xlogx(base[:, after] + rt[after]) - f[:, after]).sum(1) + (xlogx(base[before] + lt[before, None]) - f[before]).sum(0)
-        gain += xlogx(diag + rt + lt + s) - xlogx(diag + rt) - xlogx(diag + lt) + f_diag
-        out_row, out_col = row_n.copy(), col_n.copy()  # the unit's neighbours keep their own counts
-        r, c = rt.sum() + s, lt.sum() + s
-        out_row[a] -= r
-        out_col[a] -= c
-        gain -= xlogx(out_row + r) - xlogx(out_row) + xlogx(out_col + c) - xlogx(out_col)
-        gain[0] = -np.inf
-        best = int(np.argmax(gain))
-        if gain[best] > gain[a] + 1e-9:
-            out[i] = best
+    up_to = np.arange(1, SMALL + 1)[:, None, None]
+    small_after, small_before = _grown(pairs.T[None], up_to), _grown(pairs[None], up_to)
+    row_n, col_n = pairs.sum(1), pairs.sum(0)
+    for at in range(0, len(units), TOGETHER):
+        a, s = own[at:at + TOGETHER], self_n[at:at + TOGETHER]
+        lt, rt = left[at:at + TOGETHER].copy(), right[at:at + TOGETHER].copy()
+        i = np.arange(len(a))
+        lt[i, a] -= s
+        rt[i, a] -= s
+        gain = _side(pairs, small_after, a, rt, lt, s) + _side(pairs.T, small_before, a, lt, rt, s)
+        diag = np.tile(pairs.diagonal(), (len(a), 1))
+        diag[i, a] -= lt[i, a] + rt[i, a] + s
+        gain += _xlogx(diag + rt + lt + s[:, None]) - _xlogx(diag + rt) - _xlogx(diag + lt) + _xlogx(diag)
+        for total, n in ((row_n, rt.sum(1) + s), (col_n, lt.sum(1) + s)):
+            rest = np.tile(total, (len(a), 1))  # the unit's neighbours keep their own counts
+            rest[i, a] -= n
+            gain -= _grown(rest, n[:, None])
+        gain[:, 0] = -np.inf
+        best = gain.argmax(1)
+        out[at:at + TOGETHER] = np.where(gain[i, best] > gain[i, a] + 1e-9, best, a)
     return out
 
 
