@@ -45,6 +45,14 @@ def build_pipeline(spec: FeatureSpec, kind: str, relative_error: float = 0.001,
                     + [make_classifier(kind, spec.target, **params)])
 
 
+def training_row_bytes(spec: FeatureSpec, indicators: bool = False) -> int:
+    """About what a row takes in the widest form that fitting keeps: a tree
+    learner's binned point, an int for each slot of the vector, and the
+    objects around it."""
+    slots = len(spec.int_cols) + (spec.num_hash_features if spec.cat_cols else 0) + (len(spec.indicator_cols) if indicators else 0)
+    return 512 + 4 * slots
+
+
 def prepare_training(df: DataFrame, label: str) -> DataFrame:
     """Null labels make MLlib raise ("Labels MUST NOT be Null"): they are
     dropped before fitting (``count_null_labels`` reports how many)."""

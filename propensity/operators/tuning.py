@@ -37,7 +37,7 @@ from ..session import checkpoint_dir, cut_lineage, persist_spread
 from ..spec import FeatureSpec, FoldSpec, GridSpec
 from . import metrics as M
 from .features import preprocessing_stages
-from .models import make_classifier, prepare_training
+from .models import make_classifier, prepare_training, training_row_bytes
 from .split import assign_folds
 
 
@@ -138,7 +138,8 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     needed = [c for c in dict.fromkeys([key, label, *spec.int_cols, *spec.cat_cols,
                                         *(spec.indicator_cols if with_flags else ())]) if c in train.columns]
     tagged = persist_spread(assign_folds(train.select(*needed), folds.num_folds, folds.seed, key,
-                                         folds.method, target=label, stratified=folds.stratified, col="_fold"))
+                                         folds.method, target=label, stratified=folds.stratified, col="_fold"),
+                            row_bytes=training_row_bytes(spec, with_flags))
     if dedupe:
         seen: dict = {}
         fit_of = {i: seen.setdefault(_equivalence_key(kind, c), i) for i, c in enumerate(combos)}

@@ -211,7 +211,8 @@ def run_job(spark: SparkSession, cfg: JobConfig, df: DataFrame | None = None) ->
     if not spec.id_col:
         cleaned = cut_lineage(attach_row_id(cleaned, None, key))  # generated ids must not change between reads
     # one tagging pass; checkpointed so every later job starts from here
-    tagged = checkpoint_spread(tag_split(cleaned, spec, cfg.split, key), cfg.partitions)
+    tagged = checkpoint_spread(tag_split(cleaned, spec, cfg.split, key), cfg.partitions,
+                               MO.training_row_bytes(spec, cfg.indicators or cfg.style == "twin"))
     train, _ = split_parts(tagged)
     labels = tagged.agg(F.count_if(F.col("split") == "train").alias("train"),
                         F.count_if((F.col("split") == "train") & F.col(spec.target).isNull()).alias("null_train"),

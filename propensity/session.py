@@ -105,32 +105,43 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _min_partitions(spark: SparkSession, n: int | None) -> int:
-    return n or spark.sparkContext.defaultParallelism
-
-
-def checkpoint_spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+#: A task of iterative work reads about this much of the widest form its rows are kept in.
+PARTITION_BYTES = 128 * MB
+
+
+def partitions_needed(df: DataFrame, min_partitions: int | None, row_bytes: int) -> int | None:
+    """The number of partitions to deal a kept (checkpointed or cached) table
+    out to, so that none holds over ``PARTITION_BYTES`` at ``row_bytes`` a row
+    and there are ``min_partitions`` (default: ``defaultParallelism``) at
+    least; None if it is so already. Rows are counted by partition: one file
+    of few row groups gives many partitions of which most are empty."""
+    most = max(1, PARTITION_BYTES // row_bytes)
+    rows, largest = (df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+                     .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first())
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n and largest <= most:
+        return None
+    return max(n, -(-rows // most))
+
+
+def checkpoint_spread(df: DataFrame, min_partitions: int | None = None, row_bytes: int = 1024) -> DataFrame:
     """L1 + L2 for a table that iterative work starts from: a reliable
-    checkpoint, and, only when the result has fewer than
-    ``defaultParallelism`` partitions (a small input: one file is one
-    partition and would run every fit on one core), a round-robin
-    repartition checkpointed again. The partition count is read from the
-    checkpointed table, which costs nothing; asking an adaptive plan for it
-    would run its shuffles. Large inputs already have enough partitions and
-    are written once."""
-    n = _min_partitions(df.sparkSession, min_partitions)
+    checkpoint, and, only when its partitions are too few (a small input: one
+    file is one partition and would run every fit on one core) or one is too
+    large (see ``partitions_needed``), a round-robin repartition checkpointed
+    again. Partitions are counted on the checkpointed table; asking an
+    adaptive plan for them would run its shuffles. An input that is spread
+    well is written once."""
     c = cut_lineage(df)
-    if c.rdd.getNumPartitions() < n:
+    if n := partitions_needed(c, min_partitions, row_bytes):
         c = cut_lineage(c.repartition(n))
     return c
 
 
-def persist_spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def persist_spread(df: DataFrame, min_partitions: int | None = None, row_bytes: int = 1024) -> DataFrame:
     """The cached counterpart of ``checkpoint_spread`` (materialised here)."""
-    n = _min_partitions(df.sparkSession, min_partitions)
     p = df.persist()
-    p.count()
-    if p.rdd.getNumPartitions() < n:
+    if n := partitions_needed(p, min_partitions, row_bytes):
         q = p.repartition(n).persist()
         q.count()
         p.unpersist()

@@ -242,3 +242,18 @@ def test_first_brackets_hold_their_ranks(spark):
     assert ends["y"] == [] and ends["z"] == [3.0] * 4
     a, b, c, d = (v * v / 200_000 for v in ends["x"])
     assert 0.49 < a < 0.5 < b < 0.51 and 0.99 < c < 0.999 < d <= 1.0
+
+
+def test_spread_bounds_the_rows_of_a_partition(spark):
+    """Enough partitions, but one of them holds every row: they are dealt out by their number."""
+    from propensity import session as S
+    df = spark.range(0, 48_000, 1, 16).where("id < 3000")
+    assert df.rdd.getNumPartitions() == 16
+    row = S.PARTITION_BYTES // 100
+    for spread in (S.checkpoint_spread, S.persist_spread):
+        got = spread(df, 4, row)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 3000 and got.distinct().count() == 3000 and max(sizes) <= 120 and got.rdd.getNumPartitions() == 30
+        assert spread(df, 4).rdd.getNumPartitions() == 16 and spread(df, 20).rdd.getNumPartitions() == 20
+        assert spread(df.limit(0), 4, row).count() == 0
+        got.unpersist()
