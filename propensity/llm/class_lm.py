@@ -196,24 +196,96 @@ def best_classes(pairs: np.ndarray, units: np.ndarray, own: np.ndarray, left: np
     return out
 
 
+#: Neighbours that a task sums by class at once.
+ENTRIES = 1 << 20
+
+
+def _neighbours(bigrams: DataFrame) -> DataFrame:
+    """A row for each unit: the units before and after it, with their counts.
+    Sweeps sum these lists by class where they lie, without a join or shuffle.
+    A list is at most as long as the unit table."""
+    both = F.explode(F.array(F.struct((F.col("v").cast("bigint") * 2).alias("at"), F.col("u").alias("other"), "n"),
+                             F.struct((F.col("u").cast("bigint") * 2 + 1).alias("at"), F.col("v").alias("other"), "n")))
+    ends = bigrams.select(both.alias("x")).select("x.*")
+
+    def lists(at: np.ndarray, other: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        units = np.unique(at >> 1)
+        cols = []
+        for side in (0, 1):
+            mine = np.flatnonzero(at & 1 == side)
+            cut = np.searchsorted(at[mine] >> 1, np.append(units, at[-1] + 1)).astype(np.int32)
+            cols += [pa.ListArray.from_arrays(cut, pa.array(x[mine])) for x in (other, n)]
+        return pa.RecordBatch.from_arrays([pa.array(units.astype(np.int32)), *cols], ["unit", "before", "before_n", "after", "after_n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []  # of the last unit, whose rows may go on in the next batch
+        for batch in batches:
+            cols = [batch.column(c).to_numpy() for c in ("at", "other", "n")]
+            if not len(cols[0]):
+                continue
+            last = np.searchsorted(cols[0], cols[0][-1] >> 1 << 1)
+            if held and (last or held[0][0][0] >> 1 != cols[0][0] >> 1):
+                held.append([c[:last] for c in cols])
+                yield lists(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                held = []
+            elif last:
+                yield lists(*(c[:last] for c in cols))
+            held.append([c[last:] for c in cols])
+        if held:
+            yield lists(*(np.concatenate(c) for c in zip(*held, strict=True)))
+    return (ends.repartition(F.shiftright("at", 1)).sortWithinPartitions("at")
+            .mapInArrow(run, "unit int, before array<int>, before_n array<bigint>, after array<int>, after_n array<bigint>"))
+
+
+def _pieces(batch: pa.RecordBatch, *lists: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose ``lists`` hold about ``ENTRIES`` together; a longer row is a run of its own."""
+    held = np.cumsum(sum(np.diff(batch.column(c).offsets.to_numpy()) for c in lists))
+    first = 0
+    while first < len(held):
+        last = max(first + 1, int(np.searchsorted(held, (held[first - 1] if first else 0) + ENTRIES, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+def _entries(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, neighbour, count) of every neighbour on ``side``."""
+    lists = batch.column(side)
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    return row, lists.flatten().to_numpy(), batch.column(f"{side}_n").flatten().to_numpy()
+
+
 def _chooser(classes, pairs, k: int):
-    def choose(part: pd.DataFrame) -> pd.DataFrame:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_of, n = classes.value, pairs.value
-        units, at = np.unique(part["unit"].to_numpy(), return_inverse=True)
-        left, right, self_n = np.zeros((len(units), k)), np.zeros((len(units), k)), np.zeros(len(units))
-        c, v, side = part["cls"].to_numpy(), part["n"].to_numpy(float), part["side"].to_numpy()
-        for table, which in ((left, 0), (right, 1)):
-            np.add.at(table, (at[side == which], c[side == which]), v[side == which])
-        np.add.at(self_n, at[side == 2], v[side == 2])
-        own = own_of[units]
-        return pd.DataFrame({"unit": units, "cls": best_classes(n, units, own, left, right, self_n)})
+        for batch in batches:
+            for part in _pieces(batch, "before", "after"):
+                units = part.column("unit").to_numpy()
+                sums = []
+                for side in ("before", "after"):
+                    row, other, times = _entries(part, side)
+                    sums.append(np.bincount(row * k + own_of[other], times, len(units) * k).reshape(len(units), k).astype(float))
+                alone = other == units[row]
+                self_n = np.bincount(row[alone], times[alone], len(units)).astype(float)
+                cls = best_classes(n, units, own_of[units], *sums, self_n)
+                yield pa.RecordBatch.from_arrays([pa.array(units), pa.array(cls.astype(np.int32))], ["unit", "cls"])
     return choose
 
 
-def _class_pairs(bigrams: DataFrame, classes: DataFrame, k: int) -> np.ndarray:
+def _class_pairs(near: DataFrame, own: np.ndarray, k: int) -> np.ndarray:
     """Class-bigram counts: k x k sums."""
-    a, b = classes.select(F.col("unit").alias("u"), F.col("cls").alias("cu")), classes.select(F.col("unit").alias("v"), F.col("cls").alias("cv"))
-    sums = bigrams.join(F.broadcast(a), "u").join(F.broadcast(b), "v").groupBy("cu", "cv").agg(F.sum("n").alias("n")).toPandas()
+    classes = near.sparkSession.sparkContext.broadcast(own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_of, total = classes.value, np.zeros(k * k)
+        for batch in batches:
+            for part in _pieces(batch, "after"):
+                row, other, times = _entries(part, "after")
+                total += np.bincount(own_of[part.column("unit").to_numpy()][row] * k + own_of[other], times, k * k)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array((some // k).astype(np.int32)), pa.array((some % k).astype(np.int32)),
+                                          pa.array(total[some].astype(np.int64))], ["cu", "cv", "n"])
+    sums = (near.select("unit", "after", "after_n").mapInArrow(run, "cu int, cv int, n bigint")
+            .groupBy("cu", "cv").agg(F.sum("n").alias("n")).toPandas())
     out = np.zeros((k, k))
     out[sums["cu"], sums["cv"]] = sums["n"]
     return out
@@ -226,28 +298,19 @@ def _log_likelihood(pairs: np.ndarray) -> float:
 def exchange(bigrams: DataFrame, n_units: int, classes: int, sweeps: int) -> tuple[np.ndarray, np.ndarray, list]:
     """(class of each unit, class-bigram counts, log-likelihood by sweep). The
     unit table (at most head + shapes rows) and the k x k counts are of fixed
-    size; unit-bigram rows stay in tasks."""
+    size; the units' neighbours, written once for all sweeps, stay in tasks."""
     spark = bigrams.sparkSession
+    near = written(_neighbours(bigrams), "unit-neighbours")
     own = np.concatenate([[0], 1 + np.arange(n_units - 1) % (classes - 1)]).astype(np.int64)
-    frame = lambda own: spark.createDataFrame(pd.DataFrame({"unit": np.arange(n_units, dtype=np.int32), "cls": own.astype(np.int32)}))
-    pairs = _class_pairs(bigrams, frame(own), classes)
+    pairs = _class_pairs(near, own, classes)
     history = [_log_likelihood(pairs)]
-    blocks = max(1, spark.sparkContext.defaultParallelism * 2, n_units >> 13)  # some thousands of units in a task at once
     for sweep in range(sweeps):
-        table = F.broadcast(frame(own))
         moving = F.pmod(F.xxhash64("unit", F.lit(sweep // 2)) + F.lit(sweep), F.lit(2)) == 0
-        # each bigram counts for its second unit with the first's class, and the other way round
-        as_second = bigrams.join(table.withColumnRenamed("unit", "u"), "u").select(F.col("v").alias("unit"), F.lit(0).alias("side"), "cls", "n")
-        as_first = bigrams.join(table.withColumnRenamed("unit", "v"), "v").select(F.col("u").alias("unit"), F.lit(1).alias("side"), "cls", "n")
-        alone = bigrams.where("u = v").select(F.col("u").alias("unit"), F.lit(2).alias("side"), F.lit(0).alias("cls"), "n")
-        context = (as_second.unionByName(as_first).unionByName(alone).where((F.col("unit") != END) & moving)
-                   .groupBy("unit", "side", "cls").agg(F.sum("n").alias("n")))
         choose = _chooser(spark.sparkContext.broadcast(own), spark.sparkContext.broadcast(pairs), classes)
-        moved = (context.groupBy(F.pmod(F.xxhash64("unit"), F.lit(blocks)).alias("block"))
-                 .applyInPandas(choose, "unit int, cls int").toPandas())
+        moved = near.where((F.col("unit") != END) & moving).mapInArrow(choose, "unit int, cls int").toPandas()
         trial = own.copy()
         trial[moved["unit"].to_numpy()] = moved["cls"].to_numpy()
-        now = _class_pairs(bigrams, frame(trial), classes)
+        now = _class_pairs(near, trial, classes)
         value = _log_likelihood(now)
         if value > history[-1]:  # moves made at once can spoil each other; such a sweep is not kept
             own, pairs = trial, now
@@ -268,8 +331,7 @@ def train(docs: DataFrame, text_col: str = "text", usable: Column | None = None,
     ranked = frequent(head).where(F.col("n") >= min_count).select("key", "n").orderBy(F.desc("n"), "key").toArrow()
     head_keys = ranked.column("key").to_numpy().view(np.uint64).copy()
     n_units = 1 + len(head_keys) + shapes
-    bigrams = written(_unit_bigrams(texts, head_keys, shapes), "unit-bigrams")
-    own, pairs, history = exchange(bigrams, n_units, classes, sweeps)
+    own, pairs, history = exchange(_unit_bigrams(texts, head_keys, shapes), n_units, classes, sweeps)
     share = (pairs.sum(0) + 1) / (pairs.sum() + classes)
     log_next = np.log10((pairs + classes * share[None, :]) / (pairs.sum(1, keepdims=True) + classes))
     # what each class emits: its tokens and its distinct words

@@ -134,3 +134,50 @@ def test_clustered_words_follow_the_corpus(spark):
     model = LM.train(spark.createDataFrame(rows, SCHEMA), classes=4, shapes=8, sweeps=1)
     assert len(model.head_keys) == 500 and model.n_types == 701
     assert len(LM.train(spark.createDataFrame(rows, SCHEMA), classes=4, shapes=8, sweeps=1, min_count=21).head_keys) == 0
+
+
+def test_neighbour_lists_and_their_class_sums(spark, monkeypatch):
+    """What the sweeps read instead of joining all bigrams anew: one row a unit, however
+    many Arrow batches its neighbours come in, summed piece by piece."""
+    rng, k = np.random.default_rng(3), 5
+    pairs = {(0, v): 1 + v % 3 for v in range(1, 400)} | {(int(u), int(v)): int(n) for u, v, n in rng.integers(1, 400, (900, 3))} | {(7, 7): 4}
+    own = np.concatenate([[0], rng.integers(1, k, 400)])
+    bigrams = spark.createDataFrame([(u, v, n) for (u, v), n in pairs.items()], "u int, v int, n bigint").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        near = LM._neighbours(bigrams).persist()
+        rows = near.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows) == len({r.unit for r in rows}) == len({x for p in pairs for x in p})
+    assert {(r.unit, v): n for r in rows for v, n in zip(r.after, r.after_n, strict=True)} == pairs
+    assert {(u, r.unit): n for r in rows for u, n in zip(r.before, r.before_n, strict=True)} == pairs
+    want = np.zeros((k, k))
+    for (u, v), n in pairs.items():
+        want[own[u], own[v]] += n
+    assert (LM._class_pairs(near, own, k) == want).all()
+    monkeypatch.setattr(LM, "ENTRIES", 7)
+    batch = near.where("unit > 0").toArrow().combine_chunks().to_batches()[0]
+    bc = lambda x: type("Shared", (), {"value": x})
+    moved = [b.to_pydict() for b in LM._chooser(bc(own), bc(want), k)([batch])]
+    assert len(moved) > 100 and sum(len(m["unit"]) for m in moved) == len(rows) - 1
+    left, right, alone = np.zeros((401, k)), np.zeros((401, k)), np.zeros(401)
+    for (u, v), n in pairs.items():
+        left[v, own[u]] += n
+        right[u, own[v]] += n
+        alone[u] += n * (u == v)
+    for m in moved:
+        at = np.array(m["unit"])
+        assert m["cls"] == LM.best_classes(want, at, own[at], left[at], right[at], alone[at]).tolist()
+    near.unpersist()
+
+
+def test_sweeps_neither_join_nor_exchange_bigrams(spark, monkeypatch):
+    """Bigrams are exchanged twice (counted, dealt by unit) however many sweeps follow."""
+    seen = []
+    honest = LM._neighbours
+    monkeypatch.setattr(LM, "_neighbours", lambda b: seen.append(1) or honest(b))
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda *a, **k: pytest.fail("a sweep joins"))
+    bigrams = spark.createDataFrame([(0, 1, 5), (1, 2, 5), (2, 3, 4), (3, 0, 5), (1, 3, 1)], "u int, v int, n bigint")
+    own, pairs, history = LM.exchange(bigrams, 4, 3, 4)
+    assert seen == [1] and pairs.sum() == 20 and own[0] == 0 and history == sorted(history)
