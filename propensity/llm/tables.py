@@ -3,32 +3,10 @@ intermediates and bounded samples of labelled rows."""
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package's source (once a session), so tasks
-    can import it wherever it is installed or not. Spark serves the archive
-    from the driver."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(archive))
-    _shipped.add(sc.applicationId)
+from ..session import scratch_path, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,6 +13,8 @@ with a fold column, in fewer passes:
   ensemble (the first k trees of the 50-tree fit are the 20-tree fit when
   subsampling is off), so only the longest is fitted and shorter ones are
   scored from its leading trees;
+* random forests that differ only in ``maxDepth`` are the upper levels of the
+  deepest one, which alone is fitted;
 * validation AUC is the exact bucketed ranking metric, not a 1000-bin
   approximation.
 
@@ -27,7 +29,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir, cut_lineage, persist_spread
 from ..spec import FeatureSpec, FoldSpec, GridSpec
 from . import metrics as M
+from .boosting import fit_boosted
 from .features import preprocessing_stages
 from .models import make_classifier, prepare_training, training_row_bytes
 from .split import assign_folds
@@ -79,19 +82,33 @@ def _equivalence_key(kind: str, combo: dict):
     return tuple(sorted(combo.items()))
 
 
-def _gbt_prefix_groups(kind: str, combos: list[dict], base: dict) -> dict:
-    """Map each combo index to (index of the combo to fit, trees to keep)."""
-    out = {}
-    if kind != "gbt" or float(base.get("subsamplingRate", 1.0)) != 1.0:
-        return {i: (i, None) for i in range(len(combos))}
+#: For each kind, the parameter along which fits are prefixes of one another, and MLlib's value if none is given.
+_NESTED = {"gbt": ("maxIter", 20), "rf": ("maxDepth", 5)}
+
+
+def _whole_levels(depth: int, n_features: int, params: dict) -> bool:
+    """Whether a forest's learner surely takes each level above ``depth`` in
+    one pass: then forests of more levels draw the same features down to it."""
+    trees, bins, memory = params.get("numTrees", 20), params.get("maxBins", 32), params.get("maxMemoryInMB", 256)
+    return trees * (1 << max(0, depth - 1)) * n_features * bins * 3 * 8 < memory << 20  # 3: the sums of two classes, and rows
+
+
+def _prefix_groups(kind: str, combos: list[dict], base: dict, n_features: int) -> dict:
+    """Map each combo index to (index of the combo to fit, trees or levels to keep)."""
+    out = {i: (i, None) for i in range(len(combos))}
+    if kind not in _NESTED or (kind == "gbt" and float(base.get("subsamplingRate", 1.0)) != 1.0):
+        return out
+    name, default = _NESTED[kind]
+    value = lambda j: combos[j].get(name, base.get(name, default))
     groups: dict = {}
     for i, c in enumerate(combos):
-        key = tuple(sorted((k, v) for k, v in c.items() if k != "maxIter"))
+        key = tuple(sorted((k, v) for k, v in c.items() if k != name))
         groups.setdefault(key, []).append(i)
     for members in groups.values():
-        longest = max(members, key=lambda j: combos[j].get("maxIter", base.get("maxIter", 20)))
+        longest = max(members, key=value)
         for j in members:
-            out[j] = (longest, combos[j].get("maxIter", base.get("maxIter", 20)))
+            if kind == "gbt" or value(j) == value(longest) or _whole_levels(value(j), n_features, {**base, **combos[j]}):
+                out[j] = (longest, value(j))
     return out
 
 
@@ -110,6 +127,44 @@ def truncated_gbt(model: GBTClassificationModel, n_trees: int) -> GBTClassificat
     return GBTClassificationModel(short)
 
 
+def truncated_forest(model: RandomForestClassificationModel, depth: int) -> RandomForestClassificationModel:
+    """The forest as it was after ``depth`` levels. A level's rows, features
+    and splits depend on the levels above only, and leaves are merged as MLlib
+    merges them, so this is the model a shallower fit gives (if both took whole
+    levels, see ``_whole_levels``)."""
+    java, sc = model._java_obj, SparkSession.active().sparkContext
+    package = sc._jvm.org.apache.spark.ml
+    new_leaf, new_inner = package.tree.LeafNode, package.tree.InternalNode
+
+    def cut(node, levels: int):
+        stats = node.impurityStats()
+        if levels and node.subtreeDepth():
+            (low, a), (high, b) = cut(node.leftChild(), levels - 1), cut(node.rightChild(), levels - 1)
+            if a is None or a != b:
+                return new_inner(node.prediction(), node.impurity(), node.gain(), low, high, node.split(), stats), None
+        return new_leaf(node.prediction(), node.impurity(), stats), node.prediction()
+    trees = sc._gateway.new_array(package.classification.DecisionTreeClassificationModel, model.getNumTrees)
+    for i, t in enumerate(java.trees()):
+        trees[i] = package.classification.DecisionTreeClassificationModel(cut(t.rootNode(), depth)[0], java.numFeatures(), java.numClasses())
+    short = package.classification.RandomForestClassificationModel(java.uid(), trees, java.numFeatures(), java.numClasses())
+    short.setFeaturesCol(java.getFeaturesCol())
+    return RandomForestClassificationModel(short)
+
+
+def shortened(model, kind: str, keep: int | None):
+    """The model with its first ``keep`` trees (boosting) or levels (forest)."""
+    if kind == "gbt" and keep is not None and keep < model.getNumTrees:
+        return truncated_gbt(model, keep)
+    if kind == "rf" and keep is not None and any(t.depth > keep for t in model.trees):
+        return truncated_forest(model, keep)
+    return model
+
+
+def fit_classifier(clf, rows: DataFrame, prep: PipelineModel):
+    """``clf`` fitted on one fold's rows: prepared ones, or for boosted trees those still to be prepared by ``prep``."""
+    return fit_boosted(clf, rows, prep) if isinstance(clf, GBTClassifier) else clf.fit(rows)
+
+
 def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpec,
                    folds: FoldSpec = FoldSpec(), base_params: dict | None = None,
                    relative_error: float = 0.001, indicators: bool = False,
@@ -143,11 +198,12 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
     if dedupe:
         seen: dict = {}
         fit_of = {i: seen.setdefault(_equivalence_key(kind, c), i) for i, c in enumerate(combos)}
-        prefix = _gbt_prefix_groups(kind, combos, base)
+        prefix = _prefix_groups(kind, combos, base, len(spec.int_cols) + (spec.num_hash_features if spec.cat_cols else 0)
+                                + (len(spec.indicator_cols) if with_flags else 0))
     else:
         fit_of = {i: i for i in range(len(combos))}
         prefix = {i: (i, None) for i in range(len(combos))}
-    model_of = {i: prefix[fit_of[i]] for i in range(len(combos))}  # (grid point fitted, trees kept)
+    model_of = {i: prefix[fit_of[i]] for i in range(len(combos))}  # (grid point fitted, trees or levels kept)
     distinct = sorted(set(model_of.values()), key=str)
     to_fit = sorted({src for src, _ in distinct})
     fold_metrics = [[0.0] * folds.num_folds for _ in combos]
@@ -159,24 +215,24 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
         """AUC by distinct model; only the fold's slim scores outlive its cache."""
         trn, val = tagged.where(F.col("_fold") != f), tagged.where(F.col("_fold") == f)
         prep = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)).fit(trn)
-        trn_x = prep.transform(trn).select(label, "features").persist()
+        # the boosted trees' learner keeps its own, smaller form of the rows
+        trn_x = trn if kind == "gbt" else prep.transform(trn).select(label, "features").persist()
         val_x = prep.transform(val).select(label, "features").persist()
         pool = ThreadPoolExecutor(max_workers=max(1, parallelism // at_once))
         try:
             fitted = dict(zip(to_fit, pool.map(
-                lambda i: make_classifier(kind, label, **{**base, **combos[i]}).fit(trn_x), to_fit)))
+                lambda i: fit_classifier(make_classifier(kind, label, **{**base, **combos[i]}), trn_x, prep), to_fit)))
             scored = None
-            for d, (src, n_trees) in enumerate(distinct):
-                model = fitted[src]
-                if kind == "gbt" and n_trees is not None and n_trees < model.getNumTrees:
-                    model = truncated_gbt(model, n_trees)
+            for d, (src, keep) in enumerate(distinct):
+                model = shortened(fitted[src], kind, keep)
                 s = model.transform(val_x).select(label, vector_to_array("probability")[1].alias("prob"), F.lit(d).alias("_model"))
                 scored = s if scored is None else scored.unionByName(s)
             auc = {r["_model"]: float(r["auc_roc"]) for r in M.ranking_metrics(scored, label, "prob", ["_model"]).collect()}
             return auc, 1 + len(fitted)
         finally:
             pool.shutdown()
-            trn_x.unpersist()
+            if trn_x is not trn:
+                trn_x.unpersist()
             val_x.unpersist()
 
     fold_pool = ThreadPoolExecutor(max_workers=at_once)
@@ -189,8 +245,13 @@ def cross_validate(train: DataFrame, spec: FeatureSpec, kind: str, grid: GridSpe
         best = max(range(len(combos)), key=lambda i: (avg[i], -i))
         best_params = {**base, **combos[best]}
         # refit on every training row, read from the cached, pruned fold table
-        model = Pipeline(stages=preprocessing_stages(spec, relative_error, indicators, style=style)
-                         + [make_classifier(kind, label, **best_params)]).fit(tagged.drop("_fold"))
+        rows, stages = tagged.drop("_fold"), preprocessing_stages(spec, relative_error, indicators, style=style)
+        clf = make_classifier(kind, label, **best_params)
+        if kind == "gbt":
+            prep = Pipeline(stages=stages).fit(rows)
+            model = PipelineModel([*prep.stages, fit_boosted(clf, rows, prep)])
+        else:
+            model = Pipeline(stages=[*stages, clf]).fit(rows)
         n_fits += 1
     finally:
         fold_pool.shutdown()
