@@ -244,10 +244,11 @@ def level_sums(blocks: RDD, router: Router, steps: int, open_nodes: list, size:
         out, totals = np.zeros((3, n_slots * n_codes)), np.zeros((3, n_slots))
         for codes, y, margin in part:
             target = y.astype(np.float64) if first_tree else 4.0 * y / (1.0 + np.exp(2.0 * y * margin))
-            at = slots[router.reached(codes, steps)]
-            for i, sums in [(at, totals), *((at * n_codes + c, out) for c in codes)]:
-                for sum_, weights in zip(sums, (None, target, target * target)):
-                    sum_ += np.bincount(i, weights, len(sum_))
+            at, weights = slots[router.reached(codes, steps)], (None, target, target * target)
+            first = at * n_codes
+            for i, sums in [(at, totals), *((first + c, out) for c in codes)]:
+                for s, w in zip(sums, weights):
+                    s += np.bincount(i, w, len(s))
         out = out.reshape(3, n_slots, n_codes)
         out[:, :, size] = totals
         yield out[:, :-1]
@@ -343,7 +344,7 @@ def grows_here(clf, data: DataFrame) -> bool:
              "minWeightFractionPerNode": 0.0, "lossType": "logistic", "impurity": "variance"}
     other = any(clf.isSet(p) for p in ("weightCol", "validationIndicatorCol", "thresholds"))
     nominal = "nominal" in data.schema[clf.getFeaturesCol()].metadata.get("ml_attr", {}).get("attrs", {})
-    return not other and not nominal and all(clf.getOrDefault(p) == v for p, v in plain.items())
+    return not other and not nominal and clf.getMaxDepth() > 0 and all(clf.getOrDefault(p) == v for p, v in plain.items())
 
 
 def fit_boosted(clf: GBTClassifier, rows: DataFrame, prep: PipelineModel) -> GBTClassificationModel:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -102,6 +103,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -109,15 +111,16 @@ def ship_package(spark: SparkSession) -> None:
     can import it wherever it is installed or not. Spark serves the archive
     from the driver."""
     sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(archive))
-    _shipped.add(sc.applicationId)
+    with _shipping:  # folds are fitted by threads
+        if sc.applicationId in _shipped:
+            return
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        _shipped.add(sc.applicationId)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

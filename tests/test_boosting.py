@@ -105,3 +105,16 @@ def test_search_fits_a_forest_grid_over_depths_once(spark):
     assert once.avg_metrics == pytest.approx(each.avg_metrics, abs=1e-12) and once.best_params == each.best_params
     assert (once.n_fits, each.n_fits) == (2 + 2 + 1, 2 + 4 + 1)
     assert not TU._whole_levels(20, 1000, {}) and TU._whole_levels(5, 132, {"numTrees": 50})
+
+
+def test_package_is_shipped_once_by_threads():
+    """Both folds' threads ship the package; a file added twice is refused by Spark."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+    from propensity.session import ship_package
+    added = []
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(applicationId=f"fake-{id(added)}", addPyFile=lambda f: (time.sleep(0.2), added.append(f))))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(ship_package, [fake] * 4))
+    assert len(added) == 1
